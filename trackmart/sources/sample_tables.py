@@ -77,7 +77,7 @@ PROFILE_SQL = f"""
 _REPLY_JSON = """concat('{{"origin_country":"Land ', CAST(n % 9 AS VARCHAR(9)),
     '","career_start":', CAST(first_year - 1 AS VARCHAR(9)),
     ',"style_description":"dense","fun_fact":null,"audio_analysis":"loud","career_insight":"up",',
-    '"similar_artists":["customer#000000001","', similar, '"],"signature_sound":"hum"}}')"""
+    '"similar_artists":["customer#000000001","', peer, '"],"signature_sound":"hum"}}')"""
 
 REPLY_SQL = f"""
     SELECT upper(artist_name) AS artist_name,
@@ -90,7 +90,7 @@ REPLY_SQL = f"""
              ELSE '{{{{"origin_country": "Broken", ' END AS reply,
            CAST('2024-06-01 00:00:00' AS TIMESTAMP) AS generated_at
     FROM (SELECT *, {_REPLY_JSON} AS body FROM (
-        SELECT artist_name, max({_NUMBER}) AS n, min(year) AS first_year, max({_NEXT}) AS similar
+        SELECT artist_name, max({_NUMBER}) AS n, min(year) AS first_year, max({_NEXT}) AS peer
         FROM {{cleaned}} WHERE year >= 2020 GROUP BY artist_name) AS a) AS b"""
 
 
