@@ -1,25 +1,27 @@
 from trackmart.functions.exprs import (
     avg_rounded,
+    complete,
     genre_code,
     genre_group,
     hash_bucket,
-    is_outlier,
     lookup,
     name_key,
     popularity_tier,
     round_exact,
     row_digest,
+    within_limits,
 )
 
 __all__ = [
     "avg_rounded",
+    "complete",
     "genre_code",
     "genre_group",
     "hash_bucket",
-    "is_outlier",
     "lookup",
     "name_key",
     "popularity_tier",
     "round_exact",
     "row_digest",
+    "within_limits",
 ]

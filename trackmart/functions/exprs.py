@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
@@ -44,16 +45,26 @@ def popularity_tier(popularity: str = "popularity") -> Column:
     return F.when(score <= S.TIER_LOW_MAX, low).when(score <= S.TIER_MID_MAX, mid).otherwise(high)
 
 
-def is_outlier() -> Column:
-    """True where a row fails the value filter; a null input fails it too."""
+def complete(df: DataFrame, columns: Sequence[str]) -> Column:
+    """True where all columns hold a value; NaN counts as missing.
+
+    Spelled as plain null tests, which the Parquet reader can apply.
+    """
+    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    tests = [F.col(c).isNotNull() for c in columns]
+    tests += [~F.isnan(c) for c in columns if c in floats]
+    return functools.reduce(Column.__and__, tests)
+
+
+def within_limits() -> Column:
+    """True where a row passes the value filter; null where an input is null."""
     low, high = S.POPULARITY_RANGE
-    keep = (
+    return (
         (F.col("duration_ms") > S.MIN_DURATION_MS)
         & (F.col("tempo") > 0)
         & (F.col("loudness") < 0)
         & F.col("popularity").between(low, high)
     )
-    return ~F.coalesce(keep, F.lit(False))
 
 
 def lookup(mapping: Mapping[str, object], key: Column, default: object) -> Column:

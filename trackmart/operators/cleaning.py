@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.functions import genre_group, is_outlier, popularity_tier, round_exact
+from trackmart.functions import (
+    complete,
+    genre_group,
+    popularity_tier,
+    round_exact,
+    within_limits,
+)
 
 
 def _tie_breakers(df: DataFrame, key: str, tie_breakers: Sequence[str] | None) -> list[str]:
@@ -30,7 +36,7 @@ def dedupe(
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] = tuple(S.NOT_NULL_COLUMNS)) -> DataFrame:
-    return df.dropna(subset=list(subset))
+    return df.filter(complete(df, subset))
 
 
 def fix_sentinel(df: DataFrame, column: str = "key", sentinel: int = S.KEY_UNKNOWN) -> DataFrame:
@@ -41,7 +47,7 @@ def fix_sentinel(df: DataFrame, column: str = "key", sentinel: int = S.KEY_UNKNO
 
 
 def outlier_filter(df: DataFrame) -> DataFrame:
-    return df.filter(~is_outlier())
+    return df.filter(within_limits())
 
 
 def add_genre_group(df: DataFrame) -> DataFrame:
@@ -91,10 +97,7 @@ def cleaning_audit(
     Per key only the copy count and the surviving row's fate travel through the
     shuffle, combined map-side; no step is counted by a job of its own.
     """
-    has_null = F.lit(False)
-    for column in S.NOT_NULL_COLUMNS:
-        has_null = has_null | F.col(column).isNull()
-    fate = F.when(has_null, 1).when(is_outlier(), 2).otherwise(0)
+    fate = F.when(~complete(df, S.NOT_NULL_COLUMNS), 1).when(within_limits(), 0).otherwise(2)
     order = F.struct(*[F.col(c) for c in _tie_breakers(df, key, tie_breakers)])
 
     per_key = df.groupBy(key).agg(

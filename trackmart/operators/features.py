@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.functions import genre_code
+from trackmart.functions import complete, genre_code
 
 # Engineered features as SQL, so that the same text serves a DataFrame and the
 # transformer stage inside the model pipeline.
@@ -24,7 +24,7 @@ FEATURE_SQL = {
 
 def training_rows(tracks: DataFrame) -> DataFrame:
     """Rows complete in all training columns."""
-    return tracks.dropna(subset=S.TRAINING_COLUMNS)
+    return tracks.filter(complete(tracks, S.TRAINING_COLUMNS))
 
 
 def engineered_features(tracks: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from trackmart.operators import (
     splits,
 )
 from trackmart.plans import insight, training
-from trackmart.session import scratch_path
+from trackmart.session import materialize, scratch_path
 from trackmart.sinks import tables
 from trackmart.sources import sample_tables as samples
 from trackmart.sources.fingerprint import table_fingerprint
@@ -439,7 +439,8 @@ def label_index(cleaned):
 
 @on_cleaned
 def standardised(cleaned):
-    rows = features.training_rows(cleaned)
+    rows = features.training_rows(cleaned).select("track_id", *S.TRAINING_COLUMNS)
+    rows = materialize(rows, "standardised")  # fitting reads its input several times
     scaled = Pipeline(stages=model.scaling_stages()).fit(rows).transform(rows)
     values = vector_to_array("features")
     return scaled.select(
