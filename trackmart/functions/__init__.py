@@ -1,7 +1,6 @@
 from trackmart.functions.exprs import (
     avg_rounded,
     complete,
-    genre_code,
     genre_group,
     hash_bucket,
     lookup,
@@ -15,7 +14,6 @@ from trackmart.functions.exprs import (
 __all__ = [
     "avg_rounded",
     "complete",
-    "genre_code",
     "genre_group",
     "hash_bucket",
     "lookup",

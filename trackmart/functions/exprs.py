@@ -73,10 +73,6 @@ def lookup(mapping: Mapping[str, object], key: Column, default: object) -> Colum
     return F.coalesce(F.try_element_at(table, key), F.lit(default))
 
 
-def genre_code(group: str = "genre_group") -> Column:
-    return lookup(S.GENRE_CODES, F.col(group), S.GENRE_CODE_UNKNOWN)
-
-
 def name_key(name: str = "artist_name") -> Column:
     """Join key for case-insensitive name matching."""
     return F.lower(F.col(name))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.functions import complete, genre_code
+from trackmart.functions import complete
 
 # Engineered features as SQL, so that the same text serves a DataFrame and the
 # transformer stage inside the model pipeline.
@@ -21,6 +21,9 @@ FEATURE_SQL = {
     "log_duration": "log1p(duration_ms)",
 }
 
+_CODE_CASES = " ".join(f"WHEN '{group}' THEN {code}" for group, code in S.GENRE_CODES.items())
+GENRE_CODE_SQL = f"CASE genre_group {_CODE_CASES} ELSE {S.GENRE_CODE_UNKNOWN} END"
+
 
 def training_rows(tracks: DataFrame) -> DataFrame:
     """Rows complete in all training columns."""
@@ -33,7 +36,7 @@ def engineered_features(tracks: DataFrame) -> DataFrame:
 
 def add_genre_code(tracks: DataFrame) -> DataFrame:
     """Fixed integer code of the genre group; unknown and null map to the last."""
-    return tracks.withColumn("genre_idx", genre_code())
+    return tracks.withColumn("genre_idx", F.expr(GENRE_CODE_SQL))
 
 
 def score_defaults(requests: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trackmart import schemas as S
 from trackmart.functions import lookup
-from trackmart.operators.features import FEATURE_SQL, add_genre_code, score_defaults
+from trackmart.operators.features import FEATURE_SQL, GENRE_CODE_SQL, score_defaults
 
 # Forest settings of the two published models.
 FULL_FOREST = {
@@ -54,94 +53,58 @@ def standard_scaler() -> StandardScaler:
     )
 
 
-def _engineering_stage() -> SQLTransformer:
-    extra = ", ".join(f"{sql} AS {name}" for name, sql in FEATURE_SQL.items())
+def _derive(columns: dict[str, str]) -> SQLTransformer:
+    """Derived columns as a stage, so fitting and scoring cannot drift apart."""
+    extra = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
     return SQLTransformer(statement=f"SELECT *, {extra} FROM __THIS__")
 
 
 def scaling_stages() -> list:
-    """Feature engineering, genre index, assembly and standardisation.
-
-    Engineering is a stage, so fitting and scoring cannot drift apart.
-    """
+    """Engineered features, genre index, assembly and standardisation."""
     return [
-        _engineering_stage(),
+        _derive(FEATURE_SQL),
         genre_indexer(),
         feature_assembler(FULL_FEATURES, "features_raw"),
         standard_scaler(),
     ]
 
 
-def _forest(settings: dict) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        labelCol="label", featuresCol="features", weightCol="class_weight", **settings
-    )
-
+def compact_stages() -> list:
+    """Fixed genre codes and unscaled inputs."""
+    return [_derive({"genre_idx": GENRE_CODE_SQL}), feature_assembler(COMPACT_FEATURES, "features")]
 
-def fit(stages: list, train: DataFrame, settings: dict) -> PipelineModel:
-    """Fit feature stages and forest on rows carrying tier and ``class_weight``.
 
-    The label index is fitted apart and stays out of the pipeline, so the saved
-    model scores rows that have no tier. Its labels become the forest's label
-    names through the column metadata and are kept with the model.
-    """
-    labels = label_indexer().fit(train)
-    features = Pipeline(stages=stages).fit(train)
-    forest = _forest(settings).fit(features.transform(labels.transform(train)))
-    return PipelineModel(stages=[labels.setHandleInvalid("skip"), *features.stages, forest])
+def _pipeline(stages: list, settings: dict) -> Pipeline:
+    forest = RandomForestClassifier(
+        labelCol="label", featuresCol="features", weightCol="class_weight", **settings
+    )
+    return Pipeline(stages=[label_indexer(), *stages, forest])
 
 
-def fit_full(train: DataFrame, **overrides) -> PipelineModel:
+def full_pipeline(**overrides) -> Pipeline:
     """The 20-feature model; keyword arguments override forest settings."""
-    return fit(scaling_stages(), train, {**FULL_FOREST, **overrides})
+    return _pipeline(scaling_stages(), {**FULL_FOREST, **overrides})
 
 
-def fit_compact(train: DataFrame, **overrides) -> PipelineModel:
-    """The 12-feature model with fixed genre codes and unscaled inputs."""
-    stages = [feature_assembler(COMPACT_FEATURES, "features")]
-    return fit(stages, add_genre_code(train), {**COMPACT_FOREST, **overrides})
+def compact_pipeline(**overrides) -> Pipeline:
+    """The 12-feature model; keyword arguments override forest settings."""
+    return _pipeline(compact_stages(), {**COMPACT_FOREST, **overrides})
 
 
 def tier_labels(model: PipelineModel) -> list[str]:
-    """Tier names in the order of the model's class indices."""
-    return next(
-        list(s.labels)
-        for s in model.stages
-        if isinstance(s, StringIndexerModel) and s.getOutputCol() == "label"
-    )
-
-
-def _scoring_model(model: PipelineModel) -> PipelineModel:
-    stages = [
-        s
-        for s in model.stages
-        if not (isinstance(s, StringIndexerModel) and s.getOutputCol() == "label")
-    ]
-    return PipelineModel(stages=stages)
-
-
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Model output columns for labelled rows, with ``label`` for evaluation."""
-    ready = df if "genre_idx" in df.columns else _with_code_if_needed(model, df)
-    return model.transform(ready)
-
-
-def _with_code_if_needed(model: PipelineModel, df: DataFrame) -> DataFrame:
-    builds_index = any(
-        isinstance(s, StringIndexerModel) and s.getOutputCol() == "genre_idx"
-        for s in model.stages
-    )
-    return df if builds_index else add_genre_code(df)
+    """Tier names in the order of the model's class indices, as fitted."""
+    return list(model.stages[0].labels)
 
 
 def score_tracks(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """Score a table of requests: tier, confidence %, message, per-tier % struct.
 
-    Missing inputs take their defaults; all columns of the request are kept.
+    Missing inputs take their defaults; all columns of the request are kept but
+    a tier it may bring along. Without one the label stage does nothing.
     """
     labels = tier_labels(model)
-    prepared = _with_code_if_needed(model, score_defaults(requests))
-    raw = _scoring_model(model).transform(prepared)
+    inputs = requests.drop("popularity_tier")
+    raw = model.transform(score_defaults(inputs))
     shares = vector_to_array("probability")
     index = F.col("prediction").cast("int")
 
@@ -155,9 +118,8 @@ def score_tracks(model: PipelineModel, requests: DataFrame) -> DataFrame:
         ]
     )
     tier = F.coalesce(F.get(F.array(*map(F.lit, labels)), index), F.lit(S.TIER_FALLBACK))
-    kept = [c for c in requests.columns if c != "popularity_tier"]
     scored = raw.select(
-        *kept,
+        *inputs.columns,
         tier.alias("popularity_tier"),
         percent(F.get(shares, index)).alias("confidence"),
         by_tier.alias("probabilities"),

@@ -12,7 +12,6 @@ from trackmart import schemas as S
 from trackmart.operators import artists, cleaning, marts, quality
 from trackmart.session import materialize
 from trackmart.sinks import tables
-from trackmart.sources.fingerprint import is_unchanged, record_fingerprint
 from trackmart.sources.snapshots import snapshot_path
 from trackmart.sources.tracks import read_tracks_parquet
 
@@ -24,14 +23,6 @@ class Published:
     tables: dict[str, str]
 
 
-def ingest(df: DataFrame, manifest: str, now: datetime) -> bool:
-    """True when the input differs from the last recorded one, which it then replaces."""
-    if is_unchanged(df, manifest):
-        return False
-    record_fingerprint(df, manifest, now)
-    return True
-
-
 def clean_and_publish(
     raw: DataFrame,
     root: str,
@@ -62,7 +53,7 @@ def clean_and_publish(
     checks = materialize(quality.validate_cleaned(tracks, min_rows), "cleaned-checks")
     _report(checks, root, "cleaned", now)
     quality.enforce(checks, strict=True)
-    tables.announce(tracks, tracks_root, version, now)
+    tables.announce(spark, tracks_root, version, now)
 
     paths = {"tracks": snapshot_path(tracks_root, version)}
     for name, frame in mart_frames(tracks).items():

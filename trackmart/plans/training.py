@@ -8,10 +8,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackmart import schemas as S
 from trackmart.operators import evaluation, model, splits
 from trackmart.operators.features import training_rows
 from trackmart.session import materialize
-from trackmart import schemas as S
 from trackmart.sinks.tables import write_report
 
 FULL, COMPACT = "full", "compact"
@@ -38,8 +38,9 @@ def train_model(
 ) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:
     """(model, predictions on the test rows, train rows, class weights)."""
     train, test, weights = training_frames(tracks, kind, weigh_all)
-    fitted = (model.fit_full if kind == FULL else model.fit_compact)(train, **settings)
-    return fitted, model.predict(fitted, test), train, weights
+    build = model.full_pipeline if kind == FULL else model.compact_pipeline
+    fitted = build(**settings).fit(train)
+    return fitted, fitted.transform(test), train, weights
 
 
 def train_and_save(

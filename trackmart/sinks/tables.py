@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.operators.cleaning import dedupe
+from trackmart.operators.quality import validation_summary
 from trackmart.sources.snapshots import MANIFEST_SCHEMA, manifest_path, snapshot_path
 
 
@@ -31,7 +32,7 @@ def publish(
 ) -> str:
     """Full refresh: write a new snapshot, then make it the current one."""
     path = stage(df, root, version, partition_by)
-    announce(df, root, version, published_at)
+    announce(df.sparkSession, root, version, published_at)
     return path
 
 
@@ -45,8 +46,9 @@ def stage(df: DataFrame, root: str, version: str, partition_by: str | None = Non
     return path
 
 
-def announce(df: DataFrame, root: str, version: str, published_at: datetime) -> None:
-    row = df.sparkSession.createDataFrame([(version, published_at)], MANIFEST_SCHEMA)
+def announce(spark: SparkSession, root: str, version: str, published_at: datetime) -> None:
+    """Make a staged snapshot the current one."""
+    row = spark.createDataFrame([(version, published_at)], MANIFEST_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(manifest_path(root))
 
 
@@ -81,8 +83,6 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def validation_document(checks: DataFrame, generated_at: datetime) -> DataFrame:
     """A suite's outcome as one nested row: totals, rate and the list of checks."""
-    from trackmart.operators.quality import validation_summary
-
     listed = checks.groupBy("stage").agg(
         F.array_sort(F.collect_list(F.struct("position", "check", "passed"))).alias("_all")
     )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.functions import row_digest
 
+MANIFEST_SCHEMA = "row_count bigint, checksum string, saved_at timestamp"
+
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and checksum of a table, whatever its row order or partitioning.
@@ -24,18 +26,21 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
-def is_unchanged(df: DataFrame, manifest: str) -> bool:
-    """Whether the table equals the one last recorded under ``manifest``."""
+def changed_since(df: DataFrame, manifest: str, now: datetime) -> bool:
+    """Whether the table differs from the last recorded one; records it if so."""
     spark = df.sparkSession
-    try:
-        recorded = spark.read.schema("row_count bigint, checksum string, saved_at timestamp")
-        last = recorded.parquet(manifest).orderBy(F.desc("saved_at")).first()
-    except AnalysisException:
+    current = tuple(table_fingerprint(df).first())
+    if current == _last_recorded(spark, manifest):
         return False
-    current = table_fingerprint(df).first()
-    return last is not None and tuple(last[:2]) == tuple(current)
+    entry = spark.createDataFrame([(*current, now)], MANIFEST_SCHEMA)
+    entry.coalesce(1).write.mode("append").parquet(manifest)
+    return True
 
 
-def record_fingerprint(df: DataFrame, manifest: str, saved_at: datetime) -> None:
-    entry = table_fingerprint(df).withColumn("saved_at", F.lit(saved_at))
-    entry.coalesce(1).write.mode("append").parquet(manifest)
+def _last_recorded(spark: SparkSession, manifest: str) -> tuple | None:
+    try:
+        entries = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
+        last = entries.orderBy(F.desc("saved_at")).first()
+    except AnalysisException:  # nothing recorded yet
+        return None
+    return (last["row_count"], last["checksum"]) if last else None
