@@ -5,11 +5,20 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from trackmart import schemas as S
+from trackmart.functions.joins import salted_left_join
 from trackmart.operators import artists, cleaning, marts, quality
 from trackmart.sources import sample_tables as samples
 
 FOLDER = "/root/testdata/sf0.001"
 SLOW = {"train_tier_model", "train_compact_model", "feature_importance", "score_tracks", "model_report"}
+# Broadcasts of one row per class, or of a list of hot keys limited by their share.
+BOUNDED = {
+    "stratified_split",
+    "class_weights_train",
+    "parse_replies",
+    "profile_upsert",
+    "similar_artist_links",
+}
 
 
 def plan(df):
@@ -31,7 +40,7 @@ def test_no_plan_pairs_rows_or_broadcasts_unbounded_sides(large_tables, name):
     text = plan(entry.queries()[name](large_tables, FOLDER))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "Python" not in text and "ArrowEval" not in text
-    if name not in ("stratified_split", "class_weights_train"):  # one row per class
+    if name not in BOUNDED:
         assert "BroadcastExchange" not in text
 
 
@@ -103,3 +112,23 @@ def test_hot_keys_give_the_same_results(spark, stored):
     top = artists.top_tracks_per_artist(everything).filter("artist_name = 'Crowd'")
     own = sorted((-r["popularity"], r["track_id"]) for r in rows if r["artist_name"] == "Crowd")[:5]
     assert [r["track_id"] for r in top.orderBy("rank").collect()] == [t for _, t in own]
+
+
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_salted_join_spreads_a_hot_key(large_tables, hot):
+    spark = large_tables
+    rows = [(hot if i % 3 else f"k{i % 50}", i) for i in range(3000)]
+    left = spark.createDataFrame(rows, "k string, i int")
+    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("unused", 3)], "k string, v int")
+    joined = salted_left_join(left, right, "k", spread=["i"])
+    expected = left.join(right, "k", "left")
+    assert sorted(map(str, joined.select("k", "i", "v").collect())) == sorted(
+        map(str, expected.select("k", "i", "v").collect())
+    )
+    key = "spark.sql.adaptive.enabled"
+    spark.conf.set(key, "false")
+    try:
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 3000 / 3
+    finally:
+        spark.conf.set(key, "true")

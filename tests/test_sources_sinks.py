@@ -130,6 +130,16 @@ def test_insert_if_absent_is_idempotent(spark):
     assert tables.insert_if_absent(new, once, tie_breakers=["year"]).count() == 3
 
 
+def test_append_absent_to_a_stored_table(spark, tmp_path):
+    path = str(tmp_path / "tracks")
+    tables.write_partitioned(raw(spark, {"track_id": "a"}), path)
+    new = raw(spark, {"track_id": "a", "year": 2020}, {"track_id": "b"}, {"track_id": "b"})
+    tables.append_absent(new, path)
+    tables.append_absent(new, path)
+    stored = spark.read.parquet(path)
+    assert sorted((r["track_id"], r["year"]) for r in stored.collect()) == [("a", 2010), ("b", 2010)]
+
+
 def test_validation_document(spark, tmp_path):
     checks = quality.validate_raw(raw(spark, {"tempo": 0.0}), min_rows=1)
     path = str(tmp_path / "report")

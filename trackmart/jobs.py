@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from trackmart import schemas as S
 from trackmart.operators.model import score_tracks
 from trackmart.plans import insight, publishing, training
-from trackmart.session import build_session
+from trackmart.session import build_session, materialize
 from trackmart.sinks import tables
 from trackmart.sources.fingerprint import changed_since
 from trackmart.sources.snapshots import current_version, read_table
@@ -23,6 +23,7 @@ from trackmart.sources.tracks import read_tracks_csv
 def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     tokens = S.PANDAS_NULL_TOKENS if args.pandas_nulls else ()
     raw = read_tracks_csv(spark, args.raw, null_tokens=tokens, multiline=not args.single_line)
+    raw = materialize(raw, "raw-tracks")  # parse the text once, for several columnar passes
     manifest = f"{args.root}/input-manifest"
     if args.skip_unchanged and not changed_since(raw, manifest, now):
         print("input unchanged, nothing published")

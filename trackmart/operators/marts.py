@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.functions import avg_rounded, round_exact
@@ -43,9 +43,9 @@ def genre_distribution(tracks: DataFrame) -> DataFrame:
 
 
 def label_distribution(tracks: DataFrame, label: str = "popularity_tier") -> DataFrame:
-    """Class counts and shares. The window runs over the few class rows only."""
+    """Class counts and their shares of the total."""
     counted = tracks.groupBy(label).agg(F.count(F.lit(1)).alias("track_count"))
-    total = F.sum("track_count").over(Window.partitionBy())
+    total = counted.select(F.sum("track_count")).scalar()
     share = round_exact(F.col("track_count") * 100 / total, 4)
     return counted.withColumn("pct", share).orderBy(F.desc("track_count"), label)
 

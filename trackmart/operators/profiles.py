@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackmart import schemas as S
 from trackmart.functions import name_key
+from trackmart.functions.joins import salted_left_join
 from trackmart.operators.artists import PROFILE_FIELDS
 
 # --------------------------------------------------------------------------
@@ -107,7 +108,7 @@ def parse_replies(replies: DataFrame, stats: DataFrame) -> DataFrame:
         document.alias("_doc"),
     )
     known = stats.select("artist_key", F.col("artist_name").alias("_canonical"), "first_year")
-    joined = read.join(known, "artist_key", "left")
+    joined = salted_left_join(read, known, "artist_key", spread=["reply", "generated_at"])
 
     def field(name: str, kind: str, default: Column) -> Column:
         path = f"$.{name}"
@@ -163,9 +164,8 @@ def profile_upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
 def similar_artist_links(profiles: DataFrame, stats: DataFrame) -> DataFrame:
     """One row per suggested similar artist, with its statistics where known.
 
-    ``stats`` has one row per artist key. A name suggested by very many profiles
-    makes a large join group on the left; the right side has one row for it, so
-    adaptive skew handling can split the group freely.
+    ``stats`` has one row per artist key. A name that very many profiles suggest
+    is spread over tasks by the suggesting artist.
     """
     names = F.from_json("similar_artists", "array<string>")
     links = profiles.select("artist_name", F.explode(names).alias("similar_artist"))
@@ -176,7 +176,7 @@ def similar_artist_links(profiles: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("avg_popularity").alias("matched_popularity"),
     )
     keyed = links.withColumn("artist_key", name_key("similar_artist"))
-    return keyed.join(target, "artist_key", "left").drop("artist_key")
+    return salted_left_join(keyed, target, "artist_key", spread=["artist_name"]).drop("artist_key")
 
 
 def encode_similar(df: DataFrame, column: str = "similar_artists") -> DataFrame:

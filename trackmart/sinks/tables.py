@@ -76,6 +76,19 @@ def insert_if_absent(
     return existing.unionByName(absent_rows(incoming, existing, key, tie_breakers))
 
 
+def append_absent(
+    incoming: DataFrame,
+    path: str,
+    key: str = "track_id",
+    tie_breakers: Sequence[str] | None = None,
+    partition_by: str = "year",
+) -> None:
+    """Append the absent rows to a stored table; running it again adds nothing."""
+    existing = incoming.sparkSession.read.parquet(path)
+    fresh = absent_rows(incoming, existing, key, tie_breakers)
+    write_partitioned(fresh, path, partition_by, mode="append")
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A report-sized frame as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)

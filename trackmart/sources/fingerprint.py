@@ -16,13 +16,16 @@ MANIFEST_SCHEMA = "row_count bigint, checksum string, saved_at timestamp"
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and checksum of a table, whatever its row order or partitioning.
 
-    Row digests are summed, so repeated rows count; as a decimal, so that the sum
-    of any number of rows fits. A single shuffle-free aggregate.
+    Row digests are summed, so repeated rows count. The two halves of a digest
+    are summed apart, as plain longs that fit for any number of rows, and joined
+    at the end. A single shuffle-free aggregate.
     """
-    digest = row_digest(df.columns).cast("decimal(20,0)")
+    digest = row_digest(df.columns)
+    high = F.coalesce(F.sum(F.shiftright(digest, 16)), F.lit(0)).cast("decimal(20,0)")
+    low = F.coalesce(F.sum(digest.bitwiseAND(0xFFFF)), F.lit(0))
+    checksum = high * F.lit(0x10000).cast("decimal(6,0)") + low
     return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(digest).cast("string"), F.lit("0")).alias("checksum"),
+        F.count(F.lit(1)).alias("row_count"), checksum.cast("string").alias("checksum")
     )
 
 
