@@ -48,6 +48,8 @@ def test_search_wildcards_and_literals(spark):
     assert found("a_b") == ["A_B", "AxB"]
     assert found("a_b", literal=True) == ["A_B"]
     assert found("100%", literal=True) == ["100% Act"]
+    assert found("a\\_b") == ["A_B"]  # an escaped wildcard
+    assert found("a\\c") == ["100 Acts", "100% Act"]  # an idle escape
     assert len(found("")) == 5
 
 

@@ -49,6 +49,20 @@ def test_csv_named_index_column(spark, tmp_path):
     assert read_tracks_csv(spark, path).columns == ["track_id", "track_name"]
 
 
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("track_id,track_name\na,Song\n")
+    (tmp_path / "b.csv").write_text("track_name,track_id\nSong,b\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        read_tracks_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_of_several_files(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f"track_id,year,other\nt{i},200{i},x\n")
+    rows = read_tracks_csv(spark, str(tmp_path), multiline=False).collect()
+    assert sorted(map(tuple, rows)) == [("t0", 2000), ("t1", 2001), ("t2", 2002)]
+
+
 def test_fingerprint_ignores_layout_but_not_content(spark):
     df = varied(spark, 60)
     first = table_fingerprint(df).first()

@@ -6,6 +6,8 @@ as an equality key, with one row per key on at least one side.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,11 +50,17 @@ def artist_search(stats: DataFrame, term: str, k: int = 10, literal: bool = Fals
     on a grouping column, so over a lazy :func:`artist_stats` it filters the scan.
     """
     name = name_key()
-    match = name.contains(term.lower()) if literal else name.like(f"%{term.lower()}%")
+    term = term.lower()
+    match = name.contains(term) if literal else name.like(_plain_escapes(f"%{term}%"))
     ranked = stats.filter(match).orderBy(F.desc("avg_popularity"), "artist_name", "genre_group")
     return ranked.limit(k)
 
 
+def _plain_escapes(pattern: str) -> str:
+    """Drop backslashes that escape nothing special; Spark rejects such patterns."""
+    return re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], pattern)
+
+
 def artist_detail(stats: DataFrame, name: str | None = None) -> DataFrame:
     """The 14 report columns, for one artist or for all."""
     wanted = stats if name is None else stats.filter(name_key() == name.lower())

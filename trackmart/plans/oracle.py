@@ -293,9 +293,9 @@ def _class_weights(source: str) -> str:
 
 
 _DOUBLES = (
-    "danceability energy loudness tempo valence acousticness speechiness instrumentalness liveness"
-).split()
-_ROUNDED_DOUBLES = ", ".join(f"{_rounded(c)} AS {c}" for c in _DOUBLES)
+    "danceability, energy, loudness, tempo, valence, acousticness, speechiness, "
+    "instrumentalness, liveness"
+)
 
 _REPORT_STATS = (
     "genre_group, avg_popularity, avg_danceability, avg_energy, avg_valence, avg_acousticness, avg_tempo, "
@@ -317,7 +317,7 @@ def statements() -> dict[str, str]:
         "coerced_tracks": f"""WITH {_RAW}
             SELECT track_id, coalesce(track_name, '') AS track_name, coalesce(artist_name, '') AS artist_name,
                 genre, {_GROUP} AS genre_group, popularity, {_TIER} AS popularity_tier, year,
-                {_ROUNDED_DOUBLES}, duration_ms FROM raw""",
+                {_DOUBLES}, duration_ms FROM raw""",
         "key_violations": f"""WITH {_RAW} SELECT track_id, count(*) AS row_count FROM raw
             GROUP BY track_id HAVING count(*) > 1 OR track_id IS NULL""",
         "length_violations": f"WITH {_RAW} "
@@ -339,9 +339,12 @@ def statements() -> dict[str, str]:
             SELECT {_ID}, track_name, artist_name, genre, popularity, year FROM first_rows""",
         "serving_projection": f"""WITH {_CLEANED}
             SELECT track_id, track_name, artist_name, genre, genre_group, popularity, popularity_tier, year,
-                {_ROUNDED_DOUBLES}, duration_ms FROM cleaned""",
+                {_DOUBLES}, duration_ms FROM cleaned""",
         "engineered_features": f"WITH {_CLEANED} SELECT track_id, "
-        + ", ".join(f"{_rounded(sql)} AS {name}" for name, sql in _FEATURES.items())
+        + ", ".join(
+            f"{_rounded(sql) if name == 'log_duration' else sql} AS {name}"
+            for name, sql in _FEATURES.items()
+        )
         + " FROM cleaned",
         "genre_code": f"""WITH {_CLEANED} SELECT track_id, genre_group,
             CASE genre_group WHEN 'Pop' THEN 0 WHEN 'Rock' THEN 1 WHEN 'Hip-Hop' THEN 2

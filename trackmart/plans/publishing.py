@@ -13,7 +13,7 @@ from trackmart.operators import artists, cleaning, marts, quality
 from trackmart.session import materialize
 from trackmart.sinks import tables
 from trackmart.sources.snapshots import snapshot_path
-from trackmart.sources.tracks import read_tracks_parquet
+from trackmart.sources.tracks import nan_to_null, read_tracks_parquet
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,7 @@ def clean_and_publish(
     raw input is cleaned a single time.
     """
     spark = raw.sparkSession
+    raw = nan_to_null(raw)
     raw_checks = materialize(quality.validate_raw(raw, min_rows), "raw-checks")
     _report(raw_checks, root, "raw", now)
     failed_raw = quality.enforce(raw_checks, strict=False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,16 @@ def read_tracks_csv(
     report them. Quotes are doubled inside quoted fields. Line breaks inside fields
     need ``multiline``, which makes a file one task: supply many files, or switch
     it off where fields hold no line breaks.
+
+    All files must have the same header. A file with another one is an error, but
+    goes unnoticed where a header field is blank, as Spark then cannot compare.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     header = reader.csv(path).columns
     texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = reader.schema(texts).option("multiLine", multiline).csv(path)
+    blank_field = any(re.fullmatch(r"_c\d+", c) for c in header)
+    options = {"multiLine": multiline, "enforceSchema": blank_field}
+    raw = reader.schema(texts).options(**options).csv(path)
 
     tokens = ["", *null_tokens]
     columns = []
