@@ -9,7 +9,7 @@ from tests.frames import raw, varied
 from trackmart import jobs
 from trackmart import schemas as S
 from trackmart.operators import cleaning, quality
-from trackmart.plans.publishing import clean_and_publish
+from trackmart.plans.publishing import clean_and_publish, read_mart
 from trackmart.sources.snapshots import current_version, read_table
 
 NOW = datetime(2024, 1, 1)
@@ -27,6 +27,10 @@ def test_publish(spark, tmp_path):
         mart = read_table(spark, f"{root}/{name}")
         assert quality.schema_mismatches(mart, getattr(S, name.upper())) == []
         assert quality.key_violations(mart, S.PRIMARY_KEYS[name]).count() == 0
+    years = [r["year"] for r in read_mart(spark, root, "music_trends").collect()]
+    assert years == sorted(years) and len(years) == 24
+    scores = [r["avg_popularity"] for r in read_mart(spark, root, "genre_stats").collect()]
+    assert scores == sorted(scores, reverse=True)
     served = cleaning.serving_projection(tracks)
     assert quality.schema_mismatches(served, S.TRACKS) == []
     assert spark.read.json(f"{root}/reports/cleaned").first()["pass_rate"] == "100.0%"

@@ -404,7 +404,8 @@ def statements() -> dict[str, str]:
         "artist_search": f"""WITH {_STATS} SELECT * FROM stats
             WHERE lower(artist_name) LIKE lower('%CUSTOMER#0000001%')
             ORDER BY avg_popularity DESC, artist_name, genre_group LIMIT 10""",
-        "artist_detail": f"""WITH {_STATS} SELECT artist_name, {_REPORT_STATS} FROM stats
+        "artist_detail": f"WITH {_STATS} SELECT artist_name, {_REPORT_STATS} FROM stats",
+        "artist_by_name": f"""WITH {_STATS} SELECT artist_name, {_REPORT_STATS} FROM stats
             WHERE lower(artist_name) = lower('CUSTOMER#000000042')""",
         "top_tracks_per_artist": f"WITH {_CLEANED}, {_TOP} SELECT * FROM top_tracks",
         "primary_genre": f"""WITH {_STATS}

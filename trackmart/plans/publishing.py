@@ -6,15 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackmart import schemas as S
 from trackmart.operators import artists, cleaning, marts, quality
 from trackmart.session import materialize
 from trackmart.sinks import tables
-from trackmart.sources.snapshots import snapshot_path
+from trackmart.sources.snapshots import read_table, snapshot_path
 from trackmart.sources.tracks import nan_to_null, read_tracks_parquet
 
+# Sort columns of each mart, a minus sign meaning descending.
+PRESENTATION_ORDER = {
+    "music_trends": ["year"],
+    "genre_stats": ["-avg_popularity", "genre_group"],
+    "mood_map": ["genre_group"],
+    "artist_stats": ["artist_name", "genre_group"],
+}
+
 
 @dataclass(frozen=True)
 class Published:
@@ -71,6 +80,12 @@ def mart_frames(tracks: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current snapshot of a published mart, in its presentation order."""
+    order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in PRESENTATION_ORDER[name]]
+    return read_table(spark, f"{root}/{name}").orderBy(*order)
+
+
 def _report(checks: DataFrame, root: str, stage: str, now: datetime) -> None:
     # Written before the gate, so a failed run still leaves its report.
     tables.write_report(tables.validation_document(checks, now), f"{root}/reports/{stage}")

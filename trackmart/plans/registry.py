@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.functions import popularity_tier, round_exact
+from trackmart.functions import round_exact
 from trackmart.operators import (
     artists,
     cleaning,
@@ -40,14 +40,22 @@ MIN_ROWS = 1_000
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
 
 
-def _on(source: Callable[[SparkSession, str], DataFrame]):
-    """Register a function of one source frame under its own name."""
+def query(build: Query, name: str | None = None) -> Query:
+    """Register a function of session and table folder."""
+    _QUERIES[name or build.__name__] = build
+    return build
 
-    def register(build: Callable[[DataFrame], DataFrame]):
-        _QUERIES[build.__name__] = lambda spark, folder: build(source(spark, folder))
+
+def _on(source: Query):
+    """Decorator registering functions of one source frame, under their own name by default."""
+
+    def decorate(build: Callable[[DataFrame], DataFrame] | None = None, *, name: str | None = None):
+        if build is None:
+            return lambda b: decorate(b, name=name)
+        query(lambda spark, folder: build(source(spark, folder)), name or build.__name__)
         return build
 
-    return register
+    return decorate
 
 
 on_raw = _on(samples.tracks_raw)
@@ -61,8 +69,8 @@ def registered() -> dict[str, Query]:
 # ------------------------------------------------------------------ sources, sinks
 
 
-@on_raw
-def table_fingerprint_(raw):
+@on_raw(name="table_fingerprint")
+def fingerprint(raw):
     return table_fingerprint(raw.drop("tb4"))
 
 
@@ -131,8 +139,8 @@ def genre_group(raw):
     return cleaning.add_genre_group(raw).select(*ROW_ID, "genre", "genre_group")
 
 
-@on_raw
-def popularity_tier_rows(raw):
+@on_raw(name="popularity_tier")
+def tiers(raw):
     known = raw.filter("popularity IS NOT NULL")
     return cleaning.add_popularity_tier(known).select(*ROW_ID, "popularity", "popularity_tier")
 
@@ -272,6 +280,11 @@ def artist_search(cleaned):
 
 @on_cleaned
 def artist_detail(cleaned):
+    return artists.artist_detail(artists.artist_stats(cleaned))
+
+
+@on_cleaned
+def artist_by_name(cleaned):
     return artists.artist_detail(artists.artist_stats(cleaned), "CUSTOMER#000000042")
 
 
@@ -318,6 +331,7 @@ def _artist_names(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("artist_name").distinct()
 
 
+@query
 def artists_not_found(spark, folder):
     """Names of all customers, once per order, against artists of the catalogue."""
     orders, customers = (samples.table(spark, folder, t) for t in ("orders", "customer"))
@@ -327,9 +341,6 @@ def artists_not_found(spark, folder):
     return artists.artists_not_found(requests, samples.tracks_cleaned(spark, folder))
 
 
-_QUERIES["artists_not_found"] = artists_not_found
-
-
 @on_cleaned
 def artist_radar(cleaned):
     return artists.artist_radar(artists.artist_stats(cleaned))
@@ -383,6 +394,7 @@ def similar_artists_roundtrip(cleaned):
     )
 
 
+@query
 def event_props_json(spark, folder):
     """Event properties decoded to a column and encoded again."""
     events = samples.table(spark, folder, "events")
@@ -392,9 +404,6 @@ def event_props_json(spark, folder):
     )
 
 
-_QUERIES["event_props_json"] = event_props_json
-
-
 # ------------------------------------------------------------------ model inputs
 
 
@@ -507,7 +516,3 @@ def model_report(cleaned):
         fitted, predictions, weights, train.count(), datetime(2024, 1, 1)
     )
     return report.select(F.to_json(F.struct("*")).alias("report"))
-
-
-_QUERIES["table_fingerprint"] = _QUERIES.pop("table_fingerprint_")
-_QUERIES["popularity_tier"] = _QUERIES.pop("popularity_tier_rows")
