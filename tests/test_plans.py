@@ -48,6 +48,14 @@ def test_failed_gate_keeps_the_old_tables_and_leaves_a_report(spark, tmp_path):
     assert spark.read.json(f"{root}/reports/cleaned").first()["failed"] == 1
 
 
+def test_missing_columns_stop_the_run_with_a_report(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(quality.ValidationError, match="required_columns_present"):
+        clean_and_publish(raw(spark, {}).drop("tempo"), root, "v1", NOW, min_rows=1)
+    assert spark.read.json(f"{root}/reports/raw").first()["failed"] == 2
+    assert current_version(spark, f"{root}/tracks") is None
+
+
 def test_jobs(spark, tmp_path, capsys):
     root, source = str(tmp_path / "store"), str(tmp_path / "csv")
     varied(spark).write.option("header", True).option("escape", '"').csv(source)

@@ -44,6 +44,12 @@ def test_raw_suite_repeated_ids(spark):
     assert not verdicts(quality.validate_raw(df, 1))["track_id_unique"]
 
 
+def test_raw_suite_with_a_known_number_of_duplicates(spark):
+    checks = quality.validate_raw(raw(spark, {}), 1, duplicates=3)
+    assert len(verdicts(checks)) == 18 and not verdicts(checks)["track_id_unique"]
+    assert "hashpartitioning" not in checks._jdf.queryExecution().executedPlan().toString()
+
+
 def test_raw_suite_missing_column(spark):
     result = verdicts(quality.validate_raw(raw(spark, {}).drop("tempo", "track_id"), 1))
     failed = {c for c, ok in result.items() if not ok}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.frames import raw, varied
 from trackmart import schemas as S
 from trackmart.operators import cleaning, quality
-from trackmart.session import materialize, scratch_path
+from trackmart.session import fit_shuffles, materialize, scratch_path
 from trackmart.sinks import tables
 from trackmart.sources.fingerprint import changed_since, table_fingerprint
 from trackmart.sources.snapshots import current_version, read_table
@@ -165,6 +165,17 @@ def test_validation_document(spark, tmp_path):
     assert [c["check"] for c in report["checks"] if not c["passed"]] == ["tempo_positive"]
 
 
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert fit_shuffles(spark.range(10)) == 8
+        assert fit_shuffles(spark.range(10_000), bytes_per_partition=1000) == 80
+        assert fit_shuffles(spark.range(10**12), most=500) == 500
+        assert spark.conf.get(key) == "500"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_scratch_follows_the_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(base)

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from trackmart import schemas as S
 from trackmart.operators.model import score_tracks
 from trackmart.plans import insight, publishing, training
-from trackmart.session import build_session, materialize
+from trackmart.session import build_session, fit_shuffles, materialize
 from trackmart.sinks import tables
 from trackmart.sources.fingerprint import changed_since
 from trackmart.sources.snapshots import current_version, read_table
@@ -23,6 +23,7 @@ from trackmart.sources.tracks import read_tracks_csv
 def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     tokens = S.PANDAS_NULL_TOKENS if args.pandas_nulls else ()
     raw = read_tracks_csv(spark, args.raw, null_tokens=tokens, multiline=not args.single_line)
+    fit_shuffles(raw)
     raw = materialize(raw, "raw-tracks")  # parse the text once, for several columnar passes
     manifest = f"{args.root}/input-manifest"
     if args.skip_unchanged and not changed_since(raw, manifest, now):
@@ -33,7 +34,7 @@ def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> Non
 
 
 def train(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = read_table(spark, f"{args.root}/tracks")
+    tracks = _tracks(spark, args.root)
     training.train_and_save(tracks, f"{args.root}/models/{args.kind}", now, args.kind)
 
 
@@ -44,14 +45,14 @@ def score(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
 
 
 def prompts(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = read_table(spark, f"{args.root}/tracks")
+    tracks = _tracks(spark, args.root)
     insight.pending_prompts(tracks, _profiles(spark, args.root)).write.mode("overwrite").parquet(
         args.out
     )
 
 
 def merge(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = read_table(spark, f"{args.root}/tracks")
+    tracks = _tracks(spark, args.root)
     merged = insight.merge_replies(
         tracks, _profiles(spark, args.root), spark.read.parquet(args.replies)
     )
@@ -60,6 +61,12 @@ def merge(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     merged.rejected.write.mode("overwrite").parquet(f"{args.root}/rejected_replies/{version}")
 
 
+def _tracks(spark: SparkSession, root: str):
+    tracks = read_table(spark, f"{root}/tracks")
+    fit_shuffles(tracks)
+    return tracks
+
+
 def _profiles(spark: SparkSession, root: str):
     """Stored profiles; an empty table before the first merge."""
     path = f"{root}/artist_profiles"

@@ -60,8 +60,14 @@ def _known_pass(column: str, condition: Column) -> Column:
     return (F.count_if(~condition) == 0) & (F.count(column) > 0)
 
 
-def validate_raw(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
-    """The 18 advisory checks on raw tracks; null values fail range checks."""
+def validate_raw(
+    df: DataFrame, min_rows: int = S.MIN_ROWS, duplicates: int | None = None
+) -> DataFrame:
+    """The 18 advisory checks on raw tracks; null values fail range checks.
+
+    Where the number of repeated ids is known already, say from the cleaning
+    audit, passing it saves the keyed count.
+    """
     checks: list[tuple[str, str | None, Column | None]] = [
         ("track_id_not_null", "track_id", F.col("track_id").isNotNull()),
         ("track_id_unique", "track_id", None),
@@ -83,6 +89,8 @@ def validate_raw(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
     for position, (name, column, condition) in enumerate(checks, start=3):
         if column not in df.columns:
             verdicts.append((position, name, F.lit(False)))
+        elif condition is None and duplicates is not None:
+            verdicts.append((position, name, F.lit(duplicates == 0)))
         elif condition is None:
             unique = (position, name, column)
         else:

@@ -10,8 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Reduce-side sizes are left to adaptive execution, which coalesces small
-# shuffle partitions and splits skewed ones; nothing here fixes a width.
+# Adaptive execution coalesces small shuffle partitions and splits skewed ones,
+# but starts from a given number and never exceeds it; see fit_shuffles.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -51,6 +51,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def fit_shuffles(
+    df: DataFrame, bytes_per_partition: int = 256 << 20, most: int = 50_000
+) -> int:
+    """Size the session's shuffles for the input ``df`` scans; returns the number.
+
+    Uses the planner's size estimate, so nothing is read. Adaptive execution
+    merges whatever turns out small. Beyond ``most`` partitions the bookkeeping of
+    map outputs costs more than larger, spilling partitions do.
+    """
+    spark = df.sparkSession
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = max(least, min(most, -(-estimate // bytes_per_partition)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
