@@ -64,13 +64,39 @@ def test_defaults_are_for_missing_keys_only(spark):
     assert row["career_start"] == 2007 and row["similar_artists"] == "[]"
 
 
-@pytest.mark.parametrize("reply", ['{"a": ', "[1, 2]", '"text"', "sorry", "", "7", "null"])
+UNUSABLE = [
+    '{"a": ',
+    "[1, 2]",
+    '"text"',
+    "sorry",
+    "",
+    "7",
+    "null",
+    '{"fun_fact": "x"} and more',
+    '{"fun_fact": "x"}] and more',
+    '{"fun_fact": "x"}, {"fun_fact": "y"}',
+    '{"fun_fact": "x"}{"fun_fact": "y"}',
+    '{"fun_fact": "x",}',
+    "{'fun_fact': 'x'}",
+    '{"career_start": "about 1999"}',
+]
+
+
+@pytest.mark.parametrize("reply", UNUSABLE)
 def test_unusable_replies_are_kept_apart(spark, reply):
     parsed = parse(spark, reply)
     assert profiles.accepted(parsed).count() == 0
     assert profiles.quarantine(parsed).first()["reply"] == reply
 
 
+def test_reply_values_of_other_types(spark):
+    reply = '{"career_start": "1998", "similar_artists": "One", "fun_fact": 7}'
+    row = profiles.accepted(parse(spark, reply)).first()
+    assert (row["career_start"], row["similar_artists"], row["fun_fact"]) == (1998, '"One"', "7")
+    row = profiles.accepted(parse(spark, '{"career_start": 1998.5, "similar_artists": null}')).first()
+    assert (row["career_start"], row["similar_artists"]) == (1999, "null")
+
+
 def test_reply_for_an_unknown_artist_keeps_its_name(spark):
     df = spark.createDataFrame(
         [("Who", "{}", datetime(2024, 1, 1))], "artist_name string, reply string, generated_at timestamp"

@@ -48,6 +48,7 @@ REPLY_KEYS = [
 _TAGGED_FENCE = "```json"
 _FENCE = "```"
 _BLANKS = r"^\s+|\s+$"
+_MARK = "end of reply"
 
 
 def profile_prompts(overview: DataFrame) -> DataFrame:
@@ -91,44 +92,64 @@ def reply_body(reply: Column) -> Column:
     return F.regexp_replace(body, _BLANKS, "")
 
 
+def reply_document(reply: Column) -> Column:
+    """The reply's JSON as ``[value, mark]``, null where the text is not JSON.
+
+    The parser ignores text after a complete value. Closing the array behind the
+    body makes such text an error, and anything else that ends it early misses
+    the mark.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), reply_body(reply), F.lit(f',"{_MARK}"]')))
+
+
 def parse_replies(replies: DataFrame, stats: DataFrame) -> DataFrame:
     """Profile rows from raw replies, with ``parsed`` false for unusable ones.
 
     ``replies`` holds artist_name, reply, generated_at; ``stats`` one row per
     artist key (:func:`trackmart.operators.artists.primary_genre`), giving the
     canonical name and the default career start. A default replaces a missing
-    key only: an explicit JSON null stays null.
+    key only: an explicit JSON null stays null. Unusable are replies that are not
+    one JSON object, repeat a key, or give a career start that is no number.
     """
-    document = F.try_parse_json(reply_body(F.col("reply")))
     read = replies.select(
         name_key().alias("artist_key"),
         F.col("artist_name").alias("_requested"),
         "reply",
         "generated_at",
-        document.alias("_doc"),
+        reply_document(F.col("reply")).alias("_doc"),
     )
     known = stats.select("artist_key", F.col("artist_name").alias("_canonical"), "first_year")
     joined = salted_left_join(read, known, "artist_key", spread=["reply", "generated_at"])
 
-    def field(name: str, kind: str, default: Column) -> Column:
-        path = f"$.{name}"
-        present = F.try_variant_get("_doc", path, "variant").isNotNull()
-        return F.when(present, F.try_variant_get("_doc", path, kind)).otherwise(default)
-
-    is_object = F.schema_of_variant("_doc").startswith("OBJECT")
-    columns = {name: field(name, "string", F.lit(d)) for name, d in REPLY_TEXT_FIELDS.items()}
-    columns["career_start"] = field("career_start", "int", F.col("first_year"))
-    similar = field("similar_artists", "array<string>", F.array().cast("array<string>"))
-    columns["similar_artists"] = F.to_json(similar)
-
-    parsed = F.coalesce(is_object, F.lit(False))
-    return joined.select(
+    def value(path: str, kind: str = "variant") -> Column:
+        return F.try_variant_get("_doc", f"$[0]{path}", kind)
+
+    def field(name: str, found: Column, default: Column) -> Column:
+        return F.when(value(f".{name}").isNotNull(), found).otherwise(default)
+
+    columns = {
+        name: field(name, value(f".{name}", "string"), F.lit(default))
+        for name, default in REPLY_TEXT_FIELDS.items()
+    }
+    year = F.round(value(".career_start", "double")).try_cast("int")
+    columns["career_start"] = field("career_start", year, F.col("first_year"))
+    similar = F.to_json(value(".similar_artists"))
+    columns["similar_artists"] = field("similar_artists", similar, F.lit("[]"))
+
+    whole = F.try_variant_get("_doc", "$[1]", "string") == _MARK
+    single = F.try_variant_get("_doc", "$[2]", "variant").isNull()
+    is_object = F.schema_of_variant(value("")).startswith("OBJECT")
+    given_year = value(".career_start", "string")
+    parsed = F.coalesce(whole & single & is_object, F.lit(False)) & (
+        given_year.isNull() | year.isNotNull()
+    )
+    return joined.withColumn("parsed", parsed).select(
         F.coalesce("_canonical", "_requested").alias("artist_name"),
         *[
-            F.when(parsed, columns[c]).alias(c) if c in columns else F.col(c)
+            F.when(F.col("parsed"), columns[c]).alias(c) if c in columns else F.col(c)
             for c in PROFILE_FIELDS
         ],
-        parsed.alias("parsed"),
+        "parsed",
         "reply",
     )
 
