@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -125,3 +126,50 @@ def test_coerced_tracks(spark):
     row = coerced.first()
     assert row["popularity"] == 44 and row["track_name"] == ""
     assert dict(coerced.dtypes)["popularity"] == "int"
+
+
+def test_cleaning_equals_a_plain_python_computation(spark):
+    dice = random.Random(7)
+
+    def draw(*values):
+        return dice.choice(values)
+
+    changes = [
+        {
+            "track_id": draw(None, *[f"t{i}" for i in range(120)]),
+            "track_name": draw(None, "Song", "Song", "Tune", "Air"),
+            "artist_name": draw(None, "Act", "Act", "Band", "Duo"),
+            "genre": draw(None, "pop", "k-pop", "jazz", "rock"),
+            "popularity": draw(None, -1, 0, 30, 31, 60, 61, 100, 101),
+            "tempo": draw(None, 0.0, 90.0, 120.0, 130.0),
+            "loudness": draw(-1.0, -2.0, -3.0, 0.0),
+            "duration_ms": draw(30_000, 30_001, 200_000, 200_000),
+            "key": draw(-1, 0, 5, None),
+        }
+        for _ in range(300)
+    ]
+    df = raw(spark, *changes)
+    order = [c for c in df.columns if c != "track_id"]
+    first = {}
+    for row in df.collect():
+        rank = [(row[c] is not None, row[c]) for c in order]
+        if row["track_id"] not in first or rank < first[row["track_id"]][0]:
+            first[row["track_id"]] = (rank, row)
+    named = [
+        r for _, r in first.values()
+        if None not in (r["popularity"], r["genre"], r["artist_name"], r["track_name"])
+    ]
+    kept = [
+        r for r in named
+        if r["duration_ms"] > 30_000 and (r["tempo"] or 0) > 0 and r["loudness"] < 0
+        and 0 <= r["popularity"] <= 100
+    ]
+    expected = sorted(
+        (str(r["track_id"]), None if r["key"] == -1 else r["key"], r["popularity"]) for r in kept
+    )
+    got = cleaning.clean(df).select("track_id", "key", "popularity").collect()
+    assert sorted((str(r[0]), r[1], r[2]) for r in got) == expected
+    audit = cleaning.cleaning_audit(df).first()
+    assert audit["duplicates_removed"] == 300 - len(first)
+    assert audit["nulls_removed"] == len(first) - len(named)
+    assert audit["outliers_removed"] == len(named) - len(kept)
