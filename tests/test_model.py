@@ -139,7 +139,7 @@ def test_confusion_dense_fills_absent_cells(spark):
 
 
 def test_metrics_equal_the_library_evaluator(trained):
-    _, predictions, _, _ = trained
+    predictions = trained.predictions
     row = evaluation.classification_metrics(predictions).first()
     names = {"f1": "f1", "accuracy": "accuracy", "weighted_precision": "weightedPrecision",
              "weighted_recall": "weightedRecall"}
@@ -149,25 +149,25 @@ def test_metrics_equal_the_library_evaluator(trained):
 
 
 def test_full_model_learns_and_has_three_classes(trained):
-    fitted, predictions, _, _ = trained
+    fitted, predictions = trained.model, trained.predictions
     assert fitted.stages[-1].numClasses == 3
     assert sorted(model.tier_labels(fitted)) == sorted(S.TIERS)
     assert evaluation.classification_metrics(predictions).first()["accuracy"] > 0.8
 
 
 def test_importance(spark, trained):
-    rows = evaluation.feature_importance(trained[0], spark).collect()
+    rows = evaluation.feature_importance(trained.model, spark).collect()
     assert len(rows) == 20 and rows[0]["feature"] in ("loudness", "loudness_energy")
     assert sum(r["importance"] for r in rows) == pytest.approx(1, abs=1e-4)
 
 
 def test_same_seed_same_model(catalogue, trained):
-    again, *_ = training.train_model(catalogue, training.FULL, **SMALL)
-    assert again.stages[-1].featureImportances == trained[0].stages[-1].featureImportances
+    again = training.train_model(catalogue, training.FULL, **SMALL).model
+    assert again.stages[-1].featureImportances == trained.model.stages[-1].featureImportances
 
 
 def test_scoring(spark, catalogue, trained, tmp_path):
-    fitted = trained[0]
+    fitted = trained.model
     requests = catalogue.select("track_id", *S.SCORE_DEFAULTS, "popularity_tier")
     holes = requests.withColumns({"tempo": F.lit(None).cast("double"), "genre_group": F.lit("Unseen")})
     scored = model.score_tracks(fitted, requests.unionByName(holes))
@@ -192,7 +192,8 @@ def test_scoring(spark, catalogue, trained, tmp_path):
 
 
 def test_compact_model_scores_unknown_genres(catalogue):
-    fitted, predictions, _, weights = training.train_model(catalogue, training.COMPACT, **SMALL)
+    result = training.train_model(catalogue, training.COMPACT, **SMALL)
+    fitted, predictions, weights = result.model, result.predictions, result.weights
     assert evaluation.feature_names(fitted) == model.COMPACT_FEATURES
     assert weights.count() == 3
     assert evaluation.classification_metrics(predictions).first()["accuracy"] > 0.8
@@ -200,6 +201,17 @@ def test_compact_model_scores_unknown_genres(catalogue):
     assert model.score_tracks(fitted, requests).count() == catalogue.count()
 
 
+def test_weights_may_come_from_all_rows(catalogue):
+    frame = training.split_rows(catalogue).persist()
+    counts = {
+        weigh_all: training.train_on(frame, training.FULL, weigh_all, numTrees=1, maxDepth=1)
+        .weights.agg(F.sum("class_count"))
+        .first()[0]
+        for weigh_all in (False, True)
+    }
+    assert counts[False] < counts[True] == catalogue.count()
+
+
 def test_train_and_save(spark, catalogue, tmp_path):
     path = str(tmp_path / "run")
     training.train_and_save(catalogue, path, datetime(2024, 1, 1), **SMALL)

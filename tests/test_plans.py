@@ -60,7 +60,9 @@ def test_jobs(spark, tmp_path, capsys):
     root, source = str(tmp_path / "store"), str(tmp_path / "csv")
     varied(spark).write.option("header", True).option("escape", '"').csv(source)
     publish = ["publish", "--root", root, "--raw", source, "--min-rows", "10", "--skip-unchanged"]
-    jobs.main(publish)
+    with pytest.raises(quality.ValidationError):
+        jobs.main([*publish[:-3], "--min-rows", "1000000", "--skip-unchanged"])
+    jobs.main(publish)  # the failed run did not mark the input as done
     first = current_version(spark, f"{root}/tracks")
     jobs.main(publish)
     assert "unchanged" in capsys.readouterr().out

@@ -1,14 +1,15 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.frames import raw, varied
 from trackmart import schemas as S
 from trackmart.operators import cleaning, quality
-from trackmart.session import fit_shuffles, materialize, scratch_path
+from trackmart.session import fit_shuffles, materialize, scratch_path, staged
 from trackmart.sinks import tables
-from trackmart.sources.fingerprint import changed_since, table_fingerprint
+from trackmart.sources.fingerprint import last_recorded, record, table_fingerprint
 from trackmart.sources.snapshots import current_version, read_table
 from trackmart.sources.tracks import read_tracks_csv
 
@@ -73,13 +74,12 @@ def test_fingerprint_ignores_layout_but_not_content(spark):
     assert table_fingerprint(df.withColumn("key", F.lit(None).cast("int"))).first() != first
 
 
-def test_changed_since(spark, tmp_path):
+def test_fingerprint_manifest(spark, tmp_path):
     manifest = str(tmp_path / "manifest")
-    df = raw(spark, {}, {})
-    assert changed_since(df, manifest, datetime(2024, 1, 1))
-    assert not changed_since(df, manifest, datetime(2024, 1, 2))
-    assert changed_since(raw(spark, {}), manifest, datetime(2024, 1, 3))
-    assert changed_since(df, manifest, datetime(2024, 1, 4))
+    assert last_recorded(spark, manifest) is None
+    record(spark, manifest, (2, "11"), datetime(2024, 1, 1))
+    record(spark, manifest, (3, "7"), datetime(2024, 1, 2))
+    assert last_recorded(spark, manifest) == (3, "7")
 
 
 def test_partitioned_write_and_pruning(spark, tmp_path):
@@ -180,3 +180,11 @@ def test_scratch_follows_the_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(base)
     assert materialize(spark.range(4), "four").count() == 4
+
+
+def test_staged_tables_go_away(spark):
+    with staged(spark.range(4), "four") as four:
+        (file,) = {f.rsplit("/", 1)[0] for f in four.inputFiles()}
+        assert four.count() == 4
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(file)

@@ -1,6 +1,6 @@
 """Command line for spark-submit: publish, train, score, prompts, merge.
 
-    spark-submit --py-files trackmart.zip -m trackmart.jobs publish --raw ... --root ...
+    spark-submit --py-files trackmart.zip trackmart/jobs.py publish --raw ... --root ...
 """
 
 from __future__ import annotations
@@ -13,23 +13,27 @@ from pyspark.sql import SparkSession
 from trackmart import schemas as S
 from trackmart.operators.model import score_tracks
 from trackmart.plans import insight, publishing, training
-from trackmart.session import build_session, fit_shuffles, materialize
+from trackmart.session import build_session, fit_shuffles, staged
 from trackmart.sinks import tables
-from trackmart.sources.fingerprint import changed_since
+from trackmart.sources.fingerprint import last_recorded, record, table_fingerprint
 from trackmart.sources.snapshots import current_version, read_table
 from trackmart.sources.tracks import read_tracks_csv
 
 
 def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     tokens = S.PANDAS_NULL_TOKENS if args.pandas_nulls else ()
-    raw = read_tracks_csv(spark, args.raw, null_tokens=tokens, multiline=not args.single_line)
-    fit_shuffles(raw)
-    raw = materialize(raw, "raw-tracks")  # parse the text once, for several columnar passes
+    text = read_tracks_csv(spark, args.raw, null_tokens=tokens, multiline=not args.single_line)
+    fit_shuffles(text)
     manifest = f"{args.root}/input-manifest"
-    if args.skip_unchanged and not changed_since(raw, manifest, now):
-        print("input unchanged, nothing published")
-        return
-    done = publishing.clean_and_publish(raw, args.root, _version(now), now, args.min_rows)
+    with staged(text, "raw-tracks") as raw:  # parse once, for several columnar passes
+        if args.skip_unchanged:
+            current = tuple(table_fingerprint(raw).first())
+            if current == last_recorded(spark, manifest):
+                print("input unchanged, nothing published")
+                return
+        done = publishing.clean_and_publish(raw, args.root, _version(now), now, args.min_rows)
+    if args.skip_unchanged:
+        record(spark, manifest, current, now)  # a failed run is tried again
     print(f"published {done.version}; advisory checks failed: {done.failed_raw_checks}")
 
 

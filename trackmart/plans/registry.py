@@ -484,35 +484,37 @@ def classification_metrics(cleaned):
 
 @on_cleaned
 def train_tier_model(cleaned):
-    _, predictions, _, _ = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    return evaluation.classification_metrics(predictions)
+    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
+    return evaluation.classification_metrics(result.predictions)
 
 
 @on_cleaned
 def train_compact_model(cleaned):
-    _, predictions, _, _ = training.train_model(cleaned, training.COMPACT, **SMALL_FOREST)
-    return evaluation.classification_metrics(predictions).select("f1", "accuracy")
+    result = training.train_model(cleaned, training.COMPACT, **SMALL_FOREST)
+    return evaluation.classification_metrics(result.predictions).select("f1", "accuracy")
 
 
 @on_cleaned
 def feature_importance(cleaned):
-    fitted, *_ = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    return evaluation.feature_importance(fitted, cleaned.sparkSession)
+    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
+    return evaluation.feature_importance(result.model, cleaned.sparkSession)
 
 
 @on_cleaned
 def score_tracks(cleaned):
-    fitted, *_ = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    scored = model.score_tracks(fitted, _requests(cleaned))
+    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
+    scored = model.score_tracks(result.model, _requests(cleaned))
     return scored.select("track_id", "popularity_tier", "confidence", "message", "probabilities.*")
 
 
 @on_cleaned
 def model_report(cleaned):
-    fitted, predictions, train, weights = training.train_model(
-        cleaned, training.FULL, **SMALL_FOREST
-    )
+    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
     report = evaluation.model_report(
-        fitted, predictions, weights, train.count(), datetime(2024, 1, 1)
+        result.model,
+        result.predictions,
+        result.weights,
+        result.train.count(),
+        datetime(2024, 1, 1),
     )
     return report.select(F.to_json(F.struct("*")).alias("report"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
@@ -11,47 +12,62 @@ from pyspark.sql import functions as F
 from trackmart import schemas as S
 from trackmart.operators import evaluation, model, splits
 from trackmart.operators.features import training_rows
-from trackmart.session import materialize
+from trackmart.session import materialize, staged
 from trackmart.sinks.tables import write_report
 
 FULL, COMPACT = "full", "compact"
 
 
-def training_frames(tracks: DataFrame, kind: str, weigh_all: bool = False):
-    """(train, test, weights), split per ``kind`` and written once.
+def split_rows(tracks: DataFrame, kind: str = FULL) -> DataFrame:
+    """Complete training rows with their ``split``: by hash of the key for the
+    full model, by hash within each tier for the compact one."""
+    rows = training_rows(tracks).select("track_id", *S.TRAINING_COLUMNS)
+    return splits.hash_split(rows) if kind == FULL else splits.stratified_split(rows)
+
+
+@dataclass(frozen=True)
+class Trained:
+    model: PipelineModel
+    predictions: DataFrame  # on the test rows
+    train: DataFrame
+    weights: DataFrame
+
+
+def train_on(frame: DataFrame, kind: str, weigh_all: bool = False, **settings) -> Trained:
+    """Train on a stored split frame; fitting passes over it many times.
 
-    Fitting passes over its input many times, so the split frame is materialised.
-    The full model splits by hash; the compact one by hash within each tier.
     Weights come from the training rows, or from all rows with ``weigh_all``.
     """
-    rows = training_rows(tracks).select("track_id", *S.TRAINING_COLUMNS)
-    split = splits.hash_split(rows) if kind == FULL else splits.stratified_split(rows)
-    frame = materialize(split, f"training-{kind}")
     train, test = (frame.filter(F.col("split") == part) for part in (splits.TRAIN, splits.TEST))
     digits = 2 if kind == FULL else None
     weights = splits.class_weights(frame if weigh_all else train, digits=digits)
-    return splits.add_class_weights(train, weights), test, weights
+    build = model.full_pipeline if kind == FULL else model.compact_pipeline
+    fitted = build(**settings).fit(splits.add_class_weights(train, weights))
+    return Trained(fitted, fitted.transform(test), train, weights)
 
 
 def train_model(
     tracks: DataFrame, kind: str = FULL, weigh_all: bool = False, **settings
-) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:
-    """(model, predictions on the test rows, train rows, class weights)."""
-    train, test, weights = training_frames(tracks, kind, weigh_all)
-    build = model.full_pipeline if kind == FULL else model.compact_pipeline
-    fitted = build(**settings).fit(train)
-    return fitted, fitted.transform(test), train, weights
+) -> Trained:
+    frame = materialize(split_rows(tracks, kind), f"training-{kind}")
+    return train_on(frame, kind, weigh_all, **settings)
 
 
 def train_and_save(
     tracks: DataFrame, path: str, now: datetime, kind: str = FULL, **settings
 ) -> DataFrame:
     """Train, save model and report under ``path``, and return the report row."""
-    fitted, predictions, train, weights = train_model(tracks, kind, **settings)
-    fitted.write().overwrite().save(f"{path}/model")
-    report = evaluation.model_report(
-        fitted, predictions, weights, train.count(), now, f"{path}/model"
-    )
+    with staged(split_rows(tracks, kind), f"training-{kind}") as frame:
+        result = train_on(frame, kind, **settings)
+        result.model.write().overwrite().save(f"{path}/model")
+        report = evaluation.model_report(
+            result.model,
+            result.predictions,
+            result.weights,
+            result.train.count(),
+            now,
+            f"{path}/model",
+        )
     write_report(report, f"{path}/report")
     return report
 

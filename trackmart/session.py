@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,8 +74,22 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     For frames several jobs read. Unlike a cache, the written table outlives
-    lost executors and cuts the lineage behind it.
+    lost executors and cuts the lineage behind it. It stays until the scratch
+    folder is cleared; use :func:`staged` where its end is known.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`materialize` for the length of a block; the table is then deleted."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

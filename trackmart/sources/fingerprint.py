@@ -29,21 +29,19 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
-def changed_since(df: DataFrame, manifest: str, now: datetime) -> bool:
-    """Whether the table differs from the last recorded one; records it if so."""
-    spark = df.sparkSession
-    current = tuple(table_fingerprint(df).first())
-    if current == _last_recorded(spark, manifest):
-        return False
-    entry = spark.createDataFrame([(*current, now)], MANIFEST_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(manifest)
-    return True
-
-
-def _last_recorded(spark: SparkSession, manifest: str) -> tuple | None:
+def last_recorded(spark: SparkSession, manifest: str) -> tuple[int, str] | None:
+    """The fingerprint recorded last, if any."""
     try:
         entries = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
         last = entries.orderBy(F.desc("saved_at")).first()
     except AnalysisException:  # nothing recorded yet
         return None
     return (last["row_count"], last["checksum"]) if last else None
+
+
+def record(
+    spark: SparkSession, manifest: str, fingerprint: tuple[int, str], saved_at: datetime
+) -> None:
+    """Record a fingerprint, best once the work on its table is done."""
+    entry = spark.createDataFrame([(*fingerprint, saved_at)], MANIFEST_SCHEMA)
+    entry.coalesce(1).write.mode("append").parquet(manifest)
