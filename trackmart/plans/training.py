@@ -40,7 +40,9 @@ def train_on(frame: DataFrame, kind: str, weigh_all: bool = False, **settings) -
     """
     train, test = (frame.filter(F.col("split") == part) for part in (splits.TRAIN, splits.TEST))
     digits = 2 if kind == FULL else None
-    weights = splits.class_weights(frame if weigh_all else train, digits=digits)
+    counted = splits.class_weights(frame if weigh_all else train, digits=digits)
+    # One row per tier, held here so that each pass of the fit does not count anew.
+    weights = frame.sparkSession.createDataFrame(counted.collect(), counted.schema)
     build = model.full_pipeline if kind == FULL else model.compact_pipeline
     fitted = build(**settings).fit(splits.add_class_weights(train, weights))
     return Trained(fitted, fitted.transform(test), train, weights)
