@@ -135,6 +135,22 @@ class Lookup(dict):
         return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
 
 
+class Table(Lookup):
+    """A :class:`Lookup` whose values are rows of numbers, kept in the array ``rows``."""
+
+    def __init__(self, make: Callable, width: int, limit: int = 400_000, dtype=np.float64):
+        super().__init__(make, limit)
+        self.rows = np.zeros((1024, width), dtype)
+
+    def __missing__(self, key):
+        self[key] = row = len(self.values)
+        self.values.append(None)
+        if row == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[row] = self.make(key)
+        return row
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start+1, ... of each run, one run after the other."""
     total = int(lengths.sum())
@@ -142,3 +158,16 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
+
+
+def portions(texts: list[bytes], budget: int = 2 << 20):
+    """Slices (first, last) of ``texts`` of about ``budget`` bytes, so that the words of
+    a whole batch are never all in memory as Python objects."""
+    first, size = 0, 0
+    for n, text in enumerate(texts):
+        size += len(text)
+        if size >= budget:
+            yield first, n + 1
+            first, size = n + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

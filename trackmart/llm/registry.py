@@ -1,17 +1,36 @@
 """The operators' queries and their SQL equivalents."""
 
-from trackmart.llm import exact_dedup, mixing, pii
+from trackmart.llm import (
+    chunking,
+    exact_dedup,
+    jaccard_join,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    toxicity,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
+        jaccard_join.op1_ngram_jaccard_join,
         exact_dedup.op2_exact_dedup,
+        packing.op3_best_fit_packing,
+        quality.op4_quality_grade,
+        toxicity.op5_toxicity,
+        language.op6_language_id,
+        chunking.op7_content_fingerprints,
         mixing.op8_curriculum_mix,
         pii.op9_pii,
+        line_dedup.op10_line_dedup,
     )
 }
 
 STATEMENTS = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op8_curriculum_mix": mixing.SQL,
+    "op10_line_dedup": line_dedup.SQL,
 }
