@@ -297,7 +297,7 @@ def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
 
 def opened_pairs(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets from different groups that the matrix cannot rule out: a, b."""
-    rows = shared.join(groups, "set_id", "left").select(
+    rows = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "token", "set_id", "n", F.coalesce("label", "set_id").alias("grp")
     )
     facts = (
