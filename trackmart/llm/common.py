@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from trackmart.session import materialize
 
@@ -64,23 +65,10 @@ def exact(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def arrow_schema(schema: str) -> pa.Schema:
-    """Arrow schema of a DDL string, for batches built in workers."""
-    kinds = {
-        T.LongType: pa.int64(),
-        T.IntegerType: pa.int32(),
-        T.DoubleType: pa.float64(),
-        T.FloatType: pa.float32(),
-        T.StringType: pa.string(),
-        T.BooleanType: pa.bool_(),
-        T.BinaryType: pa.binary(),
-    }
-
-    def kind(t):
-        return pa.list_(kind(t.elementType)) if isinstance(t, T.ArrayType) else kinds[type(t)]
-
-    struct = T.StructType.fromDDL(schema)
-    return pa.schema([(f.name, kind(f.dataType)) for f in struct])
+def arrow_schema(schema: str | T.StructType) -> pa.Schema:
+    """Arrow schema for batches built in workers."""
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return to_arrow_schema(struct)
 
 
 def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable | None = None):
@@ -96,7 +84,7 @@ def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable |
         for batch in batches:
             for columns in per_batch(batch, state):
                 arrays = [
-                    c if isinstance(c, pa.Array) else pa.array(c, type=f.type, from_pandas=False)
+                    c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                     for c, f in zip(columns, target, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)

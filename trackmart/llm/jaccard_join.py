@@ -87,10 +87,10 @@ def shingle_sets(texts: list[bytes], table: Table, words: int) -> list[np.ndarra
         if n >= words:
             out.append(np.unique(rolled[at : at + n - words + 1]))
         elif n:
-            whole = np.uint64(n)
+            whole = np.array([n], np.uint64)
             for h in hashes[at : at + n]:
                 whole = whole * MULTIPLIER + h
-            out.append(scrambled(np.array([whole])))
+            out.append(scrambled(whole))
         else:
             out.append(np.zeros(0, np.uint64))
         at += n

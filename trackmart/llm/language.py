@@ -32,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from trackmart.llm.common import (
@@ -227,13 +228,32 @@ def _expectations(factors, moves, mask, uniform):
     return marginals, expected
 
 
-def predict(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: doc_id, lang_pred, score, and the mean probability of each
-    language of ``model.languages`` as ``shares``."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+def _labels(batch_texts: list[bytes], words: Table, model: Model):
+    """Language, score and mean probabilities of each text."""
+    languages = model.languages
+    for a, b in portions(batch_texts):
+        words.trim()
+        split = [t.split() if languages else [] for t in batch_texts[a:b]]
+        lengths = np.array([len(s) for s in split], np.int64)
+        rows = words.indices([w for s in split for w in s])
+        scores, counts = words.rows[rows, :-1], words.rows[rows, -1]
+        chances = label_chains(scores, lengths, model.moves) * counts[:, None]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        for n in range(len(split)):
+            own = slice(ends[n], ends[n + 1])
+            total = counts[own].sum()
+            if not total:
+                yield UNKNOWN, 0.0, []
+                continue
+            shares = chances[own].sum(0) / total
+            best = int(shares.argmax())
+            yield languages[best], min(1.0, float(shares[best])), shares.tolist()
+
+
+def _with_labels(docs: DataFrame, text_col: str, model: Model, schema, arrange) -> DataFrame:
+    """Map ``docs`` to ``arrange(columns, labels)`` in batches."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index(text_col)
 
     def setup():
         model = sent.value
@@ -245,37 +265,33 @@ def predict(
         return Table(score, model.weights.shape[1] + 1)
 
     def per_batch(batch, words):
-        model = sent.value
-        languages = model.languages
-        ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-        out = [ids, [], [], []]
-        for a, b in portions(texts):
-            words.trim()
-            split = [t.split() if languages else [] for t in texts[a:b]]
-            lengths = np.array([len(s) for s in split], np.int64)
-            rows = words.indices([w for s in split for w in s])
-            if len(rows):
-                scores, counts = words.rows[rows, :-1], words.rows[rows, -1]
-                chances = label_chains(scores, lengths, model.moves)
-                chances = chances * counts[:, None]
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            for n in range(len(split)):
-                own = slice(ends[n], ends[n + 1])
-                total = counts[own].sum() if lengths[n] else 0
-                if not total:
-                    for column, value in zip(out[1:], (UNKNOWN, 0.0, []), strict=True):
-                        column.append(value)
-                    continue
-                shares = chances[own].sum(0) / total
-                best = int(shares.argmax())
-                out[1].append(languages[best])
-                out[2].append(min(1.0, float(shares[best])))
-                out[3].append(shares.tolist())
-        yield out
+        labels = list(_labels(utf8(batch.column(text)), words, sent.value))
+        yield arrange(batch.columns, list(zip(*labels)) or [[], [], []])
 
-    schema = "doc_id long, lang_pred string, score double, shares array<double>"
+    return map_arrow(docs, per_batch, schema, setup)
+
+
+def predict(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: doc_id, lang_pred, score, and the mean probability of each
+    language of ``model.languages`` as ``shares``."""
     read = docs.select(exact(id_col).cast("long").alias("doc_id"), exact(text_col).alias("text"))
-    return map_arrow(read, per_batch, schema, setup)
+    schema = "doc_id long, lang_pred string, score double, shares array<double>"
+    return _with_labels(
+        read, "text", model, schema, lambda columns, labels: [columns[0], *labels]
+    )
+
+
+def label_rows(
+    docs: DataFrame, model: Model, lang_name: str, score_name: str, text_col: str = "text"
+) -> DataFrame:
+    """``docs`` as they are with two columns added, of names they must not have."""
+    added = [T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
+    kinds = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), *added])
+    return _with_labels(
+        docs, text_col, model, kinds, lambda columns, labels: [*columns, *labels[:2]]
+    )
 
 
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:

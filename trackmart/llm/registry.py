@@ -1,5 +1,6 @@
 """The operators' queries and their SQL equivalents."""
 
+import corpus_pipeline
 from trackmart.llm import (
     chunking,
     exact_dedup,
@@ -27,7 +28,7 @@ QUERIES = {
         pii.op9_pii,
         line_dedup.op10_line_dedup,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 STATEMENTS = {
     "op2_exact_dedup": exact_dedup.SQL,
