@@ -11,10 +11,10 @@ collisions (64 bits, with the set size beside them).
    m link, they share at least ``l`` posted shingles, l being that of the smaller set:
    each has ceil(t n) in common with any set it links to, so the first
    n - ceil(t n) + l shingles of both meet in l of them. Only shingles that two different
-   sets post are kept.
+   sets post are kept, and of those only sets that have l of them.
 3. *Groups.* For every posted shingle the most central sets of a size band (those whose
-   posted shingles are shared most) are leaders. A set is checked exactly against the few
-   leaders it shares most with; verified links make the groups of similar documents.
+   posted shingles are shared most) are leaders. A set is checked exactly against the
+   leader it shares most with; verified links make the groups of similar documents.
 4. *Matrix.* The token-group matrix has the union of each group's posted shingles. A
    query set outside a group meets it in the matrix; its overlap with the group's union
    bounds that with every member. Of two groups, the sets of the smaller one are queries.
@@ -52,11 +52,13 @@ from trackmart.llm.common import (
     written,
 )
 from trackmart.llm.components import components
+from trackmart.session import staged
 
 WORDS, PERCENT = 5, 80  # the defaults of near-duplicate operators
 FREQUENT_FROM = 32
 MOST_FREQUENT = 1 << 18
 LEADERS = 3
+BROADCAST_SETS = 200_000  # a list of so many sets, of 16 bytes each, is sent to all tasks
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -209,6 +211,15 @@ def shared_postings(posted: DataFrame) -> DataFrame:
     )
 
 
+def enough_shared(shared: DataFrame, percent: int) -> DataFrame:
+    """The postings of sets that share enough to link at all, with how ``central`` a set is."""
+    by_set = shared.groupBy("set_id").agg(
+        F.sum("df").alias("central"), F.count(F.lit(1)).alias("posted"), F.first("n").alias("size")
+    )
+    able = by_set.where(F.col("posted") >= least_shared_column(F.col("size"), percent))
+    return shared.join(able.select("set_id", "central"), "set_id")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("one"))
@@ -230,18 +241,26 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both, per_batch, "a long, b long")
 
 
-def involved_sets(docs: DataFrame, described_rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """set_id and shingles of the wanted sets, from one document of each."""
-    holders = (
+def sets_of(docs: DataFrame, described_rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """set_id and shingles of the sets in ``pairs``, from one document of each.
+
+    Up to ``BROADCAST_SETS`` of them are looked for where documents are read; beyond that
+    the documents are shuffled.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    holders = written(
         described_rows.where("kind = 0")
         .select(F.col("b").alias("set_id"), F.struct(F.col("a").alias("id"), F.col("d").alias("mark")).alias("doc"))
         .join(wanted, "set_id", "left_semi")
         .groupBy("set_id")
         .agg(F.min("doc").alias("doc"))
         .select(F.col("doc.id").alias("id"), F.col("doc.mark").alias("mark"))
+        .distinct(),
+        "holders",
     )
+    hint = "broadcast" if holders.count() <= BROADCAST_SETS else "shuffle_hash"
     keyed = docs.alias("t").join(
-        holders.distinct().hint("shuffle_hash").alias("h"),
+        holders.hint(hint).alias("h"),
         F.expr("t.mark = h.mark AND t.id <=> h.id"),
         "left_semi",
     )
@@ -270,10 +289,9 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
 
 
 def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """For every set, the few leaders it shares most with: a, b."""
-    central = shared.groupBy("set_id").agg(F.sum("df").alias("central"))
+    """For every set, the leader it shares most with: a, b."""
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
-    ranked = shared.join(central, "set_id").withColumn("band", band)
+    ranked = shared.withColumn("band", band)
     order = Window.partitionBy("token", "band").orderBy(F.desc("central"), "set_id")
     leaders = (
         ranked.withColumn("nth", F.row_number().over(order))
@@ -292,7 +310,7 @@ def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
         )
     )
     best = Window.partitionBy("a").orderBy(F.desc("common"), "b")
-    return met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= LEADERS).select("a", "b")
+    return met.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b")
 
 
 def opened_pairs(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -363,12 +381,17 @@ def classes(
         F.xxhash64(exact(text_col)).alias("mark"),
     )
     rows = written(described(read, words), "shingle-sets")
-    shared = written(shared_postings(postings(read, frequent_shingles(rows), words, percent)), "postings")
-    sets = written(involved_sets(read, rows, shared.select("set_id").distinct(), words), "sets")
+    posted = postings(read, frequent_shingles(rows), words, percent)
+    with staged(shared_postings(posted), "postings") as all_shared:
+        shared = written(enough_shared(all_shared, percent), "postings")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        with staged(sets_of(read, rows, pairs, words), "sets") as sets:
+            return written(verified(pairs, sets, percent), "links")
 
-    first = written(verified(leader_pairs(shared, percent), sets, percent), "links")
-    groups = components(first)
-    more = written(verified(opened_pairs(shared, groups, percent), sets, percent), "links")
+    first = links(leader_pairs(shared, percent))
+    more = links(opened_pairs(shared, components(first), percent))
     labels = components(first.unionAll(more))
 
     own = rows.where("kind = 0").select(
