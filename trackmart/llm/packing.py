@@ -25,6 +25,7 @@ Rules
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left
 
@@ -54,27 +55,56 @@ PIECES = (
 )
 
 
+# Words that need no Unicode normalisation: Latin-1 letters, digits and signs, without
+# the apostrophe, which starts contractions, and angle brackets, which mark special tokens.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-;=?-@\[-`{-~]+")
+PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: printable ones
+    stand for themselves, the others take code points from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
 class WordIds:
     """Token ids of texts, word by word.
 
     The tokenizer's normaliser and splitter never look across white space, so the ids of
-    a text are those of its words; each distinct word is encoded once per task.
+    a text are those of its words; each distinct word is encoded once per task. Plain
+    words are split as the tokenizer would and go straight to its model.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.clear()
 
     def clear(self) -> None:
         self.lookup = Lookup(self._encode)
+        self.pieces: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.first, self.size = [], []
 
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
+        return ids
+
     def _encode(self, word: bytes) -> None:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        text = word.decode()
+        if PLAIN.fullmatch(text):
+            ids = [i for piece in PIECE.findall(text.lower()) for i in self._piece(piece)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
         self.flat[self.used : self.used + len(ids)] = ids
