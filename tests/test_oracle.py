@@ -4,17 +4,17 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.comparing import differences
+from trackmart.plans import oracle, registry
 
 FOLDER = os.environ.get("TRACKMART_TESTDATA", "/root/testdata/sf0.001")
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = oracle.statements()
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
 def test_matches_sql(spark, name):
-    assert differences(entry.queries()[name], STATEMENTS[name], spark, FOLDER) is None
+    assert differences(registry.registered()[name], STATEMENTS[name], spark, FOLDER) is None
 
 
 def test_every_statement_has_a_query():
-    assert set(STATEMENTS) <= set(entry.queries())
+    assert set(STATEMENTS) <= set(registry.registered())

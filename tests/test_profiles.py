@@ -97,13 +97,27 @@ def test_reply_values_of_other_types(spark):
     assert (row["career_start"], row["similar_artists"]) == (1999, "null")
 
 
-def test_reply_for_an_unknown_artist_keeps_its_name(spark):
+def test_reply_for_an_unknown_artist_is_rejected_with_its_name(spark):
     df = spark.createDataFrame(
         [("Who", "{}", datetime(2024, 1, 1))], "artist_name string, reply string, generated_at timestamp"
     )
     known = artists.primary_genre(artists.artist_stats(tracks(spark, {})))
-    row = profiles.accepted(profiles.parse_replies(df, known)).first()
-    assert row["artist_name"] == "Who" and row["career_start"] is None
+    parsed = profiles.parse_replies(df, known)
+    assert profiles.accepted(parsed).count() == 0
+    row = profiles.quarantine(parsed).first()
+    assert (row["artist_name"], row["reason"]) == ("Who", "unknown artist")
+
+
+def test_of_a_repeated_key_the_last_counts(spark):
+    reply = '{"origin_country": "X", "similar_artists": ["a"], "origin_country": "Y", "similar_artists": ["b"]}'
+    row = profiles.accepted(parse(spark, reply)).first()
+    assert (row["origin_country"], row["similar_artists"]) == ("Y", '["b"]')
+
+
+def test_reasons(spark):
+    reasons = {r: profiles.quarantine(parse(spark, r)).first()["reason"] for r in UNUSABLE}
+    assert reasons.pop('{"career_start": "about 1999"}') == "career start is no number"
+    assert set(reasons.values()) == {"not one JSON object"}
 
 
 def test_upsert(spark):
@@ -120,10 +134,11 @@ def test_prompts(spark):
     df = tracks(spark, {"track_name": "B", "popularity": 40}, {"track_name": "A", "popularity": 61})
     (row,) = profiles.profile_prompts(artists.artist_overview(df)).collect()
     lines = row["prompt"].split("\n")
-    assert "- Genre: Pop" in lines and "- Avg popularity: 50.5/100" in lines
-    assert "- Tempo: 120.0 BPM" in lines and "- Active: 2010 to 2010" in lines
-    assert "TOP TRACKS: A, B" in lines
-    assert all(key in lines[-1] for key in FULL)
+    assert "- main genre: Pop" in lines and "- mean popularity: 50.5 of 100" in lines
+    assert "- mean tempo: 120.0 beats a minute" in lines
+    assert "- years with tracks: 2010 to 2010" in lines
+    assert "Most popular titles: A, B" in lines
+    assert [line.split(":")[0][2:] for line in lines[-8:]] == profiles.REPLY_KEYS
 
 
 def test_pending_prompts_skip_stored_artists(spark):
@@ -138,7 +153,8 @@ def test_merge_replies(spark):
         [("act", BODY, datetime(2024, 1, 1)), ("solo", "no", datetime(2024, 1, 1))],
         "artist_name string, reply string, generated_at timestamp",
     )
-    merged = insight.merge_replies(df, profile_rows(spark, ("Act", "[]", 2020)), replies)
+    parsed = insight.read_replies(artists.artist_stats(df), replies)
+    merged = insight.merge_replies(profile_rows(spark, ("Act", "[]", 2020)), parsed)
     (row,) = merged.profiles.collect()
     assert row["artist_name"] == "Act" and row["origin_country"] == "France"
     assert [r["artist_name"] for r in merged.rejected.collect()] == ["Solo"]

@@ -3,19 +3,20 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from trackmart import schemas as S
 from trackmart.functions.joins import salted_left_join
 from trackmart.operators import artists, cleaning, marts, quality
+from trackmart.plans import registry
 from trackmart.sources import sample_tables as samples
 
 FOLDER = "/root/testdata/sf0.001"
 SLOW = {"train_tier_model", "train_compact_model", "feature_importance", "score_tracks", "model_report"}
-# Broadcasts of one row per class, or of a list of hot keys limited by their share.
+# Broadcasts of one row per class, or of a list of hot keys of limited length.
 BOUNDED = {
     "stratified_split",
     "class_weights_train",
     "parse_replies",
+    "rejected_replies",
     "profile_upsert",
     "similar_artist_links",
 }
@@ -35,9 +36,9 @@ def large_tables(spark):
     spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.registered()) - SLOW))
 def test_no_plan_pairs_rows_or_broadcasts_unbounded_sides(large_tables, name):
-    text = plan(entry.queries()[name](large_tables, FOLDER))
+    text = plan(registry.registered()[name](large_tables, FOLDER))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "Python" not in text and "ArrowEval" not in text
     if name not in BOUNDED:
@@ -120,7 +121,7 @@ def test_salted_join_spreads_a_hot_key(large_tables, hot):
     rows = [(hot if i % 3 else f"k{i % 50}", i) for i in range(3000)]
     left = spark.createDataFrame(rows, "k string, i int")
     right = spark.createDataFrame([("hot", 1), ("k3", 2), ("unused", 3)], "k string, v int")
-    joined = salted_left_join(left, right, "k", spread=["i"])
+    joined = salted_left_join(left, right, "k", spread=["i"], target_rows=100)
     expected = left.join(right, "k", "left")
     assert sorted(map(str, joined.select("k", "i", "v").collect())) == sorted(
         map(str, expected.select("k", "i", "v").collect())

@@ -85,7 +85,6 @@ def hash_bucket(key: str, buckets: int = 100) -> Column:
 
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """First 32 bits of the md5 of a row's text form, as a number."""
+    """The md5 of a row's text form, 32 hex digits."""
     fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(_NULL_MARK)) for c in columns]
-    digest = F.md5(F.concat_ws(_FIELD_SEP, *fields))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.md5(F.concat_ws(_FIELD_SEP, *fields))

@@ -8,33 +8,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_HOT_KEYS = 10_000
+
+
 def salted_left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     spread: Sequence[str],
-    salts: int = 64,
-    hot_share: float = 0.001,
+    target_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join on ``key`` in which a frequent key is spread over many tasks.
 
-    ``right`` has one row per key. Keys with more than ``hot_share`` of the left
-    rows are hot: there are fewer than ``1 / hot_share`` of them, which bounds the
-    broadcast list. Their left rows are dealt out by a hash of the ``spread``
-    columns, and their right row is repeated once per salt. Null keys match
-    nothing and are dealt out as well.
+    ``right`` has one row per key. Keys with more than ``target_rows`` left rows are hot;
+    each is dealt to as many salts as bring it under the target, by a hash of the
+    ``spread`` columns, and its right row is repeated once per salt. The broadcast list
+    holds the ``MOST_HOT_KEYS`` hottest keys. Null keys match nothing and are dealt out.
     """
     counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    hot = counts.filter(F.col("_n") > total * hot_share).select(key, F.lit(True).alias("_hot"))
-
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    dealt = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0)
+    salts = F.ceil(F.col("_n") / target_rows).cast("int")
+    hot = (
+        counts.filter(F.col("_n") > target_rows)
+        .orderBy(F.desc("_n"), key)
+        .limit(MOST_HOT_KEYS)
+        .select(key, salts.alias("_salts"))
     )
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.coalesce(every, F.array(F.lit(0))))
+    mixed = F.xxhash64(*spread)
+    salt = F.when(F.col(key).isNull(), F.pmod(mixed, F.lit(1024))).otherwise(
+        F.coalesce(F.pmod(mixed, F.col("_salts")), F.lit(0))
     )
-    joined = dealt.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], "left")
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt.cast("int"))
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    repeated = right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every))
+    joined = dealt.drop("_salts").join(repeated.drop("_salts"), [key, "_salt"], "left")
     return joined.drop("_salt")

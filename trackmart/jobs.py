@@ -1,4 +1,5 @@
-"""Command line for spark-submit: publish, train, score, prompts, merge.
+"""Command line for spark-submit: publish, train, score, check-inputs, search, report, links,
+prompts, merge.
 
     spark-submit --py-files trackmart.zip trackmart/jobs.py publish --raw ... --root ...
 """
@@ -8,67 +9,105 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackmart import schemas as S
+from trackmart.operators import artists, profiles
+from trackmart.operators.features import input_domain_check
 from trackmart.operators.model import score_tracks
 from trackmart.plans import insight, publishing, training
-from trackmart.session import build_session, fit_shuffles, staged
+from trackmart.session import build_session, staged
 from trackmart.sinks import tables
-from trackmart.sources.fingerprint import last_recorded, record, table_fingerprint
+from trackmart.sources.fingerprint import (
+    last_recorded,
+    listing_fingerprint,
+    record,
+    table_fingerprint,
+)
 from trackmart.sources.snapshots import current_version, read_table
-from trackmart.sources.tracks import read_tracks_csv
+from trackmart.sources.tracks import MALFORMED, read_tracks_csv
 
 
 def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    listing, manifest = f"{args.root}/input-listing", f"{args.root}/input-manifest"
+    files = listing_fingerprint(spark, args.raw) if args.skip_unchanged else None
+    if files and files == last_recorded(spark, listing):
+        print("input files unchanged, nothing published")
+        return
     tokens = S.PANDAS_NULL_TOKENS if args.pandas_nulls else ()
-    text = read_tracks_csv(spark, args.raw, null_tokens=tokens, multiline=not args.single_line)
-    fit_shuffles(text)
-    manifest = f"{args.root}/input-manifest"
-    with staged(text, "raw-tracks") as raw:  # parse once, for several columnar passes
+    text = read_tracks_csv(
+        spark, args.raw, null_tokens=tokens, multiline=args.multiline, keep_malformed=True
+    )
+    with staged(text, "raw-tracks") as parsed:  # parse once, for several columnar passes
+        malformed = parsed.agg(F.count(MALFORMED).alias("malformed_rows"))
+        tables.write_report(malformed, f"{args.root}/reports/malformed_rows")
+        raw = parsed.drop(MALFORMED)
         if args.skip_unchanged:
             current = tuple(table_fingerprint(raw).first())
             if current == last_recorded(spark, manifest):
                 print("input unchanged, nothing published")
                 return
         done = publishing.clean_and_publish(raw, args.root, _version(now), now, args.min_rows)
-    if args.skip_unchanged:
-        record(spark, manifest, current, now)  # a failed run is tried again
+    if args.skip_unchanged:  # a failed run is tried again
+        record(spark, manifest, current, now)
+        record(spark, listing, files, now)
     print(f"published {done.version}; advisory checks failed: {done.failed_raw_checks}")
 
 
 def train(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = _tracks(spark, args.root)
-    training.train_and_save(tracks, f"{args.root}/models/{args.kind}", now, args.kind)
+    training.train_and_save(
+        _tracks(spark, args.root),
+        f"{args.root}/models/{args.kind}",
+        now,
+        args.kind,
+        weigh_all=args.weigh_all,
+        max_label_rows=args.max_label_rows,
+    )
 
 
 def score(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     fitted = training.load_model(f"{args.root}/models/{args.kind}")
-    scored = score_tracks(fitted, spark.read.parquet(args.requests))
-    scored.write.mode("overwrite").parquet(args.out)
+    _write(score_tracks(fitted, spark.read.parquet(args.requests)), args)
+
+
+def check_inputs(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    _write(input_domain_check(spark.read.parquet(args.requests)), args)
+
+
+def search(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    _write(artists.artist_search(read_table(spark, f"{args.root}/artist_stats"), args.term), args)
+
+
+def report(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    _write(artists.artist_report(_tracks(spark, args.root), _profiles(spark, args.root)), args)
+
+
+def links(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    known = artists.primary_genre(read_table(spark, f"{args.root}/artist_stats"))
+    _write(profiles.similar_artist_links(_profiles(spark, args.root), known), args)
 
 
 def prompts(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = _tracks(spark, args.root)
-    insight.pending_prompts(tracks, _profiles(spark, args.root)).write.mode("overwrite").parquet(
-        args.out
-    )
+    _write(insight.pending_prompts(_tracks(spark, args.root), _profiles(spark, args.root)), args)
 
 
 def merge(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    tracks = _tracks(spark, args.root)
-    merged = insight.merge_replies(
-        tracks, _profiles(spark, args.root), spark.read.parquet(args.replies)
-    )
-    version = _version(now)
-    tables.publish(merged.profiles, f"{args.root}/artist_profiles", version, now)
-    merged.rejected.write.mode("overwrite").parquet(f"{args.root}/rejected_replies/{version}")
+    stats = read_table(spark, f"{args.root}/artist_stats")
+    replies = insight.read_replies(stats, spark.read.parquet(args.replies))
+    with staged(replies, "parsed-replies") as parsed:
+        merged = insight.merge_replies(_profiles(spark, args.root), parsed)
+        version = _version(now)
+        tables.publish(merged.profiles, f"{args.root}/artist_profiles", version, now)
+        merged.rejected.write.mode("overwrite").parquet(f"{args.root}/rejected_replies/{version}")
+
+
+def _write(frame: DataFrame, args: argparse.Namespace) -> None:
+    frame.write.mode("overwrite").parquet(args.out)
 
 
 def _tracks(spark: SparkSession, root: str):
-    tracks = read_table(spark, f"{root}/tracks")
-    fit_shuffles(tracks)
-    return tracks
+    return read_table(spark, f"{root}/tracks")
 
 
 def _profiles(spark: SparkSession, root: str):
@@ -90,23 +129,32 @@ def _parser() -> argparse.ArgumentParser:
     def command(name: str, run) -> argparse.ArgumentParser:
         sub = commands.add_parser(name)
         sub.add_argument("--root", required=True, help="folder of the published tables")
+        sub.add_argument("--shuffle-partitions", type=int, help="about one per 200 MB shuffled")
         sub.set_defaults(run=run)
         return sub
 
     sub = command("publish", publish)
     sub.add_argument("--raw", required=True, help="CSV file or folder")
     sub.add_argument("--min-rows", type=int, default=S.MIN_ROWS)
-    sub.add_argument("--single-line", action="store_true", help="no line breaks inside fields")
+    sub.add_argument("--multiline", action="store_true", help="fields may hold line breaks; one task a file")
     sub.add_argument("--pandas-nulls", action="store_true", help="read NA, None, ... as null")
     sub.add_argument("--skip-unchanged", action="store_true")
     sub = command("train", train)
     sub.add_argument("--kind", choices=[training.FULL, training.COMPACT], default=training.FULL)
+    sub.add_argument("--weigh-all", action="store_true", help="class weights from all rows")
+    sub.add_argument("--max-label-rows", type=int, help="fit on so many rows at most")
     sub = command("score", score)
     sub.add_argument("--kind", choices=[training.FULL, training.COMPACT], default=training.FULL)
     sub.add_argument("--requests", required=True)
     sub.add_argument("--out", required=True)
-    sub = command("prompts", prompts)
+    sub = command("check-inputs", check_inputs)
+    sub.add_argument("--requests", required=True)
+    sub.add_argument("--out", required=True)
+    sub = command("search", search)
+    sub.add_argument("--term", required=True)
     sub.add_argument("--out", required=True)
+    for name, run in (("report", report), ("links", links), ("prompts", prompts)):
+        command(name, run).add_argument("--out", required=True)
     sub = command("merge", merge)
     sub.add_argument("--replies", required=True)
     return parser
@@ -115,7 +163,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     now = datetime.now(timezone.utc)
-    args.run(build_session(f"trackmart-{args.command}"), args, now)
+    conf = {"spark.sql.shuffle.partitions": str(args.shuffle_partitions)} if args.shuffle_partitions else {}
+    args.run(build_session(f"trackmart-{args.command}", **conf), args, now)
 
 
 if __name__ == "__main__":

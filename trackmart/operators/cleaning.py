@@ -74,21 +74,49 @@ def serving_projection(df: DataFrame) -> DataFrame:
 def coerce_tracks(df: DataFrame) -> DataFrame:
     """Detail table with null texts emptied and every column in its declared type.
 
-    Numbers that are null stay null; the key checks report them.
+    Numbers that are null stay null; the key checks report them. Fractions are cut off
+    towards zero, and what a type cannot hold becomes null.
     """
     columns = []
     for field in S.TRACKS.fields:
         value = F.col(field.name)
         if field.dataType.simpleString() == "string":
             value = F.coalesce(value.cast("string"), F.lit(""))
-        elif field.dataType.simpleString() == "int":
-            value = F.floor(value).cast("int")
         else:
-            value = value.cast(field.dataType)
+            value = value.try_cast(field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns)
 
 
+def _fate(df: DataFrame):
+    """What cleaning does to a row: 0 kept, 1 dropped for a null, 2 for a value."""
+    return F.when(~complete(df, S.NOT_NULL_COLUMNS), 1).when(within_limits(), 0).otherwise(2)
+
+
+def survivors(df: DataFrame, tie_breakers: Sequence[str] | None = None) -> DataFrame:
+    """One row per track with its ``fate``: what audit and cleaned table are both made of."""
+    kept = dedupe(df, tie_breakers=tie_breakers)
+    return kept.withColumn("fate", _fate(kept))
+
+
+def cleaned_survivors(kept: DataFrame) -> DataFrame:
+    """:func:`clean` for rows whose fate is known."""
+    rows = fix_sentinel(kept.filter("fate = 0").drop("fate"))
+    return rows.withColumns({"genre_group": genre_group(), "popularity_tier": popularity_tier()})
+
+
+def audit_survivors(kept: DataFrame, raw_rows: int) -> DataFrame:
+    """:func:`cleaning_audit` for rows whose fate is known."""
+    counted = kept.agg(
+        F.lit(raw_rows).cast("bigint").alias("raw_rows"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("fate") == 1).alias("nulls_removed"),
+        F.count_if(F.col("fate") == 2).alias("outliers_removed"),
+        F.count_if(F.col("fate") == 0).alias("clean_rows"),
+    )
+    return _removals(counted)
+
+
 def cleaning_audit(
     df: DataFrame, key: str = "track_id", tie_breakers: Sequence[str] | None = None
 ) -> DataFrame:
@@ -97,11 +125,9 @@ def cleaning_audit(
     Per key only the copy count and the surviving row's fate travel through the
     shuffle, combined map-side; no step is counted by a job of its own.
     """
-    fate = F.when(~complete(df, S.NOT_NULL_COLUMNS), 1).when(within_limits(), 0).otherwise(2)
     order = F.struct(*[F.col(c) for c in _tie_breakers(df, key, tie_breakers)])
-
     per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("copies"), F.min_by(fate, order).alias("fate")
+        F.count(F.lit(1)).alias("copies"), F.min_by(_fate(df), order).alias("fate")
     )
     totals = per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
@@ -110,6 +136,10 @@ def cleaning_audit(
         F.count_if(F.col("fate") == 2).alias("outliers_removed"),
         F.count_if(F.col("fate") == 0).alias("clean_rows"),
     )
+    return _removals(totals)
+
+
+def _removals(totals: DataFrame) -> DataFrame:
     return totals.select(
         "raw_rows",
         (F.col("raw_rows") - F.col("keys")).alias("duplicates_removed"),

@@ -40,8 +40,12 @@ def add_genre_code(tracks: DataFrame) -> DataFrame:
 
 
 def score_defaults(requests: DataFrame) -> DataFrame:
-    """Fill missing scoring inputs with their documented defaults."""
-    return requests.na.fill({c: v for c, v in S.SCORE_DEFAULTS.items() if c in requests.columns})
+    """Fill missing scoring inputs with their documented defaults.
+
+    An input the request table lacks altogether is added, as the default throughout.
+    """
+    absent = {c: F.lit(v) for c, v in S.SCORE_DEFAULTS.items() if c not in requests.columns}
+    return requests.withColumns(absent).na.fill(S.SCORE_DEFAULTS)
 
 
 def input_domain_check(requests: DataFrame) -> DataFrame:

@@ -11,20 +11,20 @@ from trackmart.functions.joins import salted_left_join
 from trackmart.operators.artists import PROFILE_FIELDS
 
 # --------------------------------------------------------------------------
-# The figures a prompt lists and the reply's fields.
+# The figures a prompt lists, and the reply's fields (fixed values).
 # --------------------------------------------------------------------------
 PROMPT_FIGURES = [
-    ("Genre", "genre_group", ""),
-    ("Avg popularity", "avg_popularity", "/100"),
-    ("Peak popularity", "peak_popularity", "/100"),
-    ("Tracks in dataset", "track_count", ""),
-    ("Danceability", "avg_danceability", " (0-1)"),
-    ("Energy", "avg_energy", " (0-1)"),
-    ("Valence", "avg_valence", " (0-1)"),
-    ("Acousticness", "avg_acousticness", " (0-1)"),
-    ("Tempo", "avg_tempo", " BPM"),
-    ("Speechiness", "avg_speechiness", " (0-1)"),
-    ("Instrumentalness", "avg_instrumentalness", " (0-1)"),
+    ("main genre", "genre_group", ""),
+    ("mean popularity", "avg_popularity", " of 100"),
+    ("highest popularity", "peak_popularity", " of 100"),
+    ("tracks", "track_count", ""),
+    ("mean danceability", "avg_danceability", " of 1"),
+    ("mean energy", "avg_energy", " of 1"),
+    ("mean valence", "avg_valence", " of 1"),
+    ("mean acousticness", "avg_acousticness", " of 1"),
+    ("mean tempo", "avg_tempo", " beats a minute"),
+    ("mean speechiness", "avg_speechiness", " of 1"),
+    ("mean instrumentalness", "avg_instrumentalness", " of 1"),
 ]
 REPLY_TEXT_FIELDS = {
     "origin_country": "Unknown",
@@ -45,6 +45,18 @@ REPLY_KEYS = [
     "signature_sound",
 ]
 
+# What a prompt asks for under each key.
+REPLY_FORMS = {
+    "origin_country": "a country",
+    "career_start": "a year, as a number",
+    "style_description": "two sentences",
+    "fun_fact": "one sentence",
+    "audio_analysis": "two sentences on the figures",
+    "career_insight": "two sentences",
+    "similar_artists": "a list of three names",
+    "signature_sound": "a few words",
+}
+
 _TAGGED_FENCE = "```json"
 _FENCE = "```"
 _BLANKS = r"^\s+|\s+$"
@@ -60,7 +72,7 @@ def profile_prompts(overview: DataFrame) -> DataFrame:
         F.concat(F.lit(f"- {label}: "), F.col(column).cast("string"), F.lit(unit))
         for label, column, unit in PROMPT_FIGURES
     ]
-    years = F.format_string("- Active: %d to %d", "first_year", "last_year")
+    years = F.format_string("- years with tracks: %d to %d", "first_year", "last_year")
     titles = F.array_join(F.transform("top_tracks", lambda t: t["track_name"]), ", ")
     prompt = F.concat_ws(
         "\n",
@@ -68,8 +80,9 @@ def profile_prompts(overview: DataFrame) -> DataFrame:
         F.lit("Measured figures:"),
         *figures,
         years,
-        F.concat(F.lit("TOP TRACKS: "), titles),
-        F.lit(f"Answer with one JSON object holding: {', '.join(REPLY_KEYS)}."),
+        F.concat(F.lit("Most popular titles: "), titles),
+        F.lit("Answer with one JSON object with these keys:"),
+        *[F.lit(f"- {key}: {REPLY_FORMS[key]}") for key in REPLY_KEYS],
     )
     return overview.select("artist_name", prompt.alias("prompt"))
 
@@ -93,23 +106,25 @@ def reply_body(reply: Column) -> Column:
 
 
 def reply_document(reply: Column) -> Column:
-    """The reply's JSON as ``[value, mark]``, null where the text is not JSON.
+    """The reply's JSON object and a mark behind it, null where the text is not JSON.
 
-    The parser ignores text after a complete value. Closing the array behind the
-    body makes such text an error, and anything else that ends it early misses
-    the mark.
+    The parser ignores text after a complete value. Closing an array behind the body
+    makes such text an error, and anything else that ends it early misses the mark.
     """
-    return F.try_parse_json(F.concat(F.lit("["), reply_body(reply), F.lit(f',"{_MARK}"]')))
+    marked = F.concat(F.lit("["), reply_body(reply), F.lit(f',{{"{_MARK}":true}}]'))
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    return F.from_json(marked, "array<map<string,variant>>", strict)
 
 
 def parse_replies(replies: DataFrame, stats: DataFrame) -> DataFrame:
-    """Profile rows from raw replies, with ``parsed`` false for unusable ones.
+    """Profile rows from raw replies, with ``parsed`` false and a ``reason`` for unusable ones.
 
     ``replies`` holds artist_name, reply, generated_at; ``stats`` one row per
     artist key (:func:`trackmart.operators.artists.primary_genre`), giving the
     canonical name and the default career start. A default replaces a missing
-    key only: an explicit JSON null stays null. Unusable are replies that are not
-    one JSON object, repeat a key, or give a career start that is no number.
+    key only: an explicit JSON null stays null. Of a repeated key the last one counts.
+    Unusable are replies for an artist without tracks, that are not one JSON object, or
+    that give a career start that is no number.
     """
     read = replies.select(
         name_key().alias("artist_key"),
@@ -120,37 +135,48 @@ def parse_replies(replies: DataFrame, stats: DataFrame) -> DataFrame:
     )
     known = stats.select("artist_key", F.col("artist_name").alias("_canonical"), "first_year")
     joined = salted_left_join(read, known, "artist_key", spread=["reply", "generated_at"])
+    entries = F.map_entries(F.get("_doc", F.lit(0)))
 
-    def value(path: str, kind: str = "variant") -> Column:
-        return F.try_variant_get("_doc", f"$[0]{path}", kind)
+    def given(name: str) -> Column:
+        return F.filter(entries, lambda e: e["key"] == name)
+
+    def value(name: str, kind: str) -> Column:
+        last = F.try_element_at(given(name), F.lit(-1))
+        return F.try_variant_get(last["value"], "$", kind)
 
     def field(name: str, found: Column, default: Column) -> Column:
-        return F.when(value(f".{name}").isNotNull(), found).otherwise(default)
+        return F.when(F.size(given(name)) > 0, found).otherwise(default)
 
     columns = {
-        name: field(name, value(f".{name}", "string"), F.lit(default))
+        name: field(name, value(name, "string"), F.lit(default))
         for name, default in REPLY_TEXT_FIELDS.items()
     }
-    year = F.round(value(".career_start", "double")).try_cast("int")
+    year = F.round(value("career_start", "double")).try_cast("int")
     columns["career_start"] = field("career_start", year, F.col("first_year"))
-    similar = F.to_json(value(".similar_artists"))
+    similar = F.to_json(value("similar_artists", "variant"))
     columns["similar_artists"] = field("similar_artists", similar, F.lit("[]"))
 
-    whole = F.try_variant_get("_doc", "$[1]", "string") == _MARK
-    single = F.try_variant_get("_doc", "$[2]", "variant").isNull()
-    is_object = F.schema_of_variant(value("")).startswith("OBJECT")
-    given_year = value(".career_start", "string")
-    parsed = F.coalesce(whole & single & is_object, F.lit(False)) & (
-        given_year.isNull() | year.isNotNull()
+    marked = F.map_contains_key(F.get("_doc", F.lit(1)), _MARK)
+    one_object = (F.size("_doc") == 2) & F.get("_doc", F.lit(0)).isNotNull() & marked
+    no_number = value("career_start", "string").isNotNull() & year.isNull()
+    reason = (
+        F.when(F.col("_canonical").isNull(), "unknown artist")
+        .when(~F.coalesce(one_object, F.lit(False)), "not one JSON object")
+        .when(no_number, "career start is no number")
     )
-    return joined.withColumn("parsed", parsed).select(
-        F.coalesce("_canonical", "_requested").alias("artist_name"),
-        *[
-            F.when(F.col("parsed"), columns[c]).alias(c) if c in columns else F.col(c)
-            for c in PROFILE_FIELDS
-        ],
-        "parsed",
-        "reply",
+    return (
+        joined.withColumn("reason", reason)
+        .withColumn("parsed", F.col("reason").isNull())
+        .select(
+            F.coalesce("_canonical", "_requested").alias("artist_name"),
+            *[
+                F.when(F.col("parsed"), columns[c]).alias(c) if c in columns else F.col(c)
+                for c in PROFILE_FIELDS
+            ],
+            "parsed",
+            "reason",
+            "reply",
+        )
     )
 
 
@@ -160,8 +186,8 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    """Replies that hold no JSON object, kept with their text for inspection."""
-    return parsed.filter(~F.col("parsed")).select("artist_name", "reply", "generated_at")
+    """Unusable replies, kept with their text and the reason for inspection."""
+    return parsed.filter(~F.col("parsed")).select("artist_name", "reason", "reply", "generated_at")
 
 
 def profile_upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:

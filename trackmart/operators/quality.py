@@ -100,7 +100,10 @@ def validate_raw(
 
 
 def validate_cleaned(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
-    """The 16 blocking checks on cleaned tracks; ranges ignore nulls, empty fails."""
+    """The 16 blocking checks on cleaned tracks; ranges ignore nulls, empty fails.
+
+    A check on a column that the table lacks has failed.
+    """
     present = ["track_id", "artist_name", "track_name", "genre", "popularity"]
     ranges = [
         ("popularity_range_0_100", "popularity", _between("popularity", *S.POPULARITY_RANGE)),
@@ -116,14 +119,21 @@ def validate_cleaned(df: DataFrame, min_rows: int = S.MIN_ROWS) -> DataFrame:
         ("popularity_tier_column_present", "popularity_tier"),
     ]
     named = [
-        *[(f"{c}_not_null", _none_fail(F.col(c).isNotNull())) for c in present],
-        *[(name, _known_pass(c, condition)) for name, c, condition in ranges],
-        *[(name, _none_fail(F.col(c).isNotNull())) for name, c in derived],
+        *[(f"{c}_not_null", c, _none_fail(F.col(c).isNotNull())) for c in present],
+        *[(name, c, _known_pass(c, condition)) for name, c, condition in ranges],
+        *[(name, c, _none_fail(F.col(c).isNotNull())) for name, c in derived],
     ]
     verdicts = [(1, _rows_check_name(min_rows), F.count(F.lit(1)) >= min_rows)]
-    verdicts += [(i, name, verdict) for i, (name, verdict) in enumerate(named, start=3)]
-    unique = _unique_check(df, "cleaned", 2, "no_duplicate_track_ids", "track_id")
-    return _suite(df, "cleaned", verdicts).unionByName(unique)
+    verdicts += [
+        (i, name, verdict if c in df.columns else F.lit(False))
+        for i, (name, c, verdict) in enumerate(named, start=3)
+    ]
+    unique = (2, "no_duplicate_track_ids")
+    if "track_id" not in df.columns:
+        return _suite(df, "cleaned", [*verdicts, (*unique, F.lit(False))])
+    return _suite(df, "cleaned", verdicts).unionByName(
+        _unique_check(df, "cleaned", *unique, "track_id")
+    )
 
 
 def validation_summary(checks: DataFrame) -> DataFrame:
@@ -216,6 +226,17 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return wide.select(F.inline(F.array(*entries)))
 
 
+def conformance(df: DataFrame, key: str, limits: Mapping[str, int]) -> DataFrame:
+    """Per constraint of a serving table, how many values break it: (constraint, violations)."""
+    lengths = length_violations(df, limits).select(
+        F.concat(F.lit("length of "), "column_name").alias("constraint"), "violations"
+    )
+    keys = key_violations(df, key).agg(
+        F.lit(f"key {key}").alias("constraint"), F.count(F.lit(1)).alias("violations")
+    )
+    return lengths.unionByName(keys)
+
+
 def schema_mismatches(df: DataFrame, expected: T.StructType) -> list[str]:
     """Differences between a frame's columns and a declared table, as messages."""
     actual = {f.name: f.dataType for f in df.schema.fields}

@@ -16,14 +16,23 @@ class Merged:
 
 
 def pending_prompts(tracks: DataFrame, stored: DataFrame) -> DataFrame:
-    """Prompts for the artists that have no stored profile yet."""
-    overview = artists.artist_overview(tracks)
-    return profiles.profile_prompts(artists.profiles_missing(overview, stored))
+    """Prompts for the artists that have no stored profile yet.
 
+    Artists with a profile are left out of the tracks before anything is aggregated.
+    """
+    missing = artists.profiles_missing(tracks, stored)
+    return profiles.profile_prompts(artists.artist_overview(missing))
 
-def merge_replies(tracks: DataFrame, stored: DataFrame, replies: DataFrame) -> Merged:
-    """Stored profiles with parsed replies merged in, and the unusable replies."""
-    known = artists.primary_genre(artists.artist_stats(tracks))
-    parsed = profiles.parse_replies(replies, known)
+
+def merge_replies(stored: DataFrame, parsed: DataFrame) -> Merged:
+    """Stored profiles with parsed replies merged in, and the unusable replies.
+
+    ``parsed`` comes from :func:`read_replies` and is read twice: stage it first.
+    """
     merged = profiles.profile_upsert(stored, profiles.accepted(parsed))
     return Merged(merged, profiles.quarantine(parsed))
+
+
+def read_replies(stats: DataFrame, replies: DataFrame) -> DataFrame:
+    """Replies parsed against the artist statistics mart."""
+    return profiles.parse_replies(replies, artists.primary_genre(stats))

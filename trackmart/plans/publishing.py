@@ -8,10 +8,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackmart import schemas as S
 from trackmart.operators import artists, cleaning, marts, quality
-from trackmart.session import materialize
+from trackmart.session import staged
 from trackmart.sinks import tables
 from trackmart.sources.snapshots import read_table, snapshot_path
 from trackmart.sources.tracks import nan_to_null, read_tracks_parquet
@@ -42,47 +43,66 @@ def clean_and_publish(
 ) -> Published:
     """Raw tracks to published tables under ``root``.
 
-    The raw suite is advisory, unless columns are missing. Cleaned tracks are
-    written once, as an unannounced snapshot; the blocking suite reads that
-    snapshot, and only if it passes does the snapshot become current. Marts are
-    then built from the snapshot, so the raw input is cleaned a single time. The
-    audit counts copies per id anyway, which answers the raw uniqueness check.
+    The raw suite is advisory, unless columns are missing. Raw rows are deduplicated
+    once, into a staged table that audit, uniqueness check and cleaned tracks come from.
+    All tables are written as unannounced snapshots: tracks, which the blocking suite
+    and the conformance check of the detail table read, and the marts built from them.
+    Only when all are there do they become current.
     """
     spark = raw.sparkSession
     raw = nan_to_null(raw)
-    duplicates = None
-    complete = set(S.REQUIRED_COLUMNS) <= set(raw.columns)
-    if complete:
-        audit = materialize(cleaning.cleaning_audit(raw, tie_breakers=tie_breakers), "audit")
+    if not set(S.REQUIRED_COLUMNS) <= set(raw.columns):
+        with staged(quality.validate_raw(raw, min_rows), "raw-checks") as raw_checks:
+            _report(raw_checks, root, "raw", now)
+            quality.enforce(raw_checks, strict=True)
+
+    with staged(cleaning.survivors(raw, tie_breakers), "survivors") as kept:
+        audit = cleaning.audit_survivors(kept, raw.count())
         tables.write_report(audit, f"{root}/reports/cleaning_audit")
-        duplicates = audit.first()["duplicates_removed"]
-    raw_checks = materialize(quality.validate_raw(raw, min_rows, duplicates), "raw-checks")
-    _report(raw_checks, root, "raw", now)
-    failed_raw = quality.enforce(raw_checks, strict=not complete)
-
-    cleaned = cleaning.clean(raw, tie_breakers)
-    tracks_root = f"{root}/tracks"
-    tables.stage(cleaned, tracks_root, version, partition_by="year")
-    tracks = read_tracks_parquet(spark, snapshot_path(tracks_root, version))
-
-    checks = materialize(quality.validate_cleaned(tracks, min_rows), "cleaned-checks")
-    _report(checks, root, "cleaned", now)
-    quality.enforce(checks, strict=True)
-    tables.announce(spark, tracks_root, version, now)
-
-    paths = {"tracks": snapshot_path(tracks_root, version)}
-    for name, frame in mart_frames(tracks).items():
-        paths[name] = tables.publish(frame, f"{root}/{name}", version, now)
+        duplicates = spark.read.json(f"{root}/reports/cleaning_audit").first()["duplicates_removed"]
+        with staged(quality.validate_raw(raw, min_rows, duplicates), "raw-checks") as raw_checks:
+            _report(raw_checks, root, "raw", now)
+            failed_raw = quality.enforce(raw_checks, strict=False)
+        cleaned = cleaning.cleaned_survivors(kept)
+        paths = {"tracks": tables.stage(cleaned, f"{root}/tracks", version, partition_by="year")}
+    tracks = read_tracks_parquet(spark, paths["tracks"])
+
+    with staged(quality.validate_cleaned(tracks, min_rows), "cleaned-checks") as checks:
+        _report(checks, root, "cleaned", now)
+        quality.enforce(checks, strict=True)
+    detail = cleaning.coerce_tracks(tracks)
+    conform(detail, "tracks", S.TRACKS)
+    paths["track_details"] = tables.stage(detail, f"{root}/track_details", version)
+
+    for name, build in MARTS.items():
+        paths[name] = tables.stage(build(tracks), f"{root}/{name}", version)
+    # The mood map is part of the genre statistics and needs no pass of its own.
+    genres = spark.read.parquet(paths["genre_stats"])
+    paths["mood_map"] = tables.stage(
+        genres.select(*S.MOOD_MAP.fieldNames()), f"{root}/mood_map", version
+    )
+    for name in paths:
+        tables.announce(spark, f"{root}/{name}", version, now)
     return Published(version, failed_raw, paths)
 
 
-def mart_frames(tracks: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "music_trends": marts.music_trends(tracks),
-        "genre_stats": marts.genre_stats(tracks),
-        "mood_map": marts.mood_map(tracks),
-        "artist_stats": artists.artist_stats(tracks),
-    }
+MARTS = {
+    "music_trends": marts.music_trends,
+    "genre_stats": marts.genre_stats,
+    "artist_stats": artists.artist_stats,
+}
+
+
+def conform(table: DataFrame, name: str, schema: T.StructType) -> None:
+    """Raise unless a table has its declared columns, keys and text lengths."""
+    problems = quality.schema_mismatches(table, schema)
+    broken = quality.conformance(table, S.PRIMARY_KEYS[name], S.LENGTH_LIMITS[name])
+    problems += [
+        f"{r['constraint']}: {r['violations']} values"
+        for r in broken.filter("violations > 0").collect()
+    ]
+    if problems:
+        raise quality.ValidationError(f"{name}: {'; '.join(problems)}")
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
@@ -28,6 +29,7 @@ from trackmart.session import materialize, scratch_path
 from trackmart.sinks import tables
 from trackmart.sources import sample_tables as samples
 from trackmart.sources.fingerprint import table_fingerprint
+from trackmart.sources.tracks import read_tracks_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -37,7 +39,8 @@ _QUERIES: dict[str, Query] = {}
 DIGITS = 6
 ROW_ID = ["track_id", "tb1", "tb2", "tb3"]
 MIN_ROWS = 1_000
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
+# Rows the forests are fitted on; their settings are the library's own.
+FIT_ROWS = 20_000
 
 
 def query(build: Query, name: str | None = None) -> Query:
@@ -71,31 +74,39 @@ def registered() -> dict[str, Query]:
 
 @on_raw(name="table_fingerprint")
 def fingerprint(raw):
-    return table_fingerprint(raw.drop("tb4"))
+    return table_fingerprint(raw)
+
+
+@on_raw
+def csv_roundtrip(raw):
+    """Raw tracks through CSV files whose first header field is blank."""
+    path = scratch_path(raw.sparkSession, "tracks-csv")
+    numbered = raw.drop(*samples.TIE_BREAKERS).select(F.lit(0).alias(""), "*")
+    numbered.repartition(4).write.options(header=True, escape='"').csv(path)
+    return read_tracks_csv(raw.sparkSession, path)
 
 
 @on_cleaned
 def partitioned_roundtrip(cleaned):
     path = scratch_path(cleaned.sparkSession, "tracks-by-year")
-    tables.write_partitioned(cleaned.select("track_id", "popularity", "year"), path)
+    tables.write_partitioned(cleaned, path)
     return cleaned.sparkSession.read.parquet(path)
 
 
 @on_raw
 def insert_if_absent(raw):
     """Late tracks, copies included, into a table of early ones."""
-    early = cleaning.clean(raw, samples.TIE_BREAKERS).filter("year < 2012")
-    late = raw.filter("year >= 2008").select(early.columns[:-2])
+    early = cleaning.clean(raw, samples.TIE_BREAKERS).filter("year < 2012").select(raw.columns)
     merged = tables.insert_if_absent(
-        late.select("track_id", "artist_name", "year", *samples.TIE_BREAKERS).withColumn(
-            "origin", F.lit("inserted")
-        ),
-        early.select("track_id", "artist_name", "year", *samples.TIE_BREAKERS).withColumn(
-            "origin", F.lit("existing")
-        ),
+        raw.filter("year >= 2008").withColumn("origin", F.lit("inserted")),
+        early.withColumn("origin", F.lit("existing")),
         tie_breakers=samples.TIE_BREAKERS,
     )
-    return merged.drop("tb4")
+    return _day_as_text(merged)
+
+
+def _day_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("tb4", F.col("tb4").cast("string"))
 
 
 @on_raw
@@ -111,8 +122,15 @@ def key_violations(raw):
 
 @on_raw
 def length_violations(raw):
-    limits = {"track_id": 8, "track_name": 10, "artist_name": 200, "genre": 10}
-    return quality.length_violations(raw, limits)
+    derived = cleaning.add_popularity_tier(cleaning.add_genre_group(raw))
+    return quality.length_violations(derived, S.LENGTH_LIMITS["tracks"])
+
+
+@on_raw
+def conformance(raw):
+    """Key and length conformance of what would be published as the detail table."""
+    cleaned = cleaning.serving_projection(cleaning.clean(raw, samples.TIE_BREAKERS))
+    return quality.conformance(cleaned, S.PRIMARY_KEYS["tracks"], S.LENGTH_LIMITS["tracks"])
 
 
 # ------------------------------------------------------------------ row operators
@@ -141,14 +159,12 @@ def genre_group(raw):
 
 @on_raw(name="popularity_tier")
 def tiers(raw):
-    known = raw.filter("popularity IS NOT NULL")
-    return cleaning.add_popularity_tier(known).select(*ROW_ID, "popularity", "popularity_tier")
+    return cleaning.add_popularity_tier(raw).select(*ROW_ID, "popularity", "popularity_tier")
 
 
 @on_raw
 def dedupe_tracks(raw):
-    kept = cleaning.dedupe(raw, tie_breakers=samples.TIE_BREAKERS)
-    return kept.select(*ROW_ID, "track_name", "artist_name", "genre", "popularity", "year")
+    return _day_as_text(cleaning.dedupe(raw, tie_breakers=samples.TIE_BREAKERS))
 
 
 @on_cleaned
@@ -180,8 +196,8 @@ def _requests(cleaned: DataFrame) -> DataFrame:
 
 @on_cleaned
 def score_defaults(cleaned):
-    filled = features.score_defaults(_requests(cleaned))
-    return filled.select("track_id", "energy", "tempo", "duration_ms", "genre_group")
+    filled = features.score_defaults(_requests(cleaned).drop("liveness", "speechiness"))
+    return filled.select("track_id", *S.SCORE_DEFAULTS)
 
 
 @on_cleaned
@@ -214,7 +230,7 @@ def validation_summary(raw):
 
 @on_raw
 def column_profile(raw):
-    return quality.column_profile(raw.drop("tb4"), "track_id")
+    return quality.column_profile(raw, "track_id")
 
 
 @on_raw
@@ -371,11 +387,18 @@ def parse_replies(cleaned):
     return parsed.withColumn("generated_at", _stamp())
 
 
+@on_cleaned
+def rejected_replies(cleaned):
+    known = artists.primary_genre(artists.artist_stats(cleaned))
+    parsed = profiles.parse_replies(samples.raw_replies(cleaned), known)
+    return profiles.quarantine(parsed).withColumn("generated_at", _stamp())
+
+
 @on_cleaned
 def profile_upsert(cleaned):
-    merged = insight.merge_replies(
-        cleaned, samples.stored_profiles(cleaned), samples.raw_replies(cleaned)
-    )
+    parsed = insight.read_replies(artists.artist_stats(cleaned), samples.raw_replies(cleaned))
+    parsed = materialize(parsed, "parsed-replies")  # a merge and its rejects both read them
+    merged = insight.merge_replies(samples.stored_profiles(cleaned), parsed)
     return merged.profiles.withColumn("generated_at", _stamp())
 
 
@@ -446,10 +469,10 @@ def standardised(cleaned):
     rows = features.training_rows(cleaned).select("track_id", *S.TRAINING_COLUMNS)
     rows = materialize(rows, "standardised")  # fitting reads its input several times
     scaled = Pipeline(stages=model.scaling_stages()).fit(rows).transform(rows)
-    values = vector_to_array("features")
-    return scaled.select(
-        "track_id",
-        *[round_exact(values[i], 4).alias(f"z_{c}") for i, c in enumerate(model.FULL_FEATURES)],
+    rounded = F.transform(vector_to_array("features"), lambda v: round_exact(v, 4))
+    scores = scaled.select("track_id", rounded.alias("scores"))
+    return scores.select(
+        "track_id", *[F.col("scores")[i].alias(f"z_{c}") for i, c in enumerate(model.FULL_FEATURES)]
     )
 
 
@@ -480,41 +503,86 @@ def classification_metrics(cleaned):
 
 
 # ------------------------------------------------------------------ models
+#
+# Trees depend on the partition layout, so these report what does not: who was trained
+# and scored, with what weights and inputs, and whether the results hold together.
 
 
-@on_cleaned
-def train_tier_model(cleaned):
-    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    return evaluation.classification_metrics(result.predictions)
+@functools.lru_cache(maxsize=2)
+def _trained(spark: SparkSession, folder: str, kind: str) -> training.Trained:
+    """The model of a folder, fitted once for the queries that need it."""
+    tracks = samples.tracks_cleaned(spark, folder)
+    return training.train_model(tracks, kind, max_label_rows=FIT_ROWS)
 
 
-@on_cleaned
-def train_compact_model(cleaned):
-    result = training.train_model(cleaned, training.COMPACT, **SMALL_FOREST)
-    return evaluation.classification_metrics(result.predictions).select("f1", "accuracy")
+def _tier_summary(result: training.Trained) -> DataFrame:
+    tier = "popularity_tier"
+    trained = result.train.groupBy(tier).agg(F.count(F.lit(1)).alias("train_rows"))
+    known = F.col("prediction").isin([float(n) for n in range(len(S.TIERS))])
+    tested = result.predictions.groupBy(tier).agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(known).alias("scored_rows")
+    )
+    weights = result.weights.select(tier, round_exact(F.col("class_weight"), DIGITS).alias("class_weight"))
+    metrics = evaluation.classification_metrics(result.predictions).first()
+    sound = all(0 < m <= 1 for m in metrics) and metrics["accuracy"] == metrics["weighted_recall"]
+    joined = trained.join(tested, tier, "full").join(weights, tier, "full")
+    return joined.withColumn("metrics_sound", F.lit(sound))
 
 
-@on_cleaned
-def feature_importance(cleaned):
-    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    return evaluation.feature_importance(result.model, cleaned.sparkSession)
+@query
+def train_tier_model(spark, folder):
+    return _tier_summary(_trained(spark, folder, training.FULL))
 
 
-@on_cleaned
-def score_tracks(cleaned):
-    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
-    scored = model.score_tracks(result.model, _requests(cleaned))
-    return scored.select("track_id", "popularity_tier", "confidence", "message", "probabilities.*")
+@query
+def train_compact_model(spark, folder):
+    return _tier_summary(_trained(spark, folder, training.COMPACT))
 
 
-@on_cleaned
-def model_report(cleaned):
-    result = training.train_model(cleaned, training.FULL, **SMALL_FOREST)
+@query
+def feature_importance(spark, folder):
+    found = evaluation.feature_importance(_trained(spark, folder, training.FULL).model, spark)
+    total = F.sum("importance").over(Window.partitionBy())  # one row per feature
+    return found.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(total - 1) < 1e-4).alias("shares_sum_to_one"),
+    )
+
+
+@query
+def score_tracks(spark, folder):
+    requests = _requests(samples.tracks_cleaned(spark, folder))
+    scored = model.score_tracks(_trained(spark, folder, training.FULL).model, requests)
+    shares = [F.col(f"probabilities.{t}") for t in S.TIERS]
+    own = F.coalesce(*[F.when(F.col("popularity_tier") == t, share) for t, share in zip(S.TIERS, shares)])
+    message = F.coalesce(*[F.when(F.col("popularity_tier") == t, F.lit(m)) for t, m in S.TIER_MESSAGES.items()])
+    return scored.select(
+        *requests.columns,
+        (F.abs(sum(shares[1:], shares[0]) - 100) <= 0.2).alias("shares_sum_to_100"),
+        ((own == F.greatest(*shares)) & (own == F.col("confidence"))).alias("tier_is_likeliest"),
+        (F.col("message") == message).alias("message_fits"),
+    )
+
+
+@query
+def model_report(spark, folder):
+    result = _trained(spark, folder, training.FULL)
     report = evaluation.model_report(
-        result.model,
-        result.predictions,
-        result.weights,
-        result.train.count(),
-        datetime(2024, 1, 1),
+        result.model, result.predictions, result.weights, result.train.count(), datetime(2024, 1, 1)
+    )
+    cells = F.aggregate("confusion_matrix", F.lit(0).cast("bigint"), lambda n, c: n + c["count"])
+    return report.select(
+        "label",
+        F.array_join("features", ",").alias("features"),
+        "num_trees",
+        "max_depth",
+        "subsampling_rate",
+        *[F.col("class_weights")[t].alias(f"weight_{t.lower()}") for t in S.TIERS],
+        "train_rows",
+        "test_rows",
+        cells.alias("confusion_total"),
+        F.size("feature_importance").alias("importances"),
+        F.col("metrics.accuracy").between(0, 1).alias("is_share"),
+        (F.col("metrics.accuracy") == F.col("metrics.weighted_recall")).alias("metrics_agree"),
     )
-    return report.select(F.to_json(F.struct("*")).alias("report"))

@@ -33,10 +33,19 @@ class Trained:
     weights: DataFrame
 
 
-def train_on(frame: DataFrame, kind: str, weigh_all: bool = False, **settings) -> Trained:
+def train_on(
+    frame: DataFrame,
+    kind: str,
+    weigh_all: bool = False,
+    max_label_rows: int | None = None,
+    **settings,
+) -> Trained:
     """Train on a stored split frame; fitting passes over it many times.
 
-    Weights come from the training rows, or from all rows with ``weigh_all``.
+    Weights come from the training rows, or from all rows with ``weigh_all``. The forest is
+    fitted on all training rows, or on the first ``max_label_rows`` of them by a hash of
+    the key: MLlib keeps a bagging count per row and tree, so very large tables need the
+    bound. Weights, evaluation and scoring cover all rows either way.
     """
     train, test = (frame.filter(F.col("split") == part) for part in (splits.TRAIN, splits.TEST))
     digits = 2 if kind == FULL else None
@@ -44,15 +53,21 @@ def train_on(frame: DataFrame, kind: str, weigh_all: bool = False, **settings) -
     # One row per tier, held here so that each pass of the fit does not count anew.
     weights = frame.sparkSession.createDataFrame(counted.collect(), counted.schema)
     build = model.full_pipeline if kind == FULL else model.compact_pipeline
-    fitted = build(**settings).fit(splits.add_class_weights(train, weights))
+    weighted = splits.add_class_weights(train, weights)
+    if max_label_rows is None:
+        fitted = build(**settings).fit(weighted)
+    else:
+        first = weighted.orderBy(F.md5("track_id"), "track_id").limit(max_label_rows)
+        with staged(first, "fitting-rows") as rows:
+            fitted = build(**settings).fit(rows)
     return Trained(fitted, fitted.transform(test), train, weights)
 
 
-def train_model(
-    tracks: DataFrame, kind: str = FULL, weigh_all: bool = False, **settings
-) -> Trained:
+def train_model(tracks: DataFrame, kind: str = FULL, **settings) -> Trained:
+    """:func:`train_on` for tracks that are not split yet. The split stays in scratch, as the
+    result reads it."""
     frame = materialize(split_rows(tracks, kind), f"training-{kind}")
-    return train_on(frame, kind, weigh_all, **settings)
+    return train_on(frame, kind, **settings)
 
 
 def train_and_save(

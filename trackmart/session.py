@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import functools
+import re
 import shutil
 import tempfile
 import uuid
@@ -12,8 +13,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution coalesces small shuffle partitions and splits skewed ones,
-# but starts from a given number and never exceeds it; see fit_shuffles.
+# Adaptive execution coalesces small shuffle partitions and splits skewed ones, but
+# starts from spark.sql.shuffle.partitions and never exceeds it: give build_session a
+# number that suits the input, about one per 200 MB of shuffled data.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -42,34 +44,17 @@ def _local_scratch() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
-    Only a local-mode session may do without the setting: a folder on one
+    Only a session in one process may do without the setting: a folder on one
     machine is no use to executors elsewhere.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def fit_shuffles(
-    df: DataFrame, bytes_per_partition: int = 256 << 20, most: int = 50_000
-) -> int:
-    """Size the session's shuffles for the input ``df`` scans; returns the number.
-
-    Uses the planner's size estimate, so nothing is read. Adaptive execution
-    merges whatever turns out small. Beyond ``most`` partitions the bookkeeping of
-    map outputs costs more than larger, spilling partitions do.
-    """
-    spark = df.sparkSession
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = max(least, min(most, -(-estimate // bytes_per_partition)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
-    return number
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 

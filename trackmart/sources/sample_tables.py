@@ -81,17 +81,22 @@ _REPLY_JSON = """concat('{{"origin_country":"Land ', CAST(n % 9 AS VARCHAR(9)),
 
 REPLY_SQL = f"""
     SELECT upper(artist_name) AS artist_name,
-           CASE n % 6
+           CASE n % 7
              WHEN 0 THEN concat('```json', chr(10), body, chr(10), '```')
              WHEN 1 THEN concat('```', chr(10), body, chr(10), '```')
              WHEN 2 THEN concat('  ', body, chr(10))
              WHEN 3 THEN concat('Here:', chr(10), '```json', body, '```', ' and ```more```')
              WHEN 4 THEN '{{{{"career_start":null,"fun_fact":"short"}}}}'
+             WHEN 5 THEN '{{{{"origin_country":"First","fun_fact":"twice","origin_country":"Last"}}}}'
              ELSE '{{{{"origin_country": "Broken", ' END AS reply,
            CAST('2024-06-01 00:00:00' AS TIMESTAMP) AS generated_at
     FROM (SELECT *, {_REPLY_JSON} AS body FROM (
         SELECT artist_name, max({_NUMBER}) AS n, min(year) AS first_year, max({_NEXT}) AS peer
-        FROM {{cleaned}} WHERE year >= 2020 GROUP BY artist_name) AS a) AS b"""
+        FROM {{cleaned}} WHERE year >= 2020 GROUP BY artist_name) AS a) AS b
+    UNION ALL
+    SELECT concat('Nobody ', CAST(year AS VARCHAR(9))), '{{{{"fun_fact":"has no tracks"}}}}',
+           CAST('2024-06-01 00:00:00' AS TIMESTAMP)
+    FROM {{cleaned}} GROUP BY year"""
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
