@@ -11,16 +11,20 @@ collisions (64 bits, with the set size beside them).
    m link, they share at least ``l`` posted shingles, l being that of the smaller set:
    each has ceil(t n) in common with any set it links to, so the first
    n - ceil(t n) + l shingles of both meet in l of them. Only shingles that two different
-   sets post are kept, and of those only sets that have l of them.
+   sets post are kept, and of those only sets that have l of them. A posting also knows
+   its place, and how many places before it nobody shares: no set that has this shingle
+   in common has those, which bounds the overlap (``reach``) and hence the sizes of sets
+   to link to.
 3. *Groups.* For every posted shingle the most central sets of a size band (those whose
    posted shingles are shared most) are leaders. A set is checked exactly against the
    leader it shares most with; verified links make the groups of similar documents.
-4. *Matrix.* The token-group matrix has the union of each group's posted shingles. A
-   query set outside a group meets it in the matrix; its overlap with the group's union
-   bounds that with every member. Of two groups, the sets of the smaller one are queries.
+4. *Matrix.* The token-group matrix has the union of the posted shingles of each group's
+   members of one size. A query set outside a group meets it in the matrix where its reach
+   allows for that size; its overlap with the union bounds that with every member. Of two
+   groups, the sets of the smaller one are queries.
 5. *Opening.* Only groups whose bound reaches l are opened: the members that share l posted
-   shingles with the query are checked exactly. Members of one group are never compared
-   with each other, as they are in one class already.
+   shingles with the query, within the reach of both, are checked exactly. Members of one
+   group are never compared with each other, as they are in one class already.
 6. Links make classes; copies of a set are one node throughout.
 
 Rules
@@ -48,6 +52,7 @@ from trackmart.llm.common import (
     fresh,
     map_arrow,
     portions,
+    ragged,
     utf8,
     written,
 )
@@ -162,7 +167,7 @@ def frequent_shingles(described_rows: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """token, set_id, n for the prefix of every set; copies within a task post once."""
+    """token, set_id, n, place for the prefix of every set; copies within a task post once."""
     order = np.argsort(frequent)
     sent = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
 
@@ -193,9 +198,15 @@ def postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) ->
                 sizes.append(n)
             if tokens:
                 lengths = [len(t) for t in tokens]
-                yield [np.concatenate(tokens), np.repeat(names, lengths), np.repeat(sizes, lengths)]
+                places = ragged(np.zeros(len(tokens), np.int64), np.array(lengths))
+                yield [
+                    np.concatenate(tokens),
+                    np.repeat(names, lengths),
+                    np.repeat(sizes, lengths),
+                    places,
+                ]
 
-    return map_arrow(docs, per_batch, "token long, set_id long, n long", setup)
+    return map_arrow(docs, per_batch, "token long, set_id long, n long, place long", setup)
 
 
 def shared_postings(posted: DataFrame) -> DataFrame:
@@ -206,18 +217,27 @@ def shared_postings(posted: DataFrame) -> DataFrame:
         .withColumn("most", F.max("set_id").over(by_token))
         .withColumn("df", F.count(F.lit(1)).over(by_token))
         .where("least <> most")
-        .select("token", "set_id", "n", "df")
+        .select("token", "set_id", "n", "place", "df")
         .distinct()
     )
 
 
 def enough_shared(shared: DataFrame, percent: int) -> DataFrame:
-    """The postings of sets that share enough to link at all, with how ``central`` a set is."""
-    by_set = shared.groupBy("set_id").agg(
-        F.sum("df").alias("central"), F.count(F.lit(1)).alias("posted"), F.first("n").alias("size")
+    """The postings of sets that share enough to link at all, with how ``central`` a set is.
+
+    ``reach`` bounds the overlap with a set for which this is the last posting in common:
+    shared places up to here and all that follow. It never rises along a set, so it holds
+    for every posting in common with that set.
+    """
+    by_set = Window.partitionBy("set_id")
+    so_far = F.row_number().over(by_set.orderBy("place"))
+    return (
+        shared.withColumn("central", F.sum("df").over(by_set))
+        .withColumn("posted", F.count(F.lit(1)).over(by_set))
+        .withColumn("reach", so_far + F.col("n") - 1 - F.col("place"))
+        .where(F.col("posted") >= least_shared_column(F.col("n"), percent))
+        .select("token", "set_id", "n", "place", "central", "reach")
     )
-    able = by_set.where(F.col("posted") >= least_shared_column(F.col("size"), percent))
-    return shared.join(able.select("set_id", "central"), "set_id")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -288,6 +308,40 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return (n * 100 >= m * percent) & (m * 100 >= n * percent)
 
 
+def _reaches(reach: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether an overlap of ``reach`` is enough for sets of sizes n and m."""
+    return reach * (100 + percent) >= (n + m) * percent
+
+
+def _meets(n: Column, m: Column, percent: int) -> Column:
+    """Whether a common posting counts for its pair of sets (n, place, reach; m, spot, far).
+
+    The sizes must fit, the overlap must be within reach, and the posting within the
+    prefixes that sets of just these sizes need to meet in l places.
+    """
+    overlap = F.ceil((n + m) * percent / (100 + percent))
+    spare = least_shared_column(F.least(n, m), percent) - overlap
+    return (
+        _sizes_fit(n, m, percent)
+        & _reaches(F.least("reach", "far"), n, m, percent)
+        & (F.col("place") < n + spare)
+        & (F.col("spot") < m + spare)
+    )
+
+
+def _may_link(met: DataFrame, percent: int) -> DataFrame:
+    """Of pairs with one row per posting in common (a, b, n, m, place, spot), those that the
+    number in common and what follows the last one do not rule out."""
+    n, m = F.col("n"), F.col("m")
+    rest = F.least(n - 1 - F.col("place"), m - 1 - F.col("spot"))
+    return (
+        met.groupBy("a", "b", "n", "m")
+        .agg(F.count(F.lit(1)).alias("common"), F.max("place").alias("place"), F.max("spot").alias("spot"))
+        .where(F.col("common") >= least_shared_column(F.least(n, m), percent))
+        .where(_reaches(F.col("common") + rest, n, m, percent))
+    )
+
+
 def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
     """For every set, the leader it shares most with: a, b."""
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
@@ -296,33 +350,33 @@ def leader_pairs(shared: DataFrame, percent: int) -> DataFrame:
     leaders = (
         ranked.withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= LEADERS)
-        .select("token", "band", F.col("set_id").alias("b"), F.col("n").alias("m"))
+        .select(
+            "token",
+            "band",
+            F.col("set_id").alias("b"),
+            F.col("n").alias("m"),
+            F.col("place").alias("spot"),
+            F.col("reach").alias("far"),
+        )
     )
+    n, m = F.col("n"), F.col("m")
     met = (
-        ranked.select("token", "band", F.col("set_id").alias("a"), "n")
+        ranked.select("token", "band", F.col("set_id").alias("a"), "n", "place", "reach")
         .join(leaders, ["token", "band"])
         .where(F.col("a") != F.col("b"))
-        .groupBy("a", "b", "n", "m")
-        .agg(F.count(F.lit(1)).alias("common"))
-        .where(
-            _sizes_fit(F.col("n"), F.col("m"), percent)
-            & (F.col("common") >= least_shared_column(F.least("n", "m"), percent))
-        )
+        .where(_meets(n, m, percent))
     )
     best = Window.partitionBy("a").orderBy(F.desc("common"), "b")
-    return met.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b")
+    return _may_link(met, percent).withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b")
 
 
 def opened_pairs(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets from different groups that the matrix cannot rule out: a, b."""
     rows = shared.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "token", "set_id", "n", F.coalesce("label", "set_id").alias("grp")
+        "token", "set_id", "n", "place", "reach", F.coalesce("label", "set_id").alias("grp")
     )
     facts = (
-        rows.select("grp", "set_id", "n")
-        .distinct()
-        .groupBy("grp")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
+        rows.select("grp", "set_id").distinct().groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
     )
     rows = written(rows.join(facts, "grp"), "matrix-rows")
     # A token whose sets are all in one group has nothing more to say.
@@ -334,37 +388,38 @@ def opened_pairs(shared: DataFrame, groups: DataFrame, percent: int) -> DataFram
         .drop("least", "most")
     )
     rows = written(rows, "matrix-rows")
+    n, m = F.col("n"), F.col("m")
     matrix = rows.select(
         "token",
         F.col("grp").alias("g"),
+        F.col("n").alias("m"),
         F.col("members").alias("g_members"),
-        F.col("low").alias("g_low"),
-        F.col("high").alias("g_high"),
     ).distinct()
     qualifying = (
         rows.join(matrix, "token")
         .where(
             (F.struct("members", "grp") < F.struct("g_members", "g"))
-            & (F.col("n") * 100 >= F.col("g_low") * percent)
-            & (F.col("g_high") * 100 >= F.col("n") * percent)
+            & _sizes_fit(n, m, percent)
+            & _reaches(F.col("reach"), n, m, percent)
         )
-        .groupBy("set_id", "n", "g", "g_low")
+        .groupBy("set_id", "n", "g", "m")
         .agg(F.count(F.lit(1)).alias("bound"))
-        .where(F.col("bound") >= least_shared_column(F.least("n", "g_low"), percent))
-        .select(F.col("set_id").alias("a"), "g")
+        .where(F.col("bound") >= least_shared_column(F.least("n", "m"), percent))
+        .select(F.col("set_id").alias("a"), "g", "m")
     )
-    queries = rows.select("token", F.col("set_id").alias("a"), "n").join(written(qualifying, "qualifying"), "a")
-    members = rows.select("token", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g"))
-    return (
-        queries.join(members, ["token", "g"])
-        .groupBy("a", "b", "n", "m")
-        .agg(F.count(F.lit(1)).alias("common"))
-        .where(
-            _sizes_fit(F.col("n"), F.col("m"), percent)
-            & (F.col("common") >= least_shared_column(F.least("n", "m"), percent))
-        )
-        .select("a", "b")
+    queries = rows.select("token", F.col("set_id").alias("a"), "n", "place", "reach").join(
+        written(qualifying, "qualifying"), "a"
+    )
+    members = rows.select(
+        "token",
+        F.col("set_id").alias("b"),
+        F.col("n").alias("m"),
+        F.col("grp").alias("g"),
+        F.col("place").alias("spot"),
+        F.col("reach").alias("far"),
     )
+    met = queries.join(members, ["token", "g", "m"]).where(_meets(n, m, percent))
+    return _may_link(met, percent).select("a", "b")
 
 
 def classes(

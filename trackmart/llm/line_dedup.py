@@ -57,7 +57,8 @@ class CuckooFilter:
     """
 
     def __init__(self, cells: np.ndarray, stash: list[int] | None = None):
-        self.cells, self.stash = cells.reshape(-1, SLOTS), list(stash or [])
+        self.cells = cells.reshape(-1, SLOTS)
+        self.stash = [] if stash is None else [int(entry) for entry in stash]
 
     @classmethod
     def sized(cls, keys: int) -> CuckooFilter:
