@@ -121,20 +121,20 @@ def test_decoding_finds_the_cheapest_reading(costs):
 
 
 def test_spaced_words_are_joined():
-    tokens = b"you i d i o t here a a a a x y".split()
-    assert toxicity.joined_spacing(tokens) == b"you idiot here a a a a x y".split()
+    tokens = b"you i d i o t here a a a a then x y".split()
+    assert toxicity.joined_spacing(tokens) == b"you idiot here a a a a then x y".split()
 
 
 def test_toxicity_of_held_out_documents(spark, costs):
     words = [r[1] for r in hard_rows() if r[0] and 100 <= r[0] < 130]
-    rows = [row(n, f"{words[n % 30]} {n} {'vile' if n % 3 == 0 else 'kind'} {words[-n % 30]}") for n in range(300)]
+    rows = [row(n, f"{words[n % 30]} {n} {'idiot' if n % 3 == 0 else 'kind'} {words[-n % 30]}") for n in range(300)]
     docs = spark.createDataFrame(rows, SCHEMA)
     marks = spark.createDataFrame([(n, 1, int(n % 3 == 0)) for n in range(300)] + [(None, 1, 1), (5, 1, None)],
                                   "doc_id long, quality int, toxic int")
     model = toxicity.fit(toxicity.sample_of(docs, marks, F.col("doc_id") < 200), costs)
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert min(got[n] for n in range(201, 300, 3)) > 0.7 > 0.3 > max(got[n] for n in range(202, 300, 3))
-    hidden = spark.createDataFrame([row(1, f"{words[0]} v1l3 {words[1]}"), row(2, "v i l e")], SCHEMA)
+    hidden = spark.createDataFrame([row(1, f"{words[0]} 1d10t {words[1]}"), row(2, "i d i o t")], SCHEMA)
     assert all(r.score > 0.5 for r in toxicity.score(hidden, model).collect())
     edges = toxicity.score(hard(spark), model).collect()
     assert len(edges) == len(hard_rows()) and all(0 <= r.score <= 1 for r in edges)

@@ -89,7 +89,9 @@ def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable |
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
-    return df.mapInArrow(run, schema)
+    # Batches are read by position; plain names spare columns with dots in theirs.
+    plain = df.toDF(*[f"c{n}" for n in range(len(df.columns))])
+    return plain.mapInArrow(run, schema)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

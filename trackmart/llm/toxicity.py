@@ -56,7 +56,11 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-SWAP_COST, DELETE_COST, COLLAPSE_COST = 1.5, 1.0, 0.5
+SWAP_COST, COLLAPSE_COST = 1.5, 0.5
+# Leaving out a digit, a sign that may stand for a letter, any other sign; and what such a
+# sign costs more amid a word. A letter costs a few units under the model, so that digits
+# are read as letters rather than left out.
+DIGIT_COST, SIGN_COST, OTHER_COST, AMID_COST = 12.0, 1.0, 0.5, 8.0
 # Letters the model tells apart; every other letter is one class, all else a word's edge.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáçéèêëíîïñóôöúùûüßœæ"
 CLASSES = len(LETTERS) + 2
@@ -131,7 +135,9 @@ def arcs(word: str) -> list[list[tuple[str, float]]]:
             elif longer:
                 ways.append(("", COLLAPSE_COST))
         else:
-            ways = [("", DELETE_COST / run)]
+            cost = DIGIT_COST if c.isdigit() else SIGN_COST if c in LOOKALIKES else OTHER_COST
+            inside = 0 < n < len(word) - 1 and run == 1 and c in LOOKALIKES
+            ways = [("", (cost + AMID_COST * inside) / run)]
             ways += [(x, SWAP_COST) for x in LOOKALIKES.get(c, "")] if run < 3 else []
         out.append(ways)
     return out
