@@ -512,7 +512,8 @@ def classification_metrics(cleaned):
 def _trained(spark: SparkSession, folder: str, kind: str) -> training.Trained:
     """The model of a folder, fitted once for the queries that need it."""
     tracks = samples.tracks_cleaned(spark, folder)
-    return training.train_model(tracks, kind, max_label_rows=FIT_ROWS)
+    # More node statistics at a time mean fewer passes; the trees are the same.
+    return training.train_model(tracks, kind, max_label_rows=FIT_ROWS, maxMemoryInMB=1024)
 
 
 def _tier_summary(result: training.Trained) -> DataFrame:
@@ -559,7 +560,7 @@ def score_tracks(spark, folder):
     message = F.coalesce(*[F.when(F.col("popularity_tier") == t, F.lit(m)) for t, m in S.TIER_MESSAGES.items()])
     return scored.select(
         *requests.columns,
-        (F.abs(sum(shares[1:], shares[0]) - 100) <= 0.2).alias("shares_sum_to_100"),
+        (F.abs(sum(shares[1:], shares[0]) - 100) < 0.25).alias("shares_sum_to_100"),
         ((own == F.greatest(*shares)) & (own == F.col("confidence"))).alias("tier_is_likeliest"),
         (F.col("message") == message).alias("message_fits"),
     )
