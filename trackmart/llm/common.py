@@ -141,6 +141,29 @@ class Table(Lookup):
         return row
 
 
+class BatchTable(Lookup):
+    """A :class:`Table` whose new keys are described all at once: ``make(keys)`` gives their rows."""
+
+    def __init__(self, make: Callable, width: int, limit: int = 400_000):
+        super().__init__(None, limit)
+        self.make_rows, self.rows = make, np.zeros((1024, width))
+
+    def __missing__(self, key):
+        self[key] = row = len(self.values)
+        self.values.append(key)
+        return row
+
+    def indices(self, keys: list) -> np.ndarray:
+        known = len(self.values)
+        found = super().indices(keys)
+        new = self.values[known:]
+        if new:
+            while len(self.rows) < len(self.values):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[known : len(self.values)] = self.make_rows(new)
+        return found
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start+1, ... of each run, one run after the other."""
     total = int(lengths.sum())

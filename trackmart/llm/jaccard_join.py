@@ -124,26 +124,20 @@ def least_shared_column(n: Column, percent: int) -> Column:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """Per document (kind 0): a = id, b = set id, c = size, d = hash of the text. Per batch
-    (kind 1): a = shingle, b = number of distinct sets of the batch that have it, from two."""
+    """Per document (kind 0): a = id, b = set id, c = size, d = hash of the text. Per portion
+    of texts (kind 1): a = shingle, b = number of its distinct sets that have it, from two."""
 
     def per_batch(batch, table):
         ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
         marks = batch.column(2).to_pylist()
-        distinct: dict[int, np.ndarray] = {}
-        rows = [[], [], []]
-        for a, b in portions(texts):
-            for doc_id, mark, found in zip(
-                ids[a:b], marks[a:b], shingle_sets(texts[a:b], table, words), strict=True
-            ):
-                name = set_id(found)
-                distinct[name] = found
-                for column, value in zip(rows, (doc_id, name, len(found)), strict=True):
-                    column.append(value)
-        n = len(ids)
-        yield [[0] * n, *rows, marks]
-        if distinct:
-            tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+        for a, b in portions(texts, 6 << 20):
+            found = shingle_sets(texts[a:b], table, words)
+            names = [set_id(shingles) for shingles in found]
+            sizes = [len(shingles) for shingles in found]
+            yield [[0] * len(names), ids[a:b], names, sizes, marks[a:b]]
+            distinct = list(dict(zip(names, found, strict=True)).values())
+            del found
+            tokens, counts = np.unique(np.concatenate(distinct), return_counts=True)
             tokens, counts = tokens[counts > 1], counts[counts > 1]
             zero = np.zeros(len(tokens), np.int64)
             yield [zero + 1, tokens.view(np.int64), counts, zero, zero]

@@ -24,6 +24,7 @@ Rules
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import zlib
@@ -36,8 +37,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from trackmart.llm.common import (
+    BatchTable,
     Lookup,
-    Table,
     documents,
     exact,
     folds,
@@ -52,6 +53,7 @@ TRAIN_LENGTH, TRAIN_RUN = 64, 16  # words in a training sequence, words between
 BLOCK = 64
 STEPS, RATE, PENALTY = 60, 0.5, 1e-6
 UNKNOWN = "und"
+EDGES = ".,;:!?\"'()[]{}|*#$%&/<>=+-_0123456789"
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -64,15 +66,36 @@ class Model:
 
 def features(word: bytes) -> list[int]:
     """Hashed features of a word; none if it has no letter."""
-    text = word.decode().lower()
-    core = text.strip(".,;:!?\"'()[]{}|*#$%&/<>=+-_0123456789")
-    if not LETTER.search(core):
-        return []
-    marked = f"^{core}$"
-    parts = ["w" + core]
-    parts += ["p" + core[:n] for n in (1, 2, 3)] + ["s" + core[-n:] for n in (1, 2, 3)]
-    parts += ["g" + marked[n : n + 3] for n in range(len(marked) - 2)]
-    return [zlib.crc32(p.encode()) % BUCKETS for p in parts]
+    if word.isascii():
+        core = word.lower().strip(EDGES.encode())
+        if not core or not LETTER.search(core.decode()):
+            return []
+        parts, marked = core, b"^%b$" % core
+        crc = zlib.crc32
+    else:
+        core = word.decode().lower().strip(EDGES)
+        if not LETTER.search(core):
+            return []
+        parts, marked = core, f"^{core}$"
+        crc = _crc_of_text
+    found = [crc(parts, 1)]
+    found += [crc(parts[:n], 2) for n in (1, 2, 3)] + [crc(parts[-n:], 3) for n in (1, 2, 3)]
+    found += [crc(marked[n : n + 3], 4) for n in range(len(marked) - 2)]
+    return [f % BUCKETS for f in found]
+
+
+def _crc_of_text(text: str, kind: int) -> int:
+    return zlib.crc32(text.encode(), kind)
+
+
+def emissions(words: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Emission scores of words, and whether a word has features in the last column."""
+    found = [features(w) for w in words]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum()))
+    owner = np.repeat(np.arange(len(words)), sizes)
+    scores = [np.bincount(owner, weights[flat, c], len(words)) for c in range(weights.shape[1])]
+    return np.stack([*scores, sizes > 0], 1)
 
 
 def forward_backward(emissions: np.ndarray, moves: np.ndarray, mask: np.ndarray, before, after):
@@ -228,7 +251,7 @@ def _expectations(factors, moves, mask, uniform):
     return marginals, expected
 
 
-def _labels(batch_texts: list[bytes], words: Table, model: Model):
+def _labels(batch_texts: list[bytes], words: BatchTable, model: Model):
     """Language, score and mean probabilities of each text."""
     languages = model.languages
     for a, b in portions(batch_texts):
@@ -256,13 +279,8 @@ def _with_labels(docs: DataFrame, text_col: str, model: Model, schema, arrange)
     text = docs.columns.index(text_col)
 
     def setup():
-        model = sent.value
-
-        def score(word):
-            found = features(word)
-            return np.append(model.weights[found].sum(0), bool(found))
-
-        return Table(score, model.weights.shape[1] + 1)
+        weights = sent.value.weights
+        return BatchTable(lambda new: emissions(new, weights), weights.shape[1] + 1)
 
     def per_batch(batch, words):
         labels = list(_labels(utf8(batch.column(text)), words, sent.value))
