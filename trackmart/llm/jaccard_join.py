@@ -75,7 +75,7 @@ def scrambled(h: np.ndarray) -> np.ndarray:
 
 
 def word_table() -> Table:
-    return Table(lambda w: xxhash.xxh3_64_intdigest(w), 1, dtype=np.uint64)
+    return Table(xxhash.xxh3_64_intdigest, 1, limit=100_000, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[bytes], table: Table, words: int) -> list[np.ndarray]:
@@ -130,7 +130,7 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     def per_batch(batch, table):
         ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
         marks = batch.column(2).to_pylist()
-        for a, b in portions(texts, 6 << 20):
+        for a, b in portions(texts, 3 << 20):
             found = shingle_sets(texts[a:b], table, words)
             names = [set_id(shingles) for shingles in found]
             sizes = [len(shingles) for shingles in found]
