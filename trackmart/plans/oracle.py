@@ -556,7 +556,10 @@ def statements() -> dict[str, str]:
         + ", ".join(f"'{name}'" for name in _MODEL_INPUTS)
         + "]) AS feature, TRUE AS is_share, TRUE AS shares_sum_to_one",
         "score_tracks": f"""WITH {_CLEANED}, {_REQUESTS}
-            SELECT track_id, {_DOUBLES}, duration_ms, year, genre_group, TRUE AS shares_sum_to_100,
+            SELECT track_id, danceability, coalesce(energy, 5e-1) AS energy, loudness,
+                coalesce(tempo, 120e0) AS tempo, valence, acousticness, speechiness, instrumentalness,
+                liveness, coalesce(duration_ms, 200000) AS duration_ms, year,
+                coalesce(genre_group, 'Pop') AS genre_group, TRUE AS shares_sum_to_100,
                 TRUE AS tier_is_likeliest, TRUE AS message_fits FROM requests""",
         "model_report": f"""WITH {_CLEANED}, {_HASH_SPLIT},
             train AS (SELECT * FROM split_rows WHERE split = 'train'),
