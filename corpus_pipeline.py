@@ -19,17 +19,18 @@ LEAST_CONFIDENCE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found with some confidence.
+    """Documents whose words are labelled with some confidence.
 
-    Without a letter, or with no language at ``LEAST_CONFIDENCE``, a document goes. The
-    prediction fills a null ``lang`` in. The model learns from the documents' own labels,
-    outside the held-out fold.
+    Without a letter, or with a mean over words of the largest label probability below
+    ``LEAST_CONFIDENCE``, a document goes; one in several languages stays. The prediction
+    fills a null ``lang`` in. The model learns from the documents' own labels, outside the
+    held-out fold.
     """
     held_out = language.folds(F.col("doc_id"), 5) == 0
     sample = language.training_sample(docs, F.col("text"), F.col("lang"), ~held_out)
-    lang, score = fresh(docs, "lang"), fresh(docs, "score")
-    found = language.label_rows(docs, language.fit(sample), lang, score)
-    named = found.where(F.col(score) >= LEAST_CONFIDENCE).withColumn("lang", F.coalesce("lang", lang))
+    lang, certainty = fresh(docs, "lang"), fresh(docs, "certainty")
+    found = language.label_rows(docs, language.fit(sample), lang, certainty)
+    named = found.where(F.col(certainty) >= LEAST_CONFIDENCE).withColumn("lang", F.coalesce("lang", lang))
     return named.select(*map(exact, docs.columns))
 
 

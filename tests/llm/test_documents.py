@@ -309,6 +309,26 @@ def test_pipeline_stages(spark):
     assert not left & {9, 10} or 8 not in left
 
 
+def test_code_switched_documents_stay(spark):
+    rng = np.random.default_rng(3)
+    own = {lang: ["".join(rng.choice(list(letters), 6)) for _ in range(60)]
+           for lang, letters in (("aa", "abcde"), ("bb", "fghij"), ("cc", "klmno"), ("dd", "pqrst"))}
+    text = lambda **n: " ".join(" ".join(rng.choice(own[lang], k)) for lang, k in n.items())
+    rows = [row(n, text(**{lang: 60}), lang) for n, lang in enumerate(list(own) * 30)]
+    rows += [
+        row(1000, text(aa=40, bb=35, cc=25), None),
+        row(1001, text(aa=49, bb=49, cc=2), None),
+        row(1002, text(aa=25, bb=25, cc=25, dd=25), None),
+        row(1003, "1 2 3", None),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    left = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert set(left) == set(range(120)) | {1000, 1001, 1002}
+    assert left[1000] == "aa" and left[1001] in ("aa", "bb") and left[7] == "dd"
+    same = spark.createDataFrame([row(n, "same words of all", lang) for n, lang in enumerate(list(own) * 30)], SCHEMA)
+    assert corpus_pipeline.identify_language(spark, same, "").count() == 0
+
+
 def test_pipeline_of_sample_tables(spark):
     """Against plain versions of what each stage may keep."""
     folder = "/root/testdata/sf0.001"

@@ -5,7 +5,9 @@ features: the word itself (lexicon), prefixes and suffixes of one to three lette
 (affixes) and letter trigrams. Transition weights between languages are learned with
 them, from sequences that switch language now and then, so that code-switched text is
 labelled in runs. Forward-backward gives every word's label probabilities; a document's
-language is the one with the largest mean probability, which is its score.
+language is the one with the largest mean probability, which is its score. How certain
+its labels are is another figure, the mean over words of the largest label probability:
+a text split evenly over languages has a low score, but is labelled with certainty.
 
 Fitting uses a bounded sample, ``DOCS_PER_LANGUAGE`` documents a language, picked by a hash
 of the text with short ones (``SHORT`` characters) first. Labelling covers whole texts:
@@ -252,7 +254,7 @@ def _expectations(factors, moves, mask, uniform):
 
 
 def _labels(batch_texts: list[bytes], words: BatchTable, model: Model):
-    """Language, score and mean probabilities of each text."""
+    """Language, score, mean probabilities and certainty of each text."""
     languages = model.languages
     for a, b in portions(batch_texts):
         words.trim()
@@ -266,11 +268,12 @@ def _labels(batch_texts: list[bytes], words: BatchTable, model: Model):
             own = slice(ends[n], ends[n + 1])
             total = counts[own].sum()
             if not total:
-                yield UNKNOWN, 0.0, []
+                yield UNKNOWN, 0.0, [], 0.0
                 continue
             shares = chances[own].sum(0) / total
             best = int(shares.argmax())
-            yield languages[best], min(1.0, float(shares[best])), shares.tolist()
+            certainty = float(chances[own].max(1).sum() / total)
+            yield languages[best], min(1.0, float(shares[best])), shares.tolist(), min(1.0, certainty)
 
 
 def _with_labels(docs: DataFrame, text_col: str, model: Model, schema, arrange) -> DataFrame:
@@ -284,7 +287,7 @@ def _with_labels(docs: DataFrame, text_col: str, model: Model, schema, arrange)
 
     def per_batch(batch, words):
         labels = list(_labels(utf8(batch.column(text)), words, sent.value))
-        yield arrange(batch.columns, list(zip(*labels)) or [[], [], []])
+        yield arrange(batch.columns, list(zip(*labels)) or [[], [], [], []])
 
     return map_arrow(docs, per_batch, schema, setup)
 
@@ -297,18 +300,18 @@ def predict(
     read = docs.select(exact(id_col).cast("long").alias("doc_id"), exact(text_col).alias("text"))
     schema = "doc_id long, lang_pred string, score double, shares array<double>"
     return _with_labels(
-        read, "text", model, schema, lambda columns, labels: [columns[0], *labels]
+        read, "text", model, schema, lambda columns, labels: [columns[0], *labels[:3]]
     )
 
 
 def label_rows(
-    docs: DataFrame, model: Model, lang_name: str, score_name: str, text_col: str = "text"
+    docs: DataFrame, model: Model, lang_name: str, certainty_name: str, text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` as they are with two columns added, of names they must not have."""
-    added = [T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
+    """``docs`` as they are with language and certainty added, of names they must not have."""
+    added = [T.StructField(lang_name, T.StringType()), T.StructField(certainty_name, T.DoubleType())]
     kinds = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), *added])
     return _with_labels(
-        docs, text_col, model, kinds, lambda columns, labels: [*columns, *labels[:2]]
+        docs, text_col, model, kinds, lambda columns, labels: [*columns, labels[0], labels[3]]
     )
 
 
