@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.frames import SCHEMA, empty, hard, hard_rows, row, vocabulary
-from trackmart.llm import chunking, jaccard_join, line_dedup, packing
+from trackmart.llm import chunking, jaccard_join, language, line_dedup, packing
 
 # ------------------------------------------------------------------ packing
 
@@ -325,8 +325,9 @@ def test_code_switched_documents_stay(spark):
     left = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
     assert set(left) == set(range(120)) | {1000, 1001, 1002}
     assert left[1000] == "aa" and left[1001] in ("aa", "bb") and left[7] == "dd"
-    same = spark.createDataFrame([row(n, "same words of all", lang) for n, lang in enumerate(list(own) * 30)], SCHEMA)
-    assert corpus_pipeline.identify_language(spark, same, "").count() == 0
+    blank = language.Model(list(own), np.zeros((language.BUCKETS, 4)), np.zeros((4, 4)))
+    doubtful = language.label_rows(docs.where("doc_id < 5"), blank, "found", "certainty").collect()
+    assert [r.certainty for r in doubtful] == pytest.approx([0.25] * 5)
 
 
 def test_pipeline_of_sample_tables(spark):

@@ -125,6 +125,26 @@ def test_spaced_words_are_joined():
     assert toxicity.joined_spacing(tokens) == b"you idiot here a a a a then x y".split()
 
 
+@pytest.mark.parametrize(
+    "text, joined",
+    [("e s t ú p i d o", "estúpido"), ("a s s", "ass"), ("b o o b !", "boob!"), ("an i d i o t, a", "idiot,"),
+     ('"i d i o t" x', '"idiot"'), ("a, b, c", "c"), ("a a a", "a")],
+)
+def test_single_characters_are_joined_by_code_points(text, joined):
+    assert joined.encode() in toxicity.joined_spacing(text.encode().split())
+    if "," in joined or len(joined) == 1:
+        assert len(toxicity.joined_spacing(text.encode().split())) == 3
+
+
+def test_gaps_in_words_are_left_out(costs):
+    texts = ["you stu pid man", "", "an idi ot", "st up id", "stu", "pid", "stu, pid", "of the man"]
+    words = toxicity.Words(lambda reading: reading, costs)
+    found = [{words.values[n] for n in rows} for rows in words.rows([t.encode() for t in texts])]
+    assert "stupid" in found[0] and {"stu", "pid"} < found[0]
+    assert "idiot" in found[2] and "stupid" in found[3] and not found[1]
+    assert found[4:] == [{"stu"}, {"pid"}, {"stu", "pid"}, {"of", "the", "man"}]
+
+
 def test_toxicity_of_held_out_documents(spark, costs):
     words = [r[1] for r in hard_rows() if r[0] and 100 <= r[0] < 130]
     rows = [row(n, f"{words[n % 30]} {n} {'idiot' if n % 3 == 0 else 'kind'} {words[-n % 30]}") for n in range(300)]

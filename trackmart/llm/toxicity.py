@@ -7,6 +7,12 @@ Viterbi decoding picks the reading that a letter trigram model, counted over all
 documents, and the channel's costs together find likeliest. Words without marks have one
 reading and skip the search.
 
+The gap between two words of at most ``PART`` letters is an arc too, which may be left out
+at a cost. Under a trigram model a gap's choice depends on the two letters on either side
+alone, so all gaps of a text are chosen at once. A word joined from parts adds its
+features to those of the parts. Runs of three or more single characters, not all the same,
+are joined by rule before, without a cost; a sign may precede the first or follow the last.
+
 The restored words give binary features: words and their beginnings. Those that go with
 the label by a likelihood-ratio test over the labelled sample are weighted by logistic
 regression.
@@ -57,6 +63,7 @@ LOOKALIKES = {
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 SWAP_COST, COLLAPSE_COST = 1.5, 0.5
+GAP_COST, PART = 4.0, 6  # leaving out a gap, and the letters a part of a word has at most
 # Leaving out a digit, a sign that may stand for a letter, any other sign; and what such a
 # sign costs more amid a word. A letter costs a few units under the model, so that digits
 # are read as letters rather than left out.
@@ -144,10 +151,15 @@ def arcs(word: str) -> list[list[tuple[str, float]]]:
 
 
 def decode(word: str, costs: np.ndarray) -> str:
-    """The cheapest reading: Viterbi over the last two letters."""
+    """The cheapest reading."""
+    return cheapest(arcs(word), costs)[1]
+
+
+def cheapest(lattice: list[list[tuple[str, float]]], costs: np.ndarray) -> tuple[float, str]:
+    """Cost and letters of the cheapest path: Viterbi over the last two letters."""
     other = CLASSES - 1
     best = {(0, 0): (0.0, None)}
-    for ways in arcs(word):
+    for ways in lattice:
         reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (p, q), (cost, path) in best.items():
             for letter, extra in ways:
@@ -159,13 +171,13 @@ def decode(word: str, costs: np.ndarray) -> str:
                 if state not in reached or total < reached[state][0]:
                     reached[state] = (total, longer)
         best = reached
-    _, path = min(((cost + costs[p, q, 0], n) for n, ((p, q), (cost, _)) in enumerate(best.items())))
+    least, path = min(((cost + costs[p, q, 0], n) for n, ((p, q), (cost, _)) in enumerate(best.items())))
     path = list(best.values())[path][1]
     letters = []
     while path:
         letters.append(path[0])
         path = path[1]
-    return "".join(reversed(letters))
+    return float(least), "".join(reversed(letters))
 
 
 def restore(token: str, costs: np.ndarray) -> str:
@@ -178,23 +190,110 @@ def restore(token: str, costs: np.ndarray) -> str:
     return decode(word, costs)
 
 
+def single(token: bytes) -> tuple[str, bool, bool] | None:
+    """Of a token that is one character but for signs at its edges: the token, and whether
+    a sign stands before or after the character."""
+    if len(token) > 12:
+        return None
+    text = token.decode()
+    if len(text) == 1:
+        return text, False, False
+    if len(text.strip(EDGE_SIGNS)) != 1:
+        return None
+    return text, text[0] in EDGE_SIGNS, text[-1] in EDGE_SIGNS
+
+
 def joined_spacing(tokens: list[bytes]) -> list[bytes]:
     """Tokens with runs of three or more single characters, not all the same, joined to a word."""
-    singles = [n for n, t in enumerate(tokens) if len(t) == 1]
-    if len(singles) < 3:
-        return tokens
-    out, at, n = [], 0, 0
-    while n < len(singles):
-        m = n
-        while m + 1 < len(singles) and singles[m + 1] == singles[m] + 1:
-            m += 1
-        run = tokens[singles[n] : singles[m] + 1]
-        if len(run) >= 3 and len(set(run)) > 2:
-            out += tokens[at : singles[n]]
-            out.append(b"".join(run))
-            at = singles[m] + 1
-        n = m + 1
-    return out + tokens[at:]
+    out: list[bytes] = []
+    run: list[str] = []
+
+    def close():
+        different = {x.strip(EDGE_SIGNS).lower() for x in run}
+        joined = len(run) >= 3 and len(different) > 1
+        out.extend([x.encode() for x in (["".join(run)] if joined else run)])
+        run.clear()
+
+    for token in tokens:
+        found = single(token)
+        if not found:
+            close()
+            out.append(token)
+            continue
+        text, before, after = found
+        if before:
+            close()
+        run.append(text)
+        if after:
+            close()
+    close()
+    return out
+
+
+class Words(Lookup):
+    """A :class:`Lookup` of ``make(reading)`` of tokens, with what gaps are chosen by:
+    ``ends`` holds the last two and first two letter classes as numbers of pairs, and
+    ``flags`` whether a token may be joined to the one after (1), to the one before (2),
+    and is a single character (4)."""
+
+    def __init__(self, make, costs: np.ndarray, limit: int = 400_000):
+        super().__init__(make, limit)
+        self.costs, self.flat = costs, costs.ravel()
+        self.ends, self.flags = np.zeros((2, 1024), np.int32), np.zeros(1024, np.uint8)
+
+    def __missing__(self, key):
+        token = key.decode()
+        reading = restore(token, self.costs)
+        self[key] = row = len(self.values)
+        self.values.append(self.make(reading))
+        if row == len(self.flags):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)], 1)
+            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
+        flags = 4 if single(key) else 0
+        if 0 < len(reading) <= PART:
+            code = [0, *(CODE.get(c, CLASSES - 1) for c in reading), 0]
+            self.ends[0, row], self.ends[1, row] = code[-3] * CLASSES + code[-2], code[1] * CLASSES + code[2]
+            flags += (token[-1] not in EDGE_SIGNS) + 2 * (token[0] not in EDGE_SIGNS)
+        self.flags[row] = flags
+        return row
+
+    def rows(self, texts: list[bytes]) -> list[set[int]]:
+        """Rows of each text's words: of its tokens, and of words joined over gaps."""
+        split = [t.split() for t in texts]
+        numbers = [self.indices(tokens) for tokens in split]
+        for n, own in enumerate(numbers):
+            one = self.flags[own] & 4
+            if len(own) > 2 and (one[:-2] & one[1:-1] & one[2:]).any():
+                split[n] = joined_spacing(split[n])
+                numbers[n] = self.indices(split[n])
+        found = [set(own.tolist()) for own in numbers]
+        for n, at in self._joins(numbers):
+            found[n].add(self[b"".join(split[n][at])])
+        return found
+
+    def _joins(self, numbers: list[np.ndarray]):
+        """(text, slice of its tokens) of each word that is likelier without its gaps."""
+        rows = np.concatenate([*numbers, np.zeros(0, np.int64)])
+        stops = np.cumsum([len(own) for own in numbers])
+        flags = self.flags[rows]
+        open_gap = (flags[:-1] & 1) & (flags[1:] >> 1 & 1)
+        inner = stops[(stops > 0) & (stops < len(rows))]
+        open_gap[inner - 1] = 0
+        at = np.flatnonzero(open_gap)
+        last, first = self.ends[0, rows[at]], self.ends[1, rows[at + 1]]
+        q, a = last % CLASSES, first // CLASSES
+        kept = self.flat[last * CLASSES] + self.flat[q * CLASSES**2 + a] + self.flat[first]
+        joined = self.flat[last * CLASSES + a] + self.flat[q * CLASSES**2 + first]
+        at = at[GAP_COST + joined < kept]
+        if not len(at):
+            return
+        # Gaps next to each other, in one text as no gap between texts is open, make one word.
+        heads = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+        tails = np.append(heads[1:], len(at)) - 1
+        owners = np.searchsorted(stops, at[heads], "right")
+        for n, x, y in zip(owners.tolist(), at[heads].tolist(), at[tails].tolist(), strict=True):
+            start = int(stops[n]) - len(numbers[n])
+            yield n, slice(x - start, y + 2 - start)
 
 
 def word_features(word: str) -> list[int]:
@@ -223,11 +322,11 @@ def sample_of(docs: DataFrame, marks: DataFrame, allowed: Column, rows: int = SA
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
-def _doc_features(texts: list[bytes], words: Lookup) -> list[set[int]]:
+def _doc_features(texts: list[bytes], words: Words) -> list[set[int]]:
     out = []
-    for text in texts:
+    for rows in words.rows(texts):
         found: set[int] = set()
-        for row in set(words.indices(joined_spacing(text.split())).tolist()):
+        for row in rows:
             found.update(words.values[row])
         out.append(found)
     return out
@@ -239,8 +338,7 @@ def fit(sample: DataFrame, costs: np.ndarray) -> Model:
     sent = spark.sparkContext.broadcast(costs)
 
     def setup():
-        costs = sent.value
-        return Lookup(lambda w: word_features(restore(w.decode(), costs)), 100_000)
+        return Words(word_features, sent.value, 100_000)
 
     def count(batch, words):
         texts, marks = utf8(batch.column(0)), batch.column(1).to_pylist()
@@ -316,11 +414,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def setup():
         model = sent.value
 
-        def weighted(word):
-            found = [f for f in word_features(restore(word.decode(), model.costs)) if f in model.weights]
-            return tuple(found)
+        def weighted(reading):
+            return tuple(f for f in word_features(reading) if f in model.weights)
 
-        return Lookup(weighted)
+        return Words(weighted, model.costs)
 
     def per_batch(batch, words):
         model = sent.value
@@ -328,8 +425,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         scores = []
         for a, b in portions(texts):
             words.trim()
-            for text in texts[a:b]:
-                rows = set(words.indices(joined_spacing(text.split())).tolist())
+            for rows in words.rows(texts[a:b]):
                 found = {f for row in rows for f in words.values[row]}
                 z = model.intercept + sum(model.weights[f] for f in sorted(found))
                 scores.append(1 / (1 + float(np.exp(-np.clip(z, -500, 500)))))
