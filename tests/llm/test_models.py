@@ -120,6 +120,21 @@ def test_decoding_finds_the_cheapest_reading(costs):
         assert readings[toxicity.decode(word, costs)] == pytest.approx(min(readings.values()))
 
 
+@pytest.mark.parametrize(
+    "written, meant",
+    [("@$$", "ass"), ("4$$!!", "ass"), ("455", "ass"), ("12.34", ""), ("2024", ""), ("***", ""), ("!!", ""),
+     ("stuupid", "stupid"), ("iddiot", "idiot"), ("good", "good"), ("ass", "ass")],
+)
+def test_letterless_tokens_and_doubled_letters(costs, written, meant):
+    assert toxicity.restore(written, costs) == meant
+
+
+def test_doubled_letters_are_chosen_as_by_viterbi(costs):
+    for word in ("stuupid", "good", "iddiott", "aabbcc", "ss", "bookkeeper", "xéé", "classse"):
+        assert toxicity.restore(word, costs) == toxicity.decode(word, costs)
+    assert set(toxicity.word_features("idiot")) < set(toxicity.word_features("iddiot"))
+
+
 def test_spaced_words_are_joined():
     tokens = b"you i d i o t here a a a a then x y".split()
     assert toxicity.joined_spacing(tokens) == b"you idiot here a a a a then x y".split()

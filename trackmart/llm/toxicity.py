@@ -4,8 +4,11 @@ A noisy channel turns written words into what is read: letters are swapped for l
 digits and signs, words are spaced out or filled with signs, letters are repeated. For a
 word with such marks all readings form a lattice, a few arcs for each character, and
 Viterbi decoding picks the reading that a letter trigram model, counted over all
-documents, and the channel's costs together find likeliest. Words without marks have one
-reading and skip the search.
+documents, and the channel's costs together find likeliest. Words without marks or doubled
+letters have one reading and skip the search. A doubled letter is read as one where two are
+unlikely; either way the word adds the features of its spelling with single letters. A token
+of look-alikes without a letter also has the reading without letters, a number or sign, as
+one path.
 
 The gap between two words of at most ``PART`` letters is an arc too, which may be left out
 at a cost. Under a trigram model a gap's choice depends on the two letters on either side
@@ -63,6 +66,8 @@ LOOKALIKES = {
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 SWAP_COST, COLLAPSE_COST = 1.5, 0.5
+DOUBLE_COST = 11.0  # leaving out the second of just two equal letters
+BLANK_COST = 6.5  # of each look-alike in a token read as having no letters
 GAP_COST, PART = 4.0, 6  # leaving out a gap, and the letters a part of a word has at most
 # Leaving out a digit, a sign that may stand for a letter, any other sign; and what such a
 # sign costs more amid a word. A letter costs a few units under the model, so that digits
@@ -75,6 +80,7 @@ CODE = {c: n + 1 for n, c in enumerate(LETTERS)}
 EDGE_SIGNS = ".,;:?\"'()[]{}<>"
 PLAIN = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"(.)\1\1")
+DOUBLED = re.compile(r"(.)\1")
 
 
 def letter_classes(text: str) -> np.ndarray:
@@ -139,8 +145,8 @@ def arcs(word: str) -> list[list[tuple[str, float]]]:
             ways = [(c, 0.0)]
             if run >= 3:
                 ways = [("", COLLAPSE_COST / run)]
-            elif longer:
-                ways.append(("", COLLAPSE_COST))
+            elif run == 2:
+                ways.append(("", COLLAPSE_COST if longer else DOUBLE_COST))
         else:
             cost = DIGIT_COST if c.isdigit() else SIGN_COST if c in LOOKALIKES else OTHER_COST
             inside = 0 < n < len(word) - 1 and run == 1 and c in LOOKALIKES
@@ -155,6 +161,24 @@ def decode(word: str, costs: np.ndarray) -> str:
     return cheapest(arcs(word), costs)[1]
 
 
+def decode_letterless(word: str, costs: np.ndarray) -> str:
+    """The cheapest reading of look-alikes alone; as a number or sign it reads as nothing.
+
+    Either all look-alikes are letters or none is, but for the second of two equal ones.
+    """
+    word = word.rstrip("!")
+    marks = sum(c in LOOKALIKES for c in word)
+    if not marks:
+        return ""
+    lattice = []
+    for n, (c, ways) in enumerate(zip(word, arcs(word), strict=True)):
+        letters = [w for w in ways if w[0]]
+        second = n and word[n - 1] == c
+        lattice.append([*letters, *([("", DOUBLE_COST)] if second else [])] if letters else ways)
+    cost, reading = cheapest(lattice, costs)
+    return reading if cost < BLANK_COST * marks else ""
+
+
 def cheapest(lattice: list[list[tuple[str, float]]], costs: np.ndarray) -> tuple[float, str]:
     """Cost and letters of the cheapest path: Viterbi over the last two letters."""
     other = CLASSES - 1
@@ -180,13 +204,28 @@ def cheapest(lattice: list[list[tuple[str, float]]], costs: np.ndarray) -> tuple
     return float(least), "".join(reversed(letters))
 
 
+def undoubled(word: str, costs: np.ndarray) -> str:
+    """:func:`decode` of a word whose only marks are doubled letters, none of them tripled.
+
+    Whatever is chosen, what follows sees the same two letters, so each choice is its own.
+    """
+    c = [0, *(CODE.get(x, CLASSES - 1) for x in word), 0]
+    out, at = [], 0
+    for m in DOUBLED.finditer(word):
+        before, twice, after = (c[n] for n in (m.start(), m.start() + 1, m.start() + 3))
+        if costs[before, twice, twice] + costs[twice, twice, after] > costs[before, twice, after] + DOUBLE_COST:
+            out.append(word[at : m.start() + 1])
+            at = m.end()
+    return "".join(out) + word[at:]
+
+
 def restore(token: str, costs: np.ndarray) -> str:
     """What a token reads as: its letters if it is plain, else the decoded word."""
     word = token.lower().strip(EDGE_SIGNS)
     if PLAIN.fullmatch(word) and not REPEATED.search(word):
-        return word
+        return undoubled(word, costs) if DOUBLED.search(word) else word
     if not any(c.isalpha() for c in word):
-        return ""
+        return decode_letterless(word, costs)
     return decode(word, costs)
 
 
@@ -297,10 +336,14 @@ class Words(Lookup):
 
 
 def word_features(word: str) -> list[int]:
-    """Hashes of a word and its beginnings."""
+    """Hashes of a word and its beginnings, and of those with doubled letters made single."""
     if not word:
         return []
     parts = ["=" + word, *("^" + word[:n] for n in BEGINNINGS if n < len(word))]
+    if DOUBLED.search(word):
+        word = DOUBLED.sub(r"\1", word)
+        parts += ["=" + word, *("^" + word[:n] for n in BEGINNINGS if n < len(word))]
+        parts = list(dict.fromkeys(parts))
     return [zlib.crc32(p.encode()) << 24 | zlib.adler32(p.encode()) & 0xFFFFFF for p in parts]
 
 
