@@ -291,6 +291,14 @@ def test_one_per_class(spark):
     assert jaccard_join.one_per_class(empty(spark)).count() == 0
 
 
+def test_a_row_does_not_go_with_another_of_its_id(spark):
+    words = vocabulary(200, 4)
+    one, other = " ".join(words[:60]), " ".join(words[100:160])
+    rows = [row(1, one), row(7, one + " end"), row(7, other), row(8, other + " end"), row(7, None)]
+    kept = jaccard_join.one_per_class(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, one), (7, other), (7, None)])
+
+
 # ------------------------------------------------------------------ pipeline
 
 

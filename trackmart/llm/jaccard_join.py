@@ -423,7 +423,7 @@ def classes(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, set_id."""
+    """One row per document: doc_id, n_shingles, component_id, set_id, and mark, the hash of its text."""
     read = docs.select(
         exact(id_col).cast("long").alias("id"),
         exact(text_col).alias("text"),
@@ -444,7 +444,7 @@ def classes(
     labels = components(first.unionAll(more))
 
     own = rows.where("kind = 0").select(
-        F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("n_shingles")
+        F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("n_shingles"), F.col("d").alias("mark")
     )
     by_set = own.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     named = by_set.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
@@ -458,6 +458,7 @@ def classes(
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "set_id",
+        "mark",
     )
 
 
@@ -470,16 +471,18 @@ def one_per_class(
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the least of their class; unlinked rows all stay.
 
-    Rows that share that id all stay, and so do rows with a null id.
+    A row goes by its id and the hash of its text, so a row of that id with another text
+    does not go with it. Rows that share the least id all stay, and so do rows with a null id.
     """
     found = classes(docs, words, percent, id_col, text_col)
-    drop = fresh(docs, "drop")
+    drop, mark = fresh(docs, "drop"), fresh(docs, "mark")
     dropped = (
         found.where("n_shingles > 0 AND doc_id <> component_id")
-        .select(F.col("doc_id").alias(drop))
+        .select(F.col("doc_id").alias(drop), F.col("mark").alias(mark))
         .distinct()
     )
-    return docs.join(dropped, exact(id_col) == F.col(drop), "left_anti")
+    same = (exact(id_col) == F.col(drop)) & (F.xxhash64(exact(text_col)) == F.col(mark))
+    return docs.join(dropped, same, "left_anti")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
