@@ -2,17 +2,21 @@
 
 import hashlib
 import itertools
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.frames import SCHEMA, empty, hard, hard_rows, row, vocabulary
+from tests.llm.test_native import filled
 from trackmart.llm import chunking, jaccard_join, language, line_dedup, packing
+from trackmart.llm.common import documents, folds
 
 # ------------------------------------------------------------------ packing
 
@@ -338,6 +342,63 @@ def test_code_switched_documents_stay(spark):
     assert [r.certainty for r in doubtful] == pytest.approx([0.25] * 5)
 
 
+def confident(docs, model):
+    """Documents whose words are labelled with a mean certainty of a half, one by one."""
+    out = []
+    for r in docs:
+        words = (r.text or "").encode().split()
+        scores = language.emissions(words, model.weights) if words else np.zeros((0, len(model.languages) + 1))
+        read = scores[:, -1] > 0
+        if read.any():
+            chances = language.label_chains(scores[:, :-1], np.array([len(words)]), model.moves)[read]
+            out += [r] * int(chances.max(1).mean() >= 0.5)
+    return out
+
+
+def lower_az(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def passes_taken(docs):
+    """Times each document is taken, by running sums of words along each source."""
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs}
+    sizes, start, taken = Counter(), Counter(), Counter()
+    for r in docs:
+        sizes[r.source] += size[r.doc_id]
+    target = filled(dict(sizes))
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    for r in sorted(docs, key=lambda r: digest(f"{r.doc_id}:{digest(r.text or '')}")):
+        for n in range(2):
+            middle = start[r.source] + n * sizes[r.source] + size[r.doc_id] / 2
+            taken[r.doc_id] += size[r.doc_id] > 0 and middle <= target[r.source]
+        start[r.source] += size[r.doc_id]
+    return +taken
+
+
+def test_stages_keep_what_plain_versions_keep(spark):
+    docs = documents(spark, "/root/testdata/sf0.001")
+    held_out = folds(F.col("doc_id"), 5) == 0
+    model = language.fit(language.training_sample(docs, F.col("text"), F.col("lang"), ~held_out))
+    rows = docs.collect()
+    schema = docs.schema
+    got = corpus_pipeline.identify_language(spark, docs, "").collect()
+    want = confident(rows, model)
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in want)
+    largest = {}
+    for r in want:
+        text = None if r.text is None else lower_az(r.text)
+        largest[text] = max(r.doc_id, largest.get(text, r.doc_id))
+    want = [r for r in want if r.doc_id in set(largest.values())]
+    got = corpus_pipeline.drop_copies(spark, spark.createDataFrame(got, schema), "").collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in want)
+    classes = plain_classes(want, 5, 80)
+    want = [r for r, (n, c) in zip(want, classes) if not n or r.doc_id == c]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(got, schema), "").collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in want)
+    got = corpus_pipeline.mix_sources(spark, spark.createDataFrame(got, schema), "").collect()
+    assert Counter(r.doc_id for r in got) == passes_taken(want)
+
+
 def test_pipeline_of_sample_tables(spark):
     """Against plain versions of what each stage may keep."""
     folder = "/root/testdata/sf0.001"
