@@ -71,6 +71,14 @@ def arrow_schema(schema: str | T.StructType) -> pa.Schema:
     return to_arrow_schema(struct)
 
 
+def sliced(batch: pa.RecordBatch, budget: int = 4 << 20):
+    """``batch`` in slices of about ``budget`` bytes, so that a worker never holds the texts
+    of a whole batch as Python objects. An empty batch is one empty slice."""
+    rows = max(1, batch.num_rows * budget // max(batch.nbytes, 1))
+    for at in range(0, max(batch.num_rows, 1), rows):
+        yield batch.slice(at, rows)
+
+
 def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable | None = None):
     """Map ``df`` batch by batch.
 
@@ -81,13 +89,12 @@ def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable |
 
     def run(batches):
         state = setup() if setup else None
-        for batch in batches:
-            for columns in per_batch(batch, state):
-                arrays = [
-                    c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
-                    for c, f in zip(columns, target, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        for columns in (c for batch in batches for own in sliced(batch) for c in per_batch(own, state)):
+            arrays = [
+                c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
+                for c, f in zip(columns, target, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
     # Batches are read by position; plain names spare columns with dots in theirs.
     plain = df.toDF(*[f"c{n}" for n in range(len(df.columns))])

@@ -28,17 +28,18 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trackmart.llm.common import (
-    Lookup,
     documents,
     exact,
     map_arrow,
@@ -55,10 +56,12 @@ PIECES = (
 )
 
 
-# Words that need no Unicode normalisation: Latin-1 letters, digits and signs, without
-# the apostrophe, which starts contractions, and angle brackets, which mark special tokens.
-PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-;=?-@\[-`{-~]+")
-PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Texts that need no Unicode normalisation: white space, printable ASCII, Latin-1 letters.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+# How the tokenizer splits lower-cased text, over the characters of PLAIN.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
+SPECIAL = "<|"  # begins every special token
+ODD = "\0"  # marks a word that the whole tokenizer has to encode; no plain text has it
 
 
 def byte_letters() -> list[str]:
@@ -70,58 +73,76 @@ def byte_letters() -> list[str]:
 
 
 class WordIds:
-    """Token ids of texts, word by word.
+    """Token ids of texts, piece by piece.
 
     The tokenizer's normaliser and splitter never look across white space, so the ids of
-    a text are those of its words; each distinct word is encoded once per task. Plain
-    words are split as the tokenizer would and go straight to its model.
+    a text are those of its words. Plain text is split as the tokenizer would, and its
+    pieces, far fewer than the distinct words, go straight to the tokenizer's model; any
+    other word goes through the whole tokenizer. What was encoded is kept, up to a limit.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
+        self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.lookup = Lookup(self._encode)
-        self.pieces: dict[str, list[int]] = {}
+        self.rows: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.first, self.size = [], []
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
-        return ids
-
-    def _encode(self, word: bytes) -> None:
-        text = word.decode()
-        if PLAIN.fullmatch(text):
-            ids = [i for piece in PIECE.findall(text.lower()) for i in self._piece(piece)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.first.append(self.used)
-        self.size.append(len(ids))
-        self.used += len(ids)
+        self.ends = np.zeros(1 << 14, np.int64)  # row n's ids end at ends[n + 1]
+
+    def split(self, text: str) -> list[str]:
+        """The pieces of a text; a word that is not plain is one piece, marked as odd."""
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return PIECE.findall(text.lower())
+        pieces = []
+        for word in text.encode().split():  # at ASCII white space only
+            word = word.decode()
+            if PLAIN.fullmatch(word) and SPECIAL not in word:
+                pieces += PIECE.findall(word.lower())
+            else:
+                pieces.append(ODD + word)
+        return pieces
+
+    def _encode(self, piece: str) -> list[int]:
+        if piece[0] == ODD:
+            return self.tokenizer.encode(piece[1:], add_special_tokens=False).ids
+        text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return [t.id for t in self.model.tokenize(text)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode the pieces that are not known yet, all at once."""
+        known = len(self.rows)
+        new = [p for p in dict.fromkeys(pieces) if p not in self.rows]
+        if not new:
+            return
+        found = [self._encode(p) for p in new]
+        self.rows.update(zip(new, range(known, known + len(new))))
+        ends = self.ends[known] + np.cumsum([len(ids) for ids in found])
+        while known + len(new) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.ends[known] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
+        self.ends[known + 1 : known + 1 + len(new)] = ends
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.lookup.values) > self.lookup.limit:
+        if len(self.rows) > self.limit:
             self.clear()
-        words = [text.split() for text in texts]
-        rows = self.lookup.indices([w for some in words for w in some])
-        first, size = np.array(self.first, np.int64), np.array(self.size, np.int64)
-        lengths = size[rows] if len(rows) else np.zeros(0, np.int64)
-        ids = self.flat[ragged(first[rows], lengths)] if len(rows) else np.zeros(0, np.uint32)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        bounds = ends[np.concatenate([[0], np.cumsum([len(w) for w in words])])]
+        split = [self.split(text.decode()) for text in texts]
+        pieces = list(chain.from_iterable(split))
+        if not pieces:
+            return [np.zeros(0, np.uint32) for _ in texts]
+        self._learn(pieces)
+        rows = np.fromiter(map(self.rows.__getitem__, pieces), np.int64, len(pieces))
+        first, lengths = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ids = self.flat[ragged(first, lengths)]
+        places = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = places[np.concatenate([[0], np.cumsum([len(p) for p in split])])]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
@@ -133,17 +154,21 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Da
 
     def per_batch(batch, state):
         encode, seen, part = state
-        doc_ids, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-        rows = []
-        for a, b in portions(texts):
-            for doc_id, ids in zip(doc_ids[a:b], encode(texts[a:b]), strict=True):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part_ids = ids[start : start + capacity]
-                    n = len(part_ids)
-                    rows.append((doc_id, piece, start, n, zlib.crc32(part_ids.tobytes()), part, int(seen[n])))
-                    seen[n] += 1
-        yield list(zip(*rows)) if rows else [[] for _ in range(7)]
+        texts = utf8(batch.column(1))
+        for a, b in portions(texts, 1 << 20):
+            ids = [np.append(own, np.uint32(END_ID)).astype("<u4") for own in encode(texts[a:b])]
+            totals = np.array([len(own) for own in ids], np.int64)
+            cut = -(-totals // capacity)
+            piece = ragged(np.zeros(len(ids), np.int64), cut)
+            lengths = np.minimum(np.repeat(totals, cut) - piece * capacity, capacity)
+            nth = np.empty(len(lengths), np.int64)
+            for length in np.unique(lengths):
+                of = lengths == length
+                nth[of] = seen[length] + np.arange(of.sum())
+                seen[length] += of.sum()
+            crcs = [zlib.crc32(own[x : x + capacity]) for own in ids for x in range(0, len(own), capacity)]
+            doc_ids = batch.column(0).slice(a, b - a).take(pa.array(np.repeat(np.arange(b - a), cut)))
+            yield [doc_ids, piece, piece * capacity, lengths, crcs, np.full(len(piece), part), nth]
 
     return map_arrow(docs, per_batch, PIECES, setup)
 
