@@ -19,4 +19,4 @@ def test_matches_sql(spark, name):
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries())
     assert set(STATEMENTS) <= set(entry.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}

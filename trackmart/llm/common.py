@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,17 +80,25 @@ def sliced(batch: pa.RecordBatch, budget: int = 4 << 20):
         yield batch.slice(at, rows)
 
 
-def map_arrow(df: DataFrame, per_batch: Callable, schema: str, setup: Callable | None = None):
+def map_arrow(
+    df: DataFrame,
+    per_batch: Callable,
+    schema: str,
+    setup: Callable | None = None,
+    at_end: Callable | None = None,
+):
     """Map ``df`` batch by batch.
 
     ``per_batch(batch, state)`` gets a record batch and yields lists of columns in
-    the order of ``schema``. ``setup()`` makes the state of one task.
+    the order of ``schema``. ``setup()`` makes the state of one task, and
+    ``at_end(state)`` yields what is left when its rows are over.
     """
     target = arrow_schema(schema)
 
     def run(batches):
         state = setup() if setup else None
-        for columns in (c for batch in batches for own in sliced(batch) for c in per_batch(own, state)):
+        found = (c for batch in batches for own in sliced(batch) for c in per_batch(own, state))
+        for columns in chain(found, at_end(state) if at_end else ()):
             arrays = [
                 c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                 for c, f in zip(columns, target, strict=True)

@@ -7,9 +7,12 @@ from trackmart.llm import (
     jaccard_join,
     language,
     line_dedup,
+    minhash_dedup,
     mixing,
+    negatives,
     packing,
     pii,
+    prefix_trie,
     quality,
     toxicity,
 )
@@ -27,11 +30,18 @@ QUERIES = {
         mixing.op8_curriculum_mix,
         pii.op9_pii,
         line_dedup.op10_line_dedup,
+        minhash_dedup.op11_minhash_dedup,
+        prefix_trie.op12_prefix_trie,
+        negatives.op13_hard_negatives,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 STATEMENTS = {
+    "op1_ngram_jaccard_join": minhash_dedup.class_sql(4, 85, ""),
     "op2_exact_dedup": exact_dedup.SQL,
     "op8_curriculum_mix": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_minhash_dedup": minhash_dedup.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
