@@ -209,3 +209,64 @@ def test_quality_without_ratings_keeps_all(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality.fit(quality.sample_of(hard(spark), marks, F.lit(True)))
     assert quality.grade_documents(hard(spark), model).where("tail < 0.5").count() == 0
+
+
+# ------------------------------------------------------------------ gaps
+
+
+def read_words(costs, text):
+    words = toxicity.Words(lambda reading: reading, costs)
+    return {words.values[n] for n in words.rows([text.encode()])[0]}
+
+
+@pytest.mark.parametrize(
+    "text, word",
+    [("e s t ú p i d o", "estúpido"), ("a s s", "ass"), ("an i d i o t, a", "idiot"), ('"i d i o t" x', "idiot"),
+     ("1 d 1 0 t", "idiot"), ("st u pid", "stupid"), ("you i d i o t here", "idiot"), ("a st*pid man", "stupid")],
+)
+def test_spaced_words_are_read_by_the_lattice(costs, text, word):
+    assert word in read_words(costs, text)
+
+
+@pytest.mark.parametrize("text", ["a, b, c", "a a a", "1 2 3", "of the man", "***", "x"])
+def test_other_words_stay_apart(costs, text):
+    assert read_words(costs, text) <= {toxicity.restore(t, costs) for t in text.split()}
+
+
+def cheapest_spacing(parts, costs):
+    """Cost of the best of all ways to leave out gaps, by trying each of them."""
+    best = np.inf
+    for kept in itertools.product([True, False], repeat=len(parts) - 1):
+        text = parts[0] + "".join((" " if k else "") + p for k, p in zip(kept, parts[1:]))
+        code = [0, 0, *(0 if c == " " else toxicity.CODE.get(c, toxicity.CLASSES - 1) for c in text), 0]
+        total = toxicity.GAP_COST * (len(kept) - sum(kept))
+        total += sum(costs[tuple(code[n : n + 3])] for n in range(len(code) - 2))
+        if total < best - 1e-9:
+            best, words = total, text.split()
+    return words
+
+
+def test_gaps_are_chosen_as_by_trying_all(costs):
+    """Over random splits of words, one-letter parts included, but not two of these in a row."""
+    rng = np.random.default_rng(8)
+    meant = ["stupid", "idiot", "loser", "trash", "ugly", "moron", "the", "stand", "thering", "reation", "oued"]
+    for _ in range(300):
+        parts = []
+        for word in rng.choice(meant, rng.integers(1, 4)):
+            cuts = sorted(rng.choice(np.arange(1, len(word)), min(len(word) - 1, rng.integers(0, 3)), replace=False))
+            parts += [str(word[a:b]) for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        pairs = list(zip(parts, parts[1:]))
+        if any(len(p) > toxicity.PART or toxicity.DOUBLED.search(p) for p in parts) or any(
+            len(a) == len(b) == 1 for a, b in pairs
+        ):
+            continue
+        joined = {w for w in cheapest_spacing(parts, costs) if w not in parts}
+        readings = {toxicity.restore(w, costs) for w in joined} | set(parts)
+        assert read_words(costs, " ".join(parts)) == readings, parts
+
+
+def test_runs_of_single_characters_are_read_as_by_trying_all(costs):
+    for text in ("s t", "x y", "a b", "t h", "i s", "st u p id", "ug l y", "l o ser"):
+        parts = text.split()
+        found = toxicity.respaced(parts, [len(p) == 1 for p in parts], costs)
+        assert found == cheapest_spacing(parts, costs), text

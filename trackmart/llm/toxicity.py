@@ -11,10 +11,14 @@ of look-alikes without a letter also has the reading without letters, a number o
 one path.
 
 The gap between two words of at most ``PART`` letters is an arc too, which may be left out
-at a cost. Under a trigram model a gap's choice depends on the two letters on either side
-alone, so all gaps of a text are chosen at once. A word joined from parts adds its
-features to those of the parts. Runs of three or more single characters, not all the same,
-are joined by rule before, without a cost; a sign may precede the first or follow the last.
+at a cost. Under a trigram model a gap's choice depends on the two letters on either side,
+so gaps between words of two letters and more are chosen apart, all gaps of many texts at
+once. A one-letter word ties the gaps on its two sides together: their four choices are
+compared, again for many texts at once. Runs of two and more single characters go through
+one lattice with the words beside them, in which each character has its readings and each gap
+may be left out; amid three and more of them, keeping a gap is what costs. A word joined from parts adds its features to those of the parts.
+
+A masking sign between two letters may stand for any letter.
 
 The restored words give binary features: words and their beginnings. Those that go with
 the label by a likelihood-ratio test over the labelled sample are weighted by logistic
@@ -35,12 +39,12 @@ Rules
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest as hashed
 
 from trackmart.llm.common import (
     Lookup,
@@ -69,6 +73,7 @@ SWAP_COST, COLLAPSE_COST = 1.5, 0.5
 DOUBLE_COST = 11.0  # leaving out the second of just two equal letters
 BLANK_COST = 6.5  # of each look-alike in a token read as having no letters
 GAP_COST, PART = 4.0, 6  # leaving out a gap, and the letters a part of a word has at most
+KEPT_COST = 6.0  # keeping a gap between single characters where words are spaced out
 # Leaving out a digit, a sign that may stand for a letter, any other sign; and what such a
 # sign costs more amid a word. A letter costs a few units under the model, so that digits
 # are read as letters rather than left out.
@@ -78,7 +83,8 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáçéèêëíîïñóôöúùûüß
 CLASSES = len(LETTERS) + 2
 CODE = {c: n + 1 for n, c in enumerate(LETTERS)}
 EDGE_SIGNS = ".,;:?\"'()[]{}<>"
-PLAIN = re.compile(r"[^\W\d_]+")
+DROPPED = EDGE_SIGNS + "#%&*_~^=/\\`-"
+MASK, MASK_COST = "*", 2.0  # a sign for any letter, and what it costs as one
 REPEATED = re.compile(r"(.)\1\1")
 DOUBLED = re.compile(r"(.)\1")
 
@@ -152,6 +158,8 @@ def arcs(word: str) -> list[list[tuple[str, float]]]:
             inside = 0 < n < len(word) - 1 and run == 1 and c in LOOKALIKES
             ways = [("", (cost + AMID_COST * inside) / run)]
             ways += [(x, SWAP_COST) for x in LOOKALIKES.get(c, "")] if run < 3 else []
+            if c == MASK and 0 < n < len(word) - 1 and word[n - 1].isalpha() and word[n + 1].isalpha():
+                ways += [(x, MASK_COST) for x in LETTERS[:26]]
         out.append(ways)
     return out
 
@@ -180,7 +188,8 @@ def decode_letterless(word: str, costs: np.ndarray) -> str:
 
 
 def cheapest(lattice: list[list[tuple[str, float]]], costs: np.ndarray) -> tuple[float, str]:
-    """Cost and letters of the cheapest path: Viterbi over the last two letters."""
+    """Cost and letters of the cheapest path: Viterbi over the last two letters. A space is
+    a word's edge."""
     other = CLASSES - 1
     best = {(0, 0): (0.0, None)}
     for ways in lattice:
@@ -188,7 +197,7 @@ def cheapest(lattice: list[list[tuple[str, float]]], costs: np.ndarray) -> tuple
         for (p, q), (cost, path) in best.items():
             for letter, extra in ways:
                 if letter:
-                    c = CODE.get(letter, other)
+                    c = 0 if letter == " " else CODE.get(letter, other)
                     state, total, longer = (q, c), cost + extra + costs[p, q, c], (letter, path)
                 else:
                     state, total, longer = (p, q), cost + extra, path
@@ -221,9 +230,10 @@ def undoubled(word: str, costs: np.ndarray) -> str:
 
 def restore(token: str, costs: np.ndarray) -> str:
     """What a token reads as: its letters if it is plain, else the decoded word."""
-    word = token.lower().strip(EDGE_SIGNS)
-    if PLAIN.fullmatch(word) and not REPEATED.search(word):
-        return undoubled(word, costs) if DOUBLED.search(word) else word
+    word = token.lower().strip(DROPPED)  # signs that have no reading but to be left out
+    doubled = DOUBLED.search(word)
+    if word.isalpha() and not (doubled and REPEATED.search(word)):
+        return undoubled(word, costs) if doubled else word
     if not any(c.isalpha() for c in word):
         return decode_letterless(word, costs)
     return decode(word, costs)
@@ -243,7 +253,10 @@ def single(token: bytes) -> tuple[str, bool, bool] | None:
 
 
 def joined_spacing(tokens: list[bytes]) -> list[bytes]:
-    """Tokens with runs of three or more single characters, not all the same, joined to a word."""
+    """Tokens with runs of three or more single characters, not all the same, joined to a word.
+
+    The plain rule that the lattice is compared with in tests; scoring does not use it.
+    """
     out: list[bytes] = []
     run: list[str] = []
 
@@ -269,82 +282,183 @@ def joined_spacing(tokens: list[bytes]) -> list[bytes]:
     return out
 
 
+def spaced_lattice(tokens: list[str], single: list[bool]) -> list[list[tuple[str, float]]]:
+    """Readings of words with gaps between them that may be left out. Single characters have
+    the readings of :func:`arcs`; the letters of other words stand. From three on, single
+    characters show a writer who spaces words out: then a gap between them that is kept costs
+    more than one that is left out."""
+    habit = sum(single) > 2
+    lattice: list[list[tuple[str, float]]] = []
+    for n, (token, alone) in enumerate(zip(tokens, single, strict=True)):
+        if n:
+            spaced = habit and alone and single[n - 1]
+            beside = GAP_COST * (1 + habit)  # who spaces letters out leaves other words apart
+            lattice.append([("", 0.0), (" ", KEPT_COST)] if spaced else [("", beside), (" ", 0.0)])
+        lattice += arcs(token) if alone else [[(c, 0.0)] for c in token]
+    return lattice
+
+
+def respaced(tokens: list[str], single: list[bool], costs: np.ndarray) -> list[str]:
+    """The words of the cheapest reading of a run of short words."""
+    return cheapest(spaced_lattice(tokens, single), costs)[1].split()
+
+
 class Words(Lookup):
-    """A :class:`Lookup` of ``make(reading)`` of tokens, with what gaps are chosen by:
-    ``ends`` holds the last two and first two letter classes as numbers of pairs, and
-    ``flags`` whether a token may be joined to the one after (1), to the one before (2),
-    and is a single character (4)."""
+    """A :class:`Lookup` of ``make(reading)`` of tokens, with what gaps are chosen by.
+
+    ``ends`` holds the classes of the last two and first two letters, ``letters`` how many a
+    reading has, up to PART, else 0. ``flags`` says whether a token may be joined to the one
+    after (1), to the one before (2), and is a single character (4). Tokens that differ in
+    case and signs at the edges share what was found for one of them.
+    """
 
     def __init__(self, make, costs: np.ndarray, limit: int = 400_000):
         super().__init__(make, limit)
         self.costs, self.flat = costs, costs.ravel()
-        self.ends, self.flags = np.zeros((2, 1024), np.int32), np.zeros(1024, np.uint8)
+        self.read: dict[str, tuple] = {}
+        self.ends = np.zeros((4, 1024), np.int32)
+        self.letters, self.flags = np.zeros(1024, np.uint8), np.zeros(1024, np.uint8)
+
+    def trim(self) -> None:
+        if len(self.values) > self.limit:
+            self.read.clear()
+        super().trim()
+
+    def _described(self, word: str) -> tuple:
+        """Value, number of letters, and classes of the last two and the first two of them."""
+        reading = restore(word, self.costs)
+        n = len(reading) if len(reading) <= PART else 0
+        code = [0, *(CODE.get(c, CLASSES - 1) for c in reading), 0] if n else [0, 0, 0]
+        found = (self.make(reading), n, (code[-3], code[-2], code[1], code[2]), reading if n else None)
+        self.read[word] = found
+        return found
 
     def __missing__(self, key):
         token = key.decode()
-        reading = restore(token, self.costs)
+        word = token.lower().strip(EDGE_SIGNS)
+        value, n, ends, _ = self.read.get(word) or self._described(word)
         self[key] = row = len(self.values)
-        self.values.append(self.make(reading))
+        self.values.append(value)
         if row == len(self.flags):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)], 1)
-            self.flags = np.concatenate([self.flags, np.zeros_like(self.flags)])
-        flags = 4 if single(key) else 0
-        if 0 < len(reading) <= PART:
-            code = [0, *(CODE.get(c, CLASSES - 1) for c in reading), 0]
-            self.ends[0, row], self.ends[1, row] = code[-3] * CLASSES + code[-2], code[1] * CLASSES + code[2]
-            flags += (token[-1] not in EDGE_SIGNS) + 2 * (token[0] not in EDGE_SIGNS)
-        self.flags[row] = flags
+            self.letters, self.flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self.letters, self.flags))
+        flags = 0
+        if len(token) == 1:
+            flags = 7
+        elif n or len(word) == 1:
+            flags = (token[-1] not in EDGE_SIGNS) + 2 * (token[0] not in EDGE_SIGNS) + 4 * (len(word) == 1)
+        if n:
+            self.ends[:, row] = ends
+        self.letters[row], self.flags[row] = n, flags
         return row
 
     def rows(self, texts: list[bytes]) -> list[set[int]]:
         """Rows of each text's words: of its tokens, and of words joined over gaps."""
         split = [t.split() for t in texts]
         numbers = [self.indices(tokens) for tokens in split]
-        for n, own in enumerate(numbers):
-            one = self.flags[own] & 4
-            if len(own) > 2 and (one[:-2] & one[1:-1] & one[2:]).any():
-                split[n] = joined_spacing(split[n])
-                numbers[n] = self.indices(split[n])
         found = [set(own.tolist()) for own in numbers]
-        for n, at in self._joins(numbers):
-            found[n].add(self[b"".join(split[n][at])])
+        for n, word in self._joins(split, numbers):
+            found[n].add(self[word])
         return found
 
-    def _joins(self, numbers: list[np.ndarray]):
-        """(text, slice of its tokens) of each word that is likelier without its gaps."""
+    def _joins(self, split: list[list[bytes]], numbers: list[np.ndarray]):
+        """(text, word) of each word that is likelier without its gaps."""
         rows = np.concatenate([*numbers, np.zeros(0, np.int64)])
+        if len(rows) < 2:
+            return
         stops = np.cumsum([len(own) for own in numbers])
-        flags = self.flags[rows]
-        open_gap = (flags[:-1] & 1) & (flags[1:] >> 1 & 1)
+        starts = stops - [len(own) for own in numbers]
+        flags, letters = self.flags[rows], self.letters[rows]
+        may = (flags[:-1] & 1) & (flags[1:] >> 1 & 1)  # gap n is between tokens n and n + 1
         inner = stops[(stops > 0) & (stops < len(rows))]
-        open_gap[inner - 1] = 0
-        at = np.flatnonzero(open_gap)
-        last, first = self.ends[0, rows[at]], self.ends[1, rows[at + 1]]
-        q, a = last % CLASSES, first // CLASSES
-        kept = self.flat[last * CLASSES] + self.flat[q * CLASSES**2 + a] + self.flat[first]
-        joined = self.flat[last * CLASSES + a] + self.flat[q * CLASSES**2 + first]
-        at = at[GAP_COST + joined < kept]
-        if not len(at):
-            return
+        may[inner - 1] = 0
+        alone = (flags & 4) > 0
+        chained = (may > 0) & alone[:-1] & alone[1:]
+        may = (may > 0) & (letters[:-1] > 0) & (letters[1:] > 0) & ~chained
+        in_chain = np.zeros(len(rows), bool)
+        in_chain[:-1] |= chained
+        in_chain[1:] |= chained
+        joined = self._chosen(rows, may & ~in_chain[:-1] & ~in_chain[1:], letters)
+
+        at = np.flatnonzero(joined)
         # Gaps next to each other, in one text as no gap between texts is open, make one word.
         heads = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-        tails = np.append(heads[1:], len(at)) - 1
+        tails = np.append(heads[1:], len(at)) - 1 if len(at) else heads
+        owners = np.searchsorted(stops, at[heads], "right")
+        for n, x, y in zip(owners.tolist(), at[heads].tolist(), at[tails].tolist(), strict=True):
+            yield n, b"".join(split[n][x - starts[n] : y + 2 - starts[n]])
+        yield from self._chains(split, rows, starts, stops, chained, may)
+
+    def _chosen(self, rows: np.ndarray, may: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Which of the gaps that ``may`` be left out are, all one-letter words being alone."""
+        cost = lambda p, q, c: self.flat[(p * CLASSES + q) * CLASSES + c]
+        out = np.zeros(len(may), bool)
+        one = letters == 1
+        at = np.flatnonzero(may & ~one[:-1] & ~one[1:])
+        p, q, a, b = self._around(rows, at, at + 1)
+        kept = cost(p, q, 0) + cost(q, 0, a) + cost(0, a, b)
+        out[at[GAP_COST + cost(p, q, a) + cost(q, a, b) < kept]] = True
+
+        before, after = np.append(False, may), np.append(may, False)
+        u = lambda where: self.ends[2, rows[where]]
+        at = np.flatnonzero(one & before & after)
+        p, q, a, b = self._around(rows, at - 1, at + 1)
+        w = u(at)
+        ways = np.array([
+            cost(p, q, 0) + cost(q, 0, w) + cost(0, w, 0) + cost(w, 0, a) + cost(0, a, b),
+            GAP_COST + cost(p, q, w) + cost(q, w, 0) + cost(w, 0, a) + cost(0, a, b),
+            GAP_COST + cost(p, q, 0) + cost(q, 0, w) + cost(0, w, a) + cost(w, a, b),
+            2 * GAP_COST + cost(p, q, w) + cost(q, w, a) + cost(w, a, b),
+        ])
+        best = ways.argmin(axis=0)
+        out[at[(best & 1) > 0] - 1] = True
+        out[at[(best & 2) > 0]] = True
+
+        at = np.flatnonzero(one & before & ~after)
+        p, q, _, _ = self._around(rows, at - 1, at)
+        w = u(at)
+        out[at[GAP_COST + cost(p, q, w) + cost(q, w, 0) < cost(p, q, 0) + cost(q, 0, w) + cost(0, w, 0)] - 1] = True
+        at = np.flatnonzero(one & ~before & after)
+        _, _, a, b = self._around(rows, at, at + 1)
+        w = u(at)
+        out[at[GAP_COST + cost(0, w, a) + cost(w, a, b) < cost(0, w, 0) + cost(w, 0, a) + cost(0, a, b)]] = True
+        return out
+
+    def _around(self, rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Classes of the last two letters of ``left`` and the first two of ``right``."""
+        return self.ends[0, rows[left]], self.ends[1, rows[left]], self.ends[2, rows[right]], self.ends[3, rows[right]]
+
+    def _chains(self, split, rows, starts, stops, chained, may):
+        """Words of runs of single characters, read together with the words beside them."""
+        at = np.flatnonzero(chained)
+        heads = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+        tails = np.append(heads[1:], len(at)) - 1 if len(at) else heads
         owners = np.searchsorted(stops, at[heads], "right")
         for n, x, y in zip(owners.tolist(), at[heads].tolist(), at[tails].tolist(), strict=True):
-            start = int(stops[n]) - len(numbers[n])
-            yield n, slice(x - start, y + 2 - start)
+            first, last = x - bool(x and may[x - 1]), y + 1 + bool(y + 1 < len(may) and may[y + 1])
+            words, single = [], []
+            for place in range(first, last + 1):
+                token = split[n][place - starts[n]].decode()
+                word = token.lower().strip(EDGE_SIGNS) or token
+                alone = x <= place <= y + 1
+                words.append(word if alone else self.read[word][3])
+                single.append(alone)
+            if any(c.isalpha() for w in words for c in w) and len(set(words)) > 1:
+                for word in respaced(words, single, self.costs):
+                    if len(word) > 1:
+                        yield n, word.encode()
 
 
 def word_features(word: str) -> list[int]:
     """Hashes of a word and its beginnings, and of those with doubled letters made single."""
     if not word:
         return []
-    parts = ["=" + word, *("^" + word[:n] for n in BEGINNINGS if n < len(word))]
+    found = [hashed("=" + word) >> 1, *[hashed(word[:n]) >> 1 for n in BEGINNINGS if n < len(word)]]
     if DOUBLED.search(word):
         word = DOUBLED.sub(r"\1", word)
-        parts += ["=" + word, *("^" + word[:n] for n in BEGINNINGS if n < len(word))]
-        parts = list(dict.fromkeys(parts))
-    return [zlib.crc32(p.encode()) << 24 | zlib.adler32(p.encode()) & 0xFFFFFF for p in parts]
+        found += [hashed("=" + word) >> 1, *[hashed(word[:n]) >> 1 for n in BEGINNINGS if n < len(word)]]
+        found = list(dict.fromkeys(found))
+    return found
 
 
 @dataclass
