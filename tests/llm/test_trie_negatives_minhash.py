@@ -84,11 +84,14 @@ def nodes_of(frame):
     )
 
 
-@pytest.mark.parametrize("height", [1, 2, 8])
+def test_a_band_holds_two_depths_at_least(spark):
+    with pytest.raises(ValueError):
+        prefix_trie.conversation_trie(turn_frame(spark, []), 1)
+
+
+@pytest.mark.parametrize("height", [3, 8])
 def test_trie(spark, height):
     rows = turn_rows()
-    if height == 1:  # as many rounds as depths: a shallow table
-        rows = [r for r in rows if r[1] is not None and r[1] < 3]
     assert nodes_of(prefix_trie.conversation_trie(turn_frame(spark, rows), height)) == plain_trie(sequences(rows))
 
 

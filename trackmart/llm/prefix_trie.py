@@ -229,6 +229,8 @@ def ends_digests(rows: DataFrame) -> DataFrame:
 def trie(ids: DataFrame, placed: DataFrame, height: int = HEIGHT) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256. See :func:`paths` for the arguments."""
+    if height < 2:
+        raise ValueError("a band holds two depths at least")
     rows = written(paths(ids, placed), "paths")
     nodes = written(
         rows.groupBy(KEY).agg(
