@@ -67,7 +67,7 @@ def train(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
 
 
 def score(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    fitted = training.load_model(f"{args.root}/models/{args.kind}")
+    fitted = training.load_model(f"{args.root}/models/{args.kind}", args.kind)
     _write(score_tracks(fitted, spark.read.parquet(args.requests)), args)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
@@ -49,11 +49,18 @@ def artist_search(stats: DataFrame, term: str, k: int = 10, literal: bool = Fals
     ``%`` and ``_`` in the term are wildcards unless ``literal``. The predicate is
     on a grouping column, so over a lazy :func:`artist_stats` it filters the scan.
     """
+    return ranked_by_popularity(stats.filter(name_matches(term, literal)), k)
+
+
+def name_matches(term: str, literal: bool = False) -> Column:
+    """Whether the artist name contains the term."""
     name = name_key()
     term = term.lower()
-    match = name.contains(term) if literal else name.like(_plain_escapes(f"%{term}%"))
-    ranked = stats.filter(match).orderBy(F.desc("avg_popularity"), "artist_name", "genre_group")
-    return ranked.limit(k)
+    return name.contains(term) if literal else name.like(_plain_escapes(f"%{term}%"))
+
+
+def ranked_by_popularity(stats: DataFrame, k: int) -> DataFrame:
+    return stats.orderBy(F.desc("avg_popularity"), "artist_name", "genre_group").limit(k)
 
 
 def _plain_escapes(pattern: str) -> str:

@@ -65,6 +65,31 @@ def _cutoffs(
     return ranked.filter(trains("_rank")).groupBy("_label").agg(F.max("_hash").alias("_cutoff"))
 
 
+def first_by_hash(df: DataFrame, rows: int, key: str = "track_id", prefix: int = 4) -> DataFrame:
+    """The rows with the lowest key hashes: as many as fit in ``rows``, a key's rows together.
+
+    The same rows whatever the partition layout, and spread as ``df`` is: a histogram over
+    hash prefixes finds the prefix in which the bound is reached, then that prefix alone is
+    counted by full hash, and the cutoff is a filter. No row is sorted or moved.
+    """
+
+    def first_beyond(counted: DataFrame, name: str, before: int) -> tuple[str, int] | None:
+        """The first ``name`` with which the count passes the bound, and the count without it."""
+        so_far = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        totals = counted.withColumn("_total", F.sum("_n").over(so_far) + before)
+        row = totals.where(F.col("_total") > rows).orderBy(name).select(name, F.col("_total") - F.col("_n")).first()
+        return row and tuple(row)
+
+    hashed = df.select(_key_hash(key).alias("_hash")).withColumn("_prefix", F.substring("_hash", 1, prefix))
+    # At most 16 ** prefix rows, then the distinct hashes of one prefix of them.
+    edge = first_beyond(hashed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n")), "_prefix", 0)
+    if edge is None:
+        return df
+    inside = hashed.where(F.col("_prefix") == edge[0]).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    cutoff, _ = first_beyond(inside, "_hash", edge[1])
+    return df.where(_key_hash(key) < cutoff)
+
+
 def _key_hash(key: str) -> Column:
     return F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
 

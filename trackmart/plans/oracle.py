@@ -6,6 +6,7 @@ states the operator's meaning anew; nothing here is used by the library.
 
 from __future__ import annotations
 
+from trackmart.plans.sample_splits import SPLITS
 from trackmart.sources import sample_tables as samples
 
 _GENRE_VALUES = ", ".join(f"({i}, '{g}')" for i, g in enumerate(samples.GENRES))
@@ -322,6 +323,80 @@ def _tier_summary(split: str, weight: str) -> str:
         FROM split_rows JOIN counted USING (popularity_tier) GROUP BY popularity_tier"""
 
 
+# The committed forest: each tree as a nested CASE that gives a row's leaf, and the nodes that
+# lie on the way to each leaf.
+_BRANCHES = {(tree, node): rest for tree, node, *rest in SPLITS}
+_TREES = sorted({tree for tree, _ in _BRANCHES})
+_TIER_NAMES = ("Low", "Mid", "High")
+
+
+def _leaf(tree: int, node: int = 0) -> str:
+    if (tree, node) not in _BRANCHES:
+        return str(node)
+    feature, threshold, below, above = _BRANCHES[tree, node]
+    return f"CASE WHEN {feature} <= {threshold!r}e0 THEN {_leaf(tree, below)} ELSE {_leaf(tree, above)} END"
+
+
+def _ways(tree: int, node: int = 0, so_far: tuple = ()) -> list[tuple]:
+    so_far = (*so_far, node)
+    if (tree, node) not in _BRANCHES:
+        return [(tree, node, on_way) for on_way in so_far]
+    return [way for child in _BRANCHES[tree, node][2:] for way in _ways(tree, child, so_far)]
+
+
+_WAYS = ", ".join(map(str, [way for tree in _TREES for way in _ways(tree)]))
+_INNER = ", ".join(f"({t}, {n}, '{f}', {th!r}e0, {b}, {a})" for (t, n), (f, th, b, a) in _BRANCHES.items())
+_CODED = """CASE genre_group WHEN 'Pop' THEN 0 WHEN 'Rock' THEN 1 WHEN 'Hip-Hop' THEN 2 WHEN 'Electronic' THEN 3
+    WHEN 'Acoustic' THEN 4 WHEN 'Metal' THEN 5 WHEN 'Gospel' THEN 6 ELSE 7 END"""
+
+
+def _walked(name: str, source: str, columns: str) -> str:
+    trees = " UNION ALL ".join(f"SELECT {columns}, {t} AS tree, {_leaf(t)} AS leaf FROM coded" for t in _TREES)
+    return f"{name} AS (WITH coded AS (SELECT *, {_CODED} AS genre_idx FROM {source}) {trees})"
+
+
+_GINI = "CASE WHEN w > 0 THEN 1 - (wl * wl + wm * wm + wh * wh) / (w * w) ELSE 0e0 END"
+_REFITTED = f"""{_HASH_SPLIT},
+train AS (SELECT * FROM split_rows WHERE split = 'train'),
+class_counts AS ({_class_weights("train")}),
+class_weight AS (SELECT popularity_tier, {_FULL_WEIGHT} AS cw FROM class_counts),
+{_walked("train_leaves", "train", "popularity_tier")},
+ways(tree, leaf, node) AS (VALUES {_WAYS}),
+inner_nodes(tree, node, feature, threshold, below, above) AS (VALUES {_INNER}),
+visited AS (SELECT tree, node, popularity_tier, count(*) * any_value(cw) AS weight
+    FROM train_leaves JOIN ways USING (tree, leaf) JOIN class_weight USING (popularity_tier)
+    GROUP BY tree, node, popularity_tier),
+weighed AS (SELECT tree, node, wl, wm, wh, wl + wm + wh AS w FROM (
+    SELECT tree, node, {", ".join(f"coalesce(any_value(weight) FILTER (WHERE popularity_tier = '{t}'), 0e0) AS {c}"
+                                  for t, c in zip(_TIER_NAMES, ("wl", "wm", "wh")))}
+    FROM (SELECT DISTINCT tree, node FROM ways) LEFT JOIN visited USING (tree, node) GROUP BY tree, node)),
+forest AS (SELECT tree, node, feature, threshold, below, above, wl, wm, wh, w, {_GINI} AS gini
+    FROM weighed LEFT JOIN inner_nodes USING (tree, node)),
+gained AS (SELECT n.tree, n.node, n.feature, n.w,
+        CASE WHEN n.w > 0 THEN n.gini - (b.gini * b.w + a.gini * a.w) / n.w ELSE 0e0 END AS gain
+    FROM forest n JOIN forest b ON b.tree = n.tree AND b.node = n.below
+    JOIN forest a ON a.tree = n.tree AND a.node = n.above),
+totals AS (SELECT tree FROM gained GROUP BY tree HAVING sum(gain * w) > 0),
+importances AS (
+    SELECT f.feature, {_rounded("coalesce(sum(share), 0e0) / greatest((SELECT count(*) FROM totals), 1)")} AS importance
+    FROM (SELECT unnest([{", ".join(f"'{c}'" for c in [*_BASE, "genre_idx"])}]) AS feature) f LEFT JOIN
+        (WITH per_tree AS (SELECT tree, feature, sum(gain * w) AS gained FROM gained GROUP BY tree, feature)
+         SELECT tree, feature, gained / sum(gained) OVER (PARTITION BY tree) AS share FROM per_tree) s USING (feature)
+    GROUP BY f.feature)"""
+
+
+def _scored(name: str, source: str, columns: str) -> str:
+    """Shares of each tier, rounded, and the first of the likeliest tiers."""
+    shares = ", ".join(f"sum(CASE WHEN w > 0 THEN {c} / w ELSE 0e0 END) AS {c}" for c in ("wl", "wm", "wh"))
+    parts = ", ".join(f"CASE WHEN t > 0 THEN {_rounded(f'{c} / t')} ELSE 0e0 END AS {c}" for c in ("wl", "wm", "wh"))
+    return f"""{_walked(f"{name}_leaves", source, columns)},
+{name} AS (SELECT {columns}, wl, wm, wh, CASE WHEN wl >= wm AND wl >= wh THEN 'Low' WHEN wm >= wh THEN 'Mid' ELSE 'High' END AS prediction
+    FROM (SELECT {columns}, {parts} FROM (
+        SELECT {columns}, wl, wm, wh, wl + wm + wh AS t FROM (
+            SELECT {columns}, {shares} FROM {name}_leaves l JOIN forest f ON f.tree = l.tree AND f.node = l.leaf
+            GROUP BY {columns}))))"""
+
+
 _DOUBLES = (
     "danceability, energy, loudness, tempo, valence, acousticness, speechiness, "
     "instrumentalness, liveness"
@@ -333,6 +408,40 @@ _REPORT_STATS = (
 )
 
 
+_INSERTED = f"""WITH {_CLEANED},
+            existing AS (SELECT * FROM cleaned WHERE year < 2012),
+            late AS (SELECT *, {_FIRST} AS rn FROM raw WHERE year >= 2008)
+            SELECT * EXCLUDE (genre_group, popularity_tier) REPLACE (CAST(tb4 AS VARCHAR) AS tb4),
+                'existing' AS origin FROM existing
+            UNION ALL BY NAME
+            SELECT * EXCLUDE (rn) REPLACE (CAST(tb4 AS VARCHAR) AS tb4), 'inserted' AS origin FROM late
+            WHERE rn = 1 AND track_id NOT IN (SELECT track_id FROM existing)"""
+_SEARCHED = f"""WITH {_STATS} SELECT * FROM stats
+            WHERE lower(artist_name) LIKE lower('%CUSTOMER#0000001%')
+            ORDER BY avg_popularity DESC, artist_name, genre_group LIMIT 10"""
+_UPSERTED = f"""WITH {_STATS}, {_PROFILES}, {_REPLIES}, {_PARSED},
+            incoming AS (SELECT * FROM fields WHERE parsed)
+            SELECT artist_name, {", ".join(_PROFILE_COLUMNS)}, {_STAMP} FROM incoming UNION ALL
+            SELECT artist_name, {", ".join(_PROFILE_COLUMNS)}, {_STAMP} FROM stored
+            WHERE artist_name NOT IN (SELECT artist_name FROM incoming)"""
+_TRENDS = f"""WITH {_CLEANED}
+            SELECT year, {_means("energy danceability acousticness valence popularity")},
+                count(*) AS track_count FROM cleaned GROUP BY year ORDER BY year"""
+_METRICS = f"""classes AS (SELECT l.label, l.n AS actual, coalesce(p.n, 0) AS guessed, coalesce(h.n, 0) AS hits
+                FROM (SELECT label, count(*) AS n FROM predicted GROUP BY label) l
+                LEFT JOIN (SELECT prediction, count(*) AS n FROM predicted GROUP BY prediction) p
+                    ON p.prediction = l.label
+                LEFT JOIN (SELECT label, count(*) AS n FROM predicted WHERE label = prediction
+                    GROUP BY label) h ON h.label = l.label),
+            scores AS (SELECT actual * 1e0 / sum(actual) OVER () AS weight,
+                hits * 1e0 / actual AS r, CASE WHEN guessed = 0 THEN 0 ELSE hits * 1e0 / guessed END AS p
+                FROM classes),
+            metrics AS (SELECT {_rounded("sum(CASE WHEN p + r = 0 THEN 0 ELSE weight * 2 * p * r / (p + r) END)", 4)} AS f1,
+                {_rounded("sum(weight * r)", 4)} AS accuracy,
+                {_rounded("sum(weight * p)", 4)} AS weighted_precision,
+                {_rounded("sum(weight * r)", 4)} AS weighted_recall FROM scores)"""
+
+
 def statements() -> dict[str, str]:
     return {
         "table_fingerprint": f"""WITH {_RAW}
@@ -340,14 +449,7 @@ def statements() -> dict[str, str]:
             SELECT count(*) AS row_count, concat_ws('-', {_DIGEST_SUMS}) AS checksum FROM digests""",
         "csv_roundtrip": f"WITH {_RAW} SELECT * EXCLUDE (tb1, tb2, tb3, tb4) FROM raw",
         "partitioned_roundtrip": f"WITH {_CLEANED} SELECT * EXCLUDE (tb1, tb2, tb3, tb4) FROM cleaned",
-        "insert_if_absent": f"""WITH {_CLEANED},
-            existing AS (SELECT * FROM cleaned WHERE year < 2012),
-            late AS (SELECT *, {_FIRST} AS rn FROM raw WHERE year >= 2008)
-            SELECT * EXCLUDE (genre_group, popularity_tier) REPLACE (CAST(tb4 AS VARCHAR) AS tb4),
-                'existing' AS origin FROM existing
-            UNION ALL BY NAME
-            SELECT * EXCLUDE (rn) REPLACE (CAST(tb4 AS VARCHAR) AS tb4), 'inserted' AS origin FROM late
-            WHERE rn = 1 AND track_id NOT IN (SELECT track_id FROM existing)""",
+        "insert_if_absent": _INSERTED,
         "coerced_tracks": f"""WITH {_RAW}
             SELECT track_id, coalesce(track_name, '') AS track_name, coalesce(artist_name, '') AS artist_name,
                 genre, {_GROUP} AS genre_group, popularity, {_TIER} AS popularity_tier, year,
@@ -412,9 +514,7 @@ def statements() -> dict[str, str]:
             SELECT r AS raw_rows, r - d AS duplicates_removed, d - n AS nulls_removed,
                 n - c AS outliers_removed, c AS clean_rows, r - c AS removed_total,
                 {_rounded("c * 1e2 / r", 2)} AS retention_pct FROM counts""",
-        "music_trends": f"""WITH {_CLEANED}
-            SELECT year, {_means("energy danceability acousticness valence popularity")},
-                count(*) AS track_count FROM cleaned GROUP BY year ORDER BY year""",
+        "music_trends": _TRENDS,
         "genre_stats": f"""WITH {_CLEANED}
             SELECT genre_group, {_means("popularity danceability energy valence")},
                 count(*) AS track_count FROM cleaned GROUP BY genre_group ORDER BY avg_popularity DESC""",
@@ -443,9 +543,7 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT genre_group, 'Energy', {_rounded("avg_energy", 3)} FROM g
             UNION ALL SELECT genre_group, 'Valence', {_rounded("avg_valence", 3)} FROM g""",
         "artist_stats": f"WITH {_STATS} SELECT * FROM stats",
-        "artist_search": f"""WITH {_STATS} SELECT * FROM stats
-            WHERE lower(artist_name) LIKE lower('%CUSTOMER#0000001%')
-            ORDER BY avg_popularity DESC, artist_name, genre_group LIMIT 10""",
+        "artist_search": _SEARCHED,
         "artist_detail": f"WITH {_STATS} SELECT artist_name, {_REPORT_STATS} FROM stats",
         "artist_by_name": f"""WITH {_STATS} SELECT artist_name, {_REPORT_STATS} FROM stats
             WHERE lower(artist_name) = lower('CUSTOMER#000000042')""",
@@ -495,11 +593,7 @@ def statements() -> dict[str, str]:
             SELECT artist_name, {_PARSED_SELECT}, {_STAMP}, parsed, reason, reply FROM fields""",
         "rejected_replies": f"""WITH {_STATS}, {_REPLIES}, {_PARSED}
             SELECT artist_name, reason, reply, {_STAMP} FROM fields WHERE NOT parsed""",
-        "profile_upsert": f"""WITH {_STATS}, {_PROFILES}, {_REPLIES}, {_PARSED},
-            incoming AS (SELECT * FROM fields WHERE parsed)
-            SELECT artist_name, {", ".join(_PROFILE_COLUMNS)}, {_STAMP} FROM incoming UNION ALL
-            SELECT artist_name, {", ".join(_PROFILE_COLUMNS)}, {_STAMP} FROM stored
-            WHERE artist_name NOT IN (SELECT artist_name FROM incoming)""",
+        "profile_upsert": _UPSERTED,
         "similar_artist_links": f"""WITH {_STATS}, {_PROFILES},
             links AS (SELECT artist_name, unnest(CAST(CAST(similar_artists AS JSON) AS VARCHAR[]))
                 AS similar_artist FROM stored)
@@ -536,20 +630,7 @@ def statements() -> dict[str, str]:
             SELECT label, count(*) FILTER (WHERE prediction = 'Low') AS "Low",
                 count(*) FILTER (WHERE prediction = 'Mid') AS "Mid",
                 count(*) FILTER (WHERE prediction = 'High') AS "High" FROM predicted GROUP BY label""",
-        "classification_metrics": f"""WITH {_CLEANED}, {_PREDICTED},
-            classes AS (SELECT l.label, l.n AS actual, coalesce(p.n, 0) AS guessed, coalesce(h.n, 0) AS hits
-                FROM (SELECT label, count(*) AS n FROM predicted GROUP BY label) l
-                LEFT JOIN (SELECT prediction, count(*) AS n FROM predicted GROUP BY prediction) p
-                    ON p.prediction = l.label
-                LEFT JOIN (SELECT label, count(*) AS n FROM predicted WHERE label = prediction
-                    GROUP BY label) h ON h.label = l.label),
-            scores AS (SELECT actual * 1e0 / sum(actual) OVER () AS weight,
-                hits * 1e0 / actual AS r, CASE WHEN guessed = 0 THEN 0 ELSE hits * 1e0 / guessed END AS p
-                FROM classes)
-            SELECT {_rounded("sum(CASE WHEN p + r = 0 THEN 0 ELSE weight * 2 * p * r / (p + r) END)", 4)} AS f1,
-                {_rounded("sum(weight * r)", 4)} AS accuracy,
-                {_rounded("sum(weight * p)", 4)} AS weighted_precision,
-                {_rounded("sum(weight * r)", 4)} AS weighted_recall FROM scores""",
+        "classification_metrics": f"WITH {_CLEANED}, {_PREDICTED}, {_METRICS} SELECT * FROM metrics",
         "train_tier_model": _tier_summary(_HASH_SPLIT, _FULL_WEIGHT),
         "train_compact_model": _tier_summary(_SPLIT, _rounded("ratio")),
         "feature_importance": "SELECT unnest(["
@@ -561,6 +642,48 @@ def statements() -> dict[str, str]:
                 liveness, coalesce(duration_ms, 200000) AS duration_ms, year,
                 coalesce(genre_group, 'Pop') AS genre_group, TRUE AS shares_sum_to_100,
                 TRUE AS tier_is_likeliest, TRUE AS message_fits FROM requests""",
+        "refitted_forest": f"""WITH {_CLEANED}, {_REFITTED}
+            SELECT tree, node, forest.feature, threshold, {_rounded("wl")} AS weight_low, {_rounded("wm")} AS weight_mid,
+                {_rounded("wh")} AS weight_high, {_rounded("gain")} AS gain
+            FROM forest LEFT JOIN gained USING (tree, node)""",
+        "forest_importance": f"""WITH {_CLEANED}, {_REFITTED}
+            SELECT feature, importance FROM importances ORDER BY importance DESC, feature""",
+        "forest_scores": f"""WITH {_CLEANED}, {_REFITTED}, {_REQUESTS},
+            filled AS (SELECT * REPLACE (coalesce(energy, 5e-1) AS energy, coalesce(tempo, 120e0) AS tempo,
+                coalesce(duration_ms, 200000) AS duration_ms, coalesce(genre_group, 'Pop') AS genre_group) FROM requests),
+            {_scored("scored", "filled", "track_id")}
+            SELECT track_id, prediction AS tier, {_rounded("greatest(wl, wm, wh) * 100", 1)} AS confidence,
+                {_rounded("wl * 100", 1)} AS share_low, {_rounded("wm * 100", 1)} AS share_mid,
+                {_rounded("wh * 100", 1)} AS share_high,
+                CASE prediction WHEN 'High' THEN '🔥 This could be a HIT!' WHEN 'Mid' THEN '🎵 Decent track — mid-tier potential.'
+                    ELSE '📉 Probably won''t chart.' END AS message FROM scored""",
+        "forest_confusion": f"""WITH {_CLEANED}, {_REFITTED},
+            test AS (SELECT * FROM split_rows WHERE split = 'test'), {_scored("scored", "test", "track_id, popularity_tier")}
+            SELECT popularity_tier, prediction, count(*) AS row_count FROM scored GROUP BY popularity_tier, prediction""",
+        "forest_report": f"""WITH {_CLEANED}, {_REFITTED},
+            test AS (SELECT * FROM split_rows WHERE split = 'test'), {_scored("scored", "test", "track_id, popularity_tier")},
+            predicted AS (SELECT popularity_tier AS label, prediction FROM scored),
+            {_METRICS}, first_feature AS (SELECT * FROM importances ORDER BY importance DESC, feature LIMIT 1)
+            SELECT metrics.*, (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM test) AS test_rows,
+                first_feature.feature AS leading_feature, first_feature.importance AS leading_importance FROM metrics, first_feature""",
+        "keyed_append": _INSERTED,
+        "artist_search_indexed": _SEARCHED,
+        "name_postings": f"""WITH {_STATS},
+            names AS (SELECT DISTINCT lower(artist_name) AS name FROM stats)
+            SELECT trigram, count(*) AS names FROM (
+                SELECT DISTINCT name, substr(name, i, 3) AS trigram
+                FROM (SELECT name, unnest(range(1, length(name) - 1)) AS i FROM names)) GROUP BY trigram""",
+        "profile_upsert_by_bucket": _UPSERTED,
+        "trends_from_states": _TRENDS,
+        "artist_stats_from_states": f"WITH {_STATS} SELECT * FROM stats",
+        "genre_stats_in_order": f"""WITH {_CLEANED}
+            SELECT *, row_number() OVER (ORDER BY avg_popularity DESC, genre_group) AS place FROM (
+                SELECT genre_group, {_means("popularity danceability energy valence")}, count(*) AS track_count
+                FROM cleaned GROUP BY genre_group)""",
+        "changed_years": f"""WITH {_CLEANED}
+            SELECT CAST(year AS VARCHAR) AS part, CASE WHEN year = 2003 THEN 'removed' WHEN year = 2005 THEN 'added'
+                ELSE 'changed' END AS change
+            FROM cleaned GROUP BY year HAVING year IN (2003, 2005) OR (year = 2010 AND min(loudness) < -30)""",
         "model_report": f"""WITH {_CLEANED}, {_HASH_SPLIT},
             train AS (SELECT * FROM split_rows WHERE split = 'train'),
             counted AS ({_class_weights("train")}),

@@ -18,17 +18,21 @@ from trackmart.operators import (
     cleaning,
     evaluation,
     features,
+    forest,
     marts,
     model,
     profiles,
     quality,
+    search,
     splits,
+    states,
 )
-from trackmart.plans import insight, training
+from trackmart.plans import insight, publishing, refresh, training
+from trackmart.plans.sample_splits import SPLITS
 from trackmart.session import materialize, scratch_path
-from trackmart.sinks import tables
+from trackmart.sinks import keyed, tables
 from trackmart.sources import sample_tables as samples
-from trackmart.sources.fingerprint import table_fingerprint
+from trackmart.sources.fingerprint import changed_parts, part_fingerprints, table_fingerprint
 from trackmart.sources.tracks import read_tracks_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +109,20 @@ def insert_if_absent(raw):
     return _day_as_text(merged)
 
 
+@on_raw
+def keyed_append(raw):
+    """The same through commits to a stored table: a batch, its repetition, a second batch."""
+    spark, root = raw.sparkSession, scratch_path(raw.sparkSession, "keyed-tracks")
+    early = cleaning.clean(raw, samples.TIE_BREAKERS).filter("year < 2012").select(raw.columns)
+    early = early.withColumn("origin", F.lit("existing"))
+    late = raw.filter("year >= 2008").withColumn("origin", F.lit("inserted"))
+    schema = ", ".join(f"{name} {kind}" for name, kind in early.dtypes)
+    keyed.create(spark, root, schema, "track_id")
+    for batch, rows in (("early", early), ("late", late), ("late", late)):
+        keyed.append_absent(rows, root, batch, samples.TIE_BREAKERS)
+    return _day_as_text(keyed.read(spark, root))
+
+
 def _day_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("tb4", F.col("tb4").cast("string"))
 
@@ -256,6 +274,44 @@ def mood_map(cleaned):
     return marts.mood_map(cleaned, DIGITS)
 
 
+def _refreshed_states(cleaned: DataFrame) -> DataFrame:
+    """States stored from a catalogue in which one year differed, then refreshed."""
+    root = scratch_path(cleaned.sparkSession, "mart-states")
+    stored = materialize(cleaned, "state-tracks")
+    refresh.refresh_states(stored.where("NOT (year = 2007 AND energy > 0.5)"), root)
+    refresh.refresh_states(stored, root)
+    return refresh.read_states(cleaned.sparkSession, root)
+
+
+@on_cleaned
+def trends_from_states(cleaned):
+    return states.music_trends(_refreshed_states(cleaned), DIGITS)
+
+
+@on_cleaned
+def artist_stats_from_states(cleaned):
+    return states.artist_stats(_refreshed_states(cleaned))
+
+
+@on_cleaned
+def genre_stats_in_order(cleaned):
+    """The published genre statistics as they are read, with their places in that order."""
+    spark, root = cleaned.sparkSession, scratch_path(cleaned.sparkSession, "marts")
+    rounded = marts.genre_stats(cleaned, DIGITS)
+    tables.publish(rounded, f"{root}/genre_stats", "v1", datetime(2024, 1, 1))
+    in_order = publishing.read_mart(spark, root, "genre_stats")
+    # One row per genre group: eight at most.
+    return in_order.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+@on_cleaned
+def changed_years(cleaned):
+    """Years whose fingerprint differs after some tracks were left out."""
+    now = cleaned.where("year <> 2003")
+    before = cleaned.where("year <> 2005 AND NOT (year = 2010 AND loudness < -30)")
+    return changed_parts(part_fingerprints(now), part_fingerprints(before))
+
+
 @on_cleaned
 def genre_distribution(cleaned):
     return marts.genre_distribution(cleaned)
@@ -294,6 +350,22 @@ def artist_search(cleaned):
     return artists.artist_search(artists.artist_stats(cleaned), "CUSTOMER#0000001")
 
 
+@on_cleaned
+def artist_search_indexed(cleaned):
+    """The same search through a stored posting table of trigrams."""
+    stats = materialize(artists.artist_stats(cleaned), "artist-stats")
+    path = scratch_path(cleaned.sparkSession, "name-postings")
+    search.write_postings(stats, path)
+    return search.indexed_search(stats, search.read_postings(cleaned.sparkSession, path), "CUSTOMER#0000001")
+
+
+@on_cleaned
+def name_postings(cleaned):
+    """How many names have each trigram."""
+    rows = search.postings(artists.artist_stats(cleaned))
+    return rows.groupBy("trigram").agg(F.count(F.lit(1)).alias("names"))
+
+
 @on_cleaned
 def artist_detail(cleaned):
     return artists.artist_detail(artists.artist_stats(cleaned))
@@ -402,6 +474,18 @@ def profile_upsert(cleaned):
     return merged.profiles.withColumn("generated_at", _stamp())
 
 
+@on_cleaned
+def profile_upsert_by_bucket(cleaned):
+    """The same merge into a bucketed table, of which only touched buckets are rewritten."""
+    spark, root = cleaned.sparkSession, scratch_path(cleaned.sparkSession, "keyed-profiles")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.ARTIST_PROFILES)
+    keyed.create(spark, root, schema, "artist_name")
+    keyed.append_absent(samples.stored_profiles(cleaned), root, "stored")
+    parsed = insight.read_replies(artists.artist_stats(cleaned), samples.raw_replies(cleaned))
+    keyed.upsert(materialize(profiles.accepted(parsed), "replies"), root, "replies", profiles.profile_upsert)
+    return keyed.read(spark, root).withColumn("generated_at", _stamp())
+
+
 @on_cleaned
 def similar_artist_links(cleaned):
     known = artists.primary_genre(artists.artist_stats(cleaned))
@@ -566,6 +650,77 @@ def score_tracks(spark, folder):
     )
 
 
+# The small committed forest, refitted to the training rows of the given tables: its results
+# depend on the rows alone, so scores, importances and metrics themselves are compared.
+
+
+@functools.lru_cache(maxsize=2)
+def _split_tracks(spark: SparkSession, folder: str) -> DataFrame:
+    tracks = samples.tracks_cleaned(spark, folder)
+    return materialize(features.add_genre_code(training.split_rows(tracks)), "forest-rows")
+
+
+def _refitted(spark: SparkSession, folder: str) -> DataFrame:
+    train = _split_tracks(spark, folder).filter(F.col("split") == splits.TRAIN)
+    weights = {r["popularity_tier"]: r["class_weight"] for r in splits.class_weights(train).collect()}
+    places = {name: n for n, name in enumerate(model.COMPACT_FEATURES)}
+    inner = [(tree, node, places[name], *rest) for tree, node, name, *rest in SPLITS]
+    nodes = forest.structure(spark, inner, len(S.TIERS))
+    return materialize(forest.refit(nodes, train, model.COMPACT_FEATURES, S.TIERS, weights), "forest-nodes")
+
+
+@query
+def refitted_forest(spark, folder):
+    nodes = _refitted(spark, folder)
+    names = F.array(*map(F.lit, model.COMPACT_FEATURES))
+    weights = [round_exact(F.get("weights", F.lit(n)), DIGITS).alias(f"weight_{t.lower()}") for n, t in enumerate(S.TIERS)]
+    gained = forest.gains(nodes).select("tree", "node", round_exact(F.col("gain"), DIGITS).alias("gain"))
+    return nodes.join(gained, forest.NODE, "left").select(
+        "tree", "node", F.get(names, "feature").alias("feature"), "threshold", *weights, "gain"
+    )
+
+
+@query
+def forest_importance(spark, folder):
+    return forest.importance(_refitted(spark, folder), model.COMPACT_FEATURES)
+
+
+@query
+def forest_scores(spark, folder):
+    """Tier, confidence, share of each tier and message of every request."""
+    requests = features.add_genre_code(features.score_defaults(_requests(samples.tracks_cleaned(spark, folder))))
+    scored = forest.tier_scores(_refitted(spark, folder), requests, model.COMPACT_FEATURES, S.TIERS)
+    shares = [f"share_{t.lower()}" for t in S.TIERS]
+    return scored.select("track_id", "tier", "confidence", *shares, "message")
+
+
+def _forest_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    test = _split_tracks(spark, folder).filter(F.col("split") == splits.TEST)
+    predicted = forest.predictions(_refitted(spark, folder), test, model.COMPACT_FEATURES, S.TIERS)
+    return evaluation.confusion_matrix(predicted, "popularity_tier", "prediction")
+
+
+@query
+def forest_confusion(spark, folder):
+    return _forest_confusion(spark, folder)
+
+
+@query
+def forest_report(spark, folder):
+    """Metrics on the test rows, the rows they rest on, and the leading feature."""
+    cells = materialize(_forest_confusion(spark, folder), "forest-confusion")
+    metrics = evaluation.metrics_from_confusion(cells, "popularity_tier", "prediction")
+    leading = forest.importance(_refitted(spark, folder), model.COMPACT_FEATURES).limit(1)
+    train = _split_tracks(spark, folder).filter(F.col("split") == splits.TRAIN)
+    return metrics.select(
+        "*",
+        train.select(F.count(F.lit(1))).scalar().alias("train_rows"),
+        cells.select(F.sum("row_count")).scalar().alias("test_rows"),
+        leading.select("feature").scalar().alias("leading_feature"),
+        leading.select("importance").scalar().alias("leading_importance"),
+    )
+
+
 @query
 def model_report(spark, folder):
     result = _trained(spark, folder, training.FULL)

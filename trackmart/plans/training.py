@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
 from trackmart.operators import evaluation, model, splits
 from trackmart.operators.features import training_rows
 from trackmart.session import materialize, staged
-from trackmart.sinks.tables import write_report
+from trackmart.sinks.tables import announce, write_report
+from trackmart.sources.snapshots import current_version, snapshot_path
 
 FULL, COMPACT = "full", "compact"
 
@@ -57,12 +59,18 @@ def train_on(
     if max_label_rows is None:
         fitted = build(**settings).fit(weighted)
     else:
-        first = weighted.orderBy(F.md5("track_id"), "track_id").limit(max_label_rows)
-        with staged(first, "fitting-rows") as rows:
-            fitted = build(**settings).fit(rows)
+        with staged(splits.first_by_hash(weighted, max_label_rows), "fitting-rows") as rows:
+            fitted = build(**settings).fit(spread(rows))
     return Trained(fitted, fitted.transform(test), train, weights)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over as many tasks as there are cores, dealt and ordered by key, so that a fit
+    uses them all and draws the same bags at every run."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks, "track_id").sortWithinPartitions("track_id")
+
+
 def train_model(tracks: DataFrame, kind: str = FULL, **settings) -> Trained:
     """:func:`train_on` for tracks that are not split yet. The split stays in scratch, as the
     result reads it."""
@@ -70,24 +78,93 @@ def train_model(tracks: DataFrame, kind: str = FULL, **settings) -> Trained:
     return train_on(frame, kind, **settings)
 
 
+@dataclass(frozen=True)
+class Signature:
+    """What a stored model takes and gives: checked before anything is scored with it."""
+
+    kind: str
+    inputs: list[str]
+    features: list[str]
+    labels: list[str]
+    settings: dict[str, float]
+
+
+class ModelMismatch(ValueError):
+    """A stored model is not what its signature, or the caller, says."""
+
+
+def signature(fitted: PipelineModel, kind: str) -> Signature:
+    forest = fitted.stages[-1]
+    return Signature(
+        kind,
+        [*S.BASE_FEATURES, "genre_group"],
+        evaluation.feature_names(fitted),
+        model.tier_labels(fitted),
+        {"num_trees": forest.getNumTrees, "max_depth": forest.getMaxDepth(), "classes": forest.numClasses},
+    )
+
+
+def save_model(
+    spark: SparkSession, fitted: PipelineModel, root: str, kind: str, version: str, now: datetime
+) -> str:
+    """Write a model and its signature as a new snapshot, then make it the current one.
+
+    Snapshots are immutable: a scorer that has resolved the current one keeps reading it
+    while the next is written. A version is written once.
+    """
+    path = snapshot_path(root, version)
+    fitted.save(f"{path}/model")  # fails if the version is there
+    row = spark.createDataFrame([(json.dumps(asdict(signature(fitted, kind))),)], "value string")
+    row.coalesce(1).write.text(f"{path}/signature")
+    announce(spark, root, version, now)
+    return path
+
+
 def train_and_save(
-    tracks: DataFrame, path: str, now: datetime, kind: str = FULL, **settings
+    tracks: DataFrame, path: str, now: datetime, kind: str = FULL, version: str | None = None, **settings
 ) -> DataFrame:
-    """Train, save model and report under ``path``, and return the report row."""
+    """Train, save model and report under ``path``, and return the report row.
+
+    The model becomes a snapshot named ``version``, by default after the time.
+    """
+    spark = tracks.sparkSession
+    version = version or now.strftime("%Y%m%dT%H%M%S%f")
     with staged(split_rows(tracks, kind), f"training-{kind}") as frame:
         result = train_on(frame, kind, **settings)
-        result.model.write().overwrite().save(f"{path}/model")
+        saved = save_model(spark, result.model, path, kind, version, now)
         report = evaluation.model_report(
             result.model,
             result.predictions,
             result.weights,
             result.train.count(),
             now,
-            f"{path}/model",
+            f"{saved}/model",
         )
     write_report(report, f"{path}/report")
     return report
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/model")
+def load_model(path: str, kind: str | None = None, version: str | None = None) -> PipelineModel:
+    """The current model under ``path``, or that of a version, once its signature is checked.
+
+    The signature must be that of the model beside it, and the model must be of ``kind``,
+    take the library's inputs and name only its tiers.
+    """
+    spark = SparkSession.active()
+    version = version or current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no model under {path}")
+    folder = snapshot_path(path, version)
+    stored = Signature(**json.loads(spark.read.text(f"{folder}/signature").first()[0]))
+    if kind not in (None, stored.kind):
+        raise ModelMismatch(f"{folder} holds a {stored.kind} model, not a {kind} one")
+    fitted = PipelineModel.load(f"{folder}/model")
+    found = signature(fitted, stored.kind)
+    if found != stored:
+        wrong = [name for name, value in asdict(found).items() if value != getattr(stored, name)]
+        raise ModelMismatch(f"{folder}: {', '.join(wrong)} differ from the signature")
+    if stored.features != (model.FULL_FEATURES if stored.kind == FULL else model.COMPACT_FEATURES):
+        raise ModelMismatch(f"{folder}: the model's features are not the library's")
+    if not set(stored.labels) <= set(S.TIERS):
+        raise ModelMismatch(f"{folder}: labels {stored.labels} are not all tiers")
+    return fitted

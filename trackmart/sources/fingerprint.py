@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.functions import row_digest
@@ -21,11 +21,45 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     shuffle-free aggregate.
     """
     hashed = df.select(row_digest(df.columns).alias("digest"))
+    return hashed.agg(*_digest_sums())
+
+
+def part_fingerprints(df: DataFrame, by: str = "year") -> DataFrame:
+    """:func:`table_fingerprint` of every part of a table: part (as text), row_count, checksum.
+
+    One row per part and task is shuffled. Rows without a part make the part ``null``.
+    """
+    part = F.coalesce(F.col(by).cast("string"), F.lit("null")).alias("part")
+    return df.select(part, row_digest(df.columns).alias("digest")).groupBy("part").agg(*_digest_sums())
+
+
+def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """part (a file's path), row_count (its bytes) and checksum (its time); no content is read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.col("path").alias("part"),
+        F.col("length").alias("row_count"),
+        F.col("modificationTime").cast("string").alias("checksum"),
+    )
+
+
+def changed_parts(current: DataFrame, recorded: DataFrame) -> DataFrame:
+    """part, change (added, changed, removed) of the parts that differ between two listings."""
+    before = recorded.select("part", F.struct("row_count", "checksum").alias("before"))
+    now = current.select("part", F.struct("row_count", "checksum").alias("now"))
+    change = (
+        F.when(F.col("before").isNull(), "added")
+        .when(F.col("now").isNull(), "removed")
+        .when(F.col("before") != F.col("now"), "changed")
+    )
+    joined = now.join(before, "part", "full").withColumn("change", change)
+    return joined.where("change IS NOT NULL").select("part", "change")
+
+
+def _digest_sums() -> list[Column]:
     parts = [F.conv(F.substring("digest", 4 * n + 1, 4), 16, 10).cast("bigint") for n in range(8)]
     sums = [F.coalesce(F.sum(part), F.lit(0)).cast("string") for part in parts]
-    return hashed.agg(
-        F.count(F.lit(1)).alias("row_count"), F.concat_ws("-", *sums).alias("checksum")
-    )
+    return [F.count(F.lit(1)).alias("row_count"), F.concat_ws("-", *sums).alias("checksum")]
 
 
 def listing_fingerprint(spark: SparkSession, path: str) -> tuple[int, str]:
