@@ -15,22 +15,27 @@ from pyspark.sql import functions as F
 from trackmart.llm import exact_dedup, jaccard_join, language, mixing, packing
 from trackmart.llm.common import documents, exact, fresh, written
 
-LEAST_CONFIDENCE = 0.5
+LEAST_CONFIDENCE = 1 / 3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words are labelled with some confidence.
 
-    Without a letter, or with a mean over words of the largest label probability below
-    ``LEAST_CONFIDENCE``, a document goes; one in several languages stays. The prediction
-    fills a null ``lang`` in. The model learns from the documents' own labels, outside the
-    held-out fold.
+    A document's certainty is the mean over words of the largest label probability. It goes
+    when that lies less than ``LEAST_CONFIDENCE`` of the way from a blind guess among the
+    learned languages to 1, or when it has no letter; one in several languages stays. Where a
+    single language was learned, only documents without a letter go; where none was, because
+    no document has a label, nothing can be told and all stay. The prediction fills a null
+    ``lang`` in. The model learns from the documents' own labels, outside the held-out fold.
     """
     held_out = language.folds(F.col("doc_id"), 5) == 0
     sample = language.training_sample(docs, F.col("text"), F.col("lang"), ~held_out)
+    model = language.fit(sample)
+    if not (n := len(model.languages)):
+        return docs
     lang, certainty = fresh(docs, "lang"), fresh(docs, "certainty")
-    found = language.label_rows(docs, language.fit(sample), lang, certainty)
-    named = found.where(F.col(certainty) >= LEAST_CONFIDENCE).withColumn("lang", F.coalesce("lang", lang))
+    found = language.label_rows(docs, model, lang, certainty)
+    named = found.where(F.col(certainty) >= (1 + (n - 1) * LEAST_CONFIDENCE) / n).withColumn("lang", F.coalesce("lang", lang))
     return named.select(*map(exact, docs.columns))
 
 
