@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -117,8 +118,28 @@ def test_line_dedup(spark, monkeypatch):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
     index = line_dedup.insert(line_dedup.empty_index(spark, 5), docs)
     assert digests(line_dedup.drop_lines(docs, index)) == kept_lines(rows, 5)
-    monkeypatch.setattr(line_dedup, "FILTER_BYTES", 0)
-    assert digests(line_dedup.drop_lines(docs, index)) == kept_lines(rows, 5)
+    for keys, salts in ((50_000, 1), (8, 3)):  # one filter, or many small ones
+        monkeypatch.setattr(line_dedup, "SALTS", salts)
+        monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", keys)
+        index = line_dedup.insert(line_dedup.empty_index(spark, 5), docs)
+        assert digests(line_dedup.drop_lines(docs, index)) == kept_lines(rows, 5)
+    assert index.shards > 1
+
+
+def test_deleting_unknown_documents_is_refused(spark):
+    known = spark.createDataFrame(line_rows()[:10], SCHEMA)
+    index = line_dedup.insert(line_dedup.empty_index(spark, 2), known)
+    with pytest.raises(line_dedup.NotInserted):
+        line_dedup.delete(index, spark.createDataFrame([row(1, "never seen")], SCHEMA))
+    assert digests(line_dedup.drop_lines(known, index)) == kept_lines(line_rows()[:10], 2)
+
+
+def test_few_lines_pass_the_filters(spark):
+    docs = spark.createDataFrame(line_rows(), SCHEMA)
+    index = line_dedup.insert(line_dedup.empty_index(spark, 20), docs)
+    read = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    lines = line_dedup._lines(read, 1)
+    assert 0 < line_dedup._passed(lines, index).count() < lines.count() / 2
 
 
 def test_deletion_undoes_insertion(spark):
@@ -175,6 +196,39 @@ def test_fingerprints_do_not_depend_on_neighbours():
     assert sum(together[0].values()) <= len(texts[0])
 
 
+def plain_chunks(data: bytes) -> dict[int, int]:
+    """Chunks found byte by byte, the gear hash computed from its definition at each of them."""
+    out, start = {}, 0
+
+    def marked(end, bits):
+        window = data[end - 32 : end]
+        h = sum(int(chunking.GEAR[b]) << n for n, b in enumerate(reversed(window))) & 0xFFFFFFFF
+        return h >> (32 - bits) == 0
+
+    while start < len(data):
+        cut = None
+        for end in range(start + 32, min(start + 256, len(data)) + 1):
+            if marked(end, 8 if end < start + 64 else 4) or end == start + 64 and marked(end, 8):
+                cut = end
+                break
+        cut = cut or min(start + 256, len(data))
+        out[xxhash.xxh32_intdigest(data[start:cut])] = cut - start
+        start = cut
+    return out
+
+
+def test_chunks_equal_those_found_byte_by_byte():
+    rng = np.random.default_rng(3)
+    texts = [(r[1] or "").encode()[:6000] for r in hard_rows()]
+    texts += [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (31, 32, 33, 64, 65, 255, 256, 257, 4000)]
+    for text, found in zip(texts, chunking.fingerprints(texts), strict=True):
+        assert found == plain_chunks(text)
+        for n, other in ((len(text) // 2, text), (len(text), texts[7])):
+            mine, theirs = plain_chunks(text[:n]), plain_chunks(other)
+            want = sum(w for d, w in mine.items() if d in theirs) / sum(mine.values()) if mine else float(not theirs)
+            assert chunking.containment(*chunking.fingerprints([text[:n], other])) == pytest.approx(want)
+
+
 def test_chunks_resist_shifts():
     text = hard_rows()[12][1]
     one, moved = chunking.fingerprints([text.encode(), ("inserted " + text).encode()])

@@ -1,9 +1,13 @@
 """Language, toxicity and quality models: held-out accuracy, exact inference, edge rows."""
 
 import itertools
+import math
+import re
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.frames import SCHEMA, empty, hard, hard_rows, row
@@ -88,6 +92,9 @@ def test_language_edges(spark, language_model):
     assert got[14].lang_pred in language_model.languages
     assert language.predict(hard(spark), language_model).count() == len(hard_rows())
     assert language.predict(empty(spark), language_model).count() == 0
+    marks = [row(n, t) for n, t in enumerate(["²", "½ Ⅷ", "x²", "12 ³ _", "ʰ"])]
+    letters = {r.doc_id: r.lang_pred for r in language.predict(spark.createDataFrame(marks, SCHEMA), language_model).collect()}
+    assert {n for n, lang in letters.items() if lang == "und"} == {0, 1, 3}
     untrained = language.fit([])
     assert {r.lang_pred for r in language.predict(hard(spark), untrained).collect()} == {"und"}
 
@@ -270,3 +277,85 @@ def test_runs_of_single_characters_are_read_as_by_trying_all(costs):
         parts = text.split()
         found = toxicity.respaced(parts, [len(p) == 1 for p in parts], costs)
         assert found == cheapest_spacing(parts, costs), text
+
+
+# ------------------------------------------------------------------ quality, plainly
+
+
+def plain_grades(text, model):
+    """Expected grade and tail of a text, token by token from the definitions."""
+    tokens = [t.decode() for t in (text or "").encode().split()]
+    n, stats = len(tokens), [0.0] * 8
+    letters = sum(c.isalpha() for t in tokens for c in t)
+    if n:
+        length = sum(map(len, tokens))
+        digits = sum(c.isdigit() for t in tokens for c in t)
+        stats = [
+            min(1.0, math.log2(1 + n) / 16), sum(c.isupper() for t in tokens for c in t) / max(1, letters),
+            digits / length, (length - letters - digits) / length,
+            sum(a == b for a, b in zip(tokens, tokens[1:])) / (n - 1) if n > 1 else 0.0,
+            len(set(tokens)) / n, min(1.0, length / n / 20), letters / length,
+        ]
+    s = sum(model.bins[k, int(x * 10)] for k, x in enumerate(stats))
+    for t in tokens:
+        shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in t))
+        for kind, part in ((b"w", t.lower()), (b"s", shape[:12])):
+            s += model.words[zlib.crc32(kind + part.encode()) % (1 << 15)] / n
+    tails = [1 / (1 + math.exp(min(30, max(-30, t - s)))) for t in model.thresholds]
+    return sum(tails), tails[0]
+
+
+def test_grades_equal_a_plain_computation(spark):
+    rng = np.random.default_rng(6)
+    model = quality.Model(rng.normal(0, 1, 1 << 15), rng.normal(0, 0.3, (8, 11)), np.array([-0.4, 0.7]))
+    extra = [row(900, "STUPID!! Stupid!! 12 12 a"), row(901, "A-b C3PO x" * 30)]
+    rows = [r for r in {r[0]: r for r in hard_rows() + extra}.values() if r[0] is not None]
+    got = {r.doc_id: r for r in quality.grade_documents(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    for r in rows:
+        expected, tail = plain_grades(r[1], model)
+        assert got[r[0]].expected_grade == pytest.approx(expected, abs=1e-9), r[0]
+        assert got[r[0]].tail == pytest.approx(tail, abs=1e-9)
+
+
+def test_fit_climbs_the_likelihood(spark):
+    """The fitted model's likelihood on its sample beats that of thresholds alone."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice(["bad", "fine", "good"], 12, p=p)) for p in ([.7, .2, .1], [.2, .6, .2], [.1, .2, .7]) for _ in range(40)]
+    grades = [g for g in range(3) for _ in range(40)]
+    model = quality.fit(spark.createDataFrame(list(zip(texts, grades)), "text string, grade int"))
+    assert (np.diff(model.thresholds) > 0).all()
+    likelihood = 0.0
+    for text, grade in zip(texts, grades):
+        expected, tail = plain_grades(text, model)
+        chances = [1 - tail, tail - (expected - tail), expected - tail]
+        assert sum(chances) == pytest.approx(1)
+        likelihood += math.log(max(chances[grade], 1e-12))
+    assert likelihood > 0.5 * len(texts) * math.log(1 / 3)
+
+
+# ------------------------------------------------------------------ toxicity, plainly
+
+
+def test_scores_equal_a_plain_computation(spark, costs):
+    """Features of a text looked up one by one, and summed."""
+    rng = np.random.default_rng(9)
+    rows = [r for r in {r[0]: r for r in hard_rows()}.values() if r[0] is not None and len(r[1] or "") < 50_000]
+    words = toxicity.Words(lambda reading: reading, costs)
+    features = {}
+    for r in rows:
+        readings = {words.values[n] for n in words.rows([(r[1] or "").encode()])[0]}
+        features[r[0]] = {f for w in readings for f in toxicity.word_features(w)}
+    every = sorted(set().union(*features.values()))
+    weights = {f: float(w) for f, w in zip(every, rng.normal(0, 0.5, len(every))) if rng.random() < 0.3}
+    model = toxicity.Model(costs, weights, -0.3)
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    for doc_id, found in features.items():
+        z = -0.3 + sum(weights.get(f, 0.0) for f in found)
+        assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
+def test_features_by_definition():
+    digest = lambda s: xxhash.xxh3_64_intdigest(s) >> 1
+    assert toxicity.word_features("idiot") == [digest("=idiot"), digest("idi"), digest("idio")]
+    assert set(toxicity.word_features("iddo")) == {digest(x) for x in ("=iddo", "idd", "=ido")}
+    assert toxicity.word_features("") == []

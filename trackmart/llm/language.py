@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import itertools
 import random
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -56,7 +55,6 @@ BLOCK = 64
 STEPS, RATE, PENALTY = 60, 0.5, 1e-6
 UNKNOWN = "und"
 EDGES = ".,;:!?\"'()[]{}|*#$%&/<>=+-_0123456789"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -70,13 +68,13 @@ def features(word: bytes) -> list[int]:
     """Hashed features of a word; none if it has no letter."""
     if word.isascii():
         core = word.lower().strip(EDGES.encode())
-        if not core or not LETTER.search(core.decode()):
+        if not core.isalpha() and not any(map(str.isalpha, core.decode())):
             return []
         parts, marked = core, b"^%b$" % core
         crc = zlib.crc32
     else:
         core = word.decode().lower().strip(EDGES)
-        if not LETTER.search(core):
+        if not core.isalpha() and not any(map(str.isalpha, core)):  # a digit like ² is no letter
             return []
         parts, marked = core, f"^{core}$"
         crc = _crc_of_text

@@ -7,9 +7,11 @@ the key space with the keys that have reached the threshold; keys enter and leav
 their counts cross the threshold, which a cuckoo filter supports and a Bloom filter
 does not.
 
-Filters are shipped to the tasks when their total size is within ``FILTER_BYTES``;
-beyond it every line counts as a candidate. Candidates are settled against the counts,
-so filters save work and decide nothing.
+Lines meet the filters where both are dealt: the hashes of lines go to the shard of their
+key and one of ``SALTS`` copies of its filter, so that a line of very many documents is
+spread, and are probed in passing. What a filter lets through is settled against the exact
+counts, so filters save work and decide nothing. Texts are read twice and never wait for
+the probing: lines are known by their document's id and text hash, and their place in it.
 
 Rules
 -----
@@ -19,6 +21,8 @@ Rules
 * A line repeated within a document counts once for it and is dropped everywhere.
 * Repeated rows count as documents of their own; an empty table gives an empty index
   and result. Other columns are not read and may have any name.
+* Deleting documents that were never inserted raises :class:`NotInserted` where a count
+  would fall below zero; the index passed in stays as it was.
 """
 
 from __future__ import annotations
@@ -28,16 +32,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import documents, exact, map_arrow, utf8, written
+from trackmart.llm.common import documents, exact, map_arrow, ragged, utf8, written
 
 MIN_LENGTH, MIN_DOCS = 1, 10
 KEYS_PER_SHARD = 50_000
-FILTER_BYTES = 64 << 20
+SALTS = 16  # copies of a shard's filter, each probed by a part of its lines
 SLOTS, KICKS = 4, 200
 
 
@@ -49,6 +53,10 @@ class Index(NamedTuple):
     min_length: int
 
 
+class NotInserted(ValueError):
+    """Documents to be deleted from an index that does not hold them."""
+
+
 class CuckooFilter:
     """16-bit fingerprints in buckets of four; each has two buckets it may lie in.
 
@@ -158,6 +166,8 @@ def _changed(index: Index, docs: DataFrame, text_col: str, sign: int) -> Index:
         .agg(F.sum("refs").alias("refs"), F.sum("old").alias("old"))
     )
     table = written(merged, "line-counts")
+    if sign < 0 and (unknown := table.where("refs < 0").count()):
+        raise NotInserted(f"{unknown} lines would have negative counts")
     most = F.col("refs") >= index.min_docs
     least = F.col("old") >= index.min_docs
     frequent = table.where(most).count()
@@ -168,7 +178,7 @@ def _changed(index: Index, docs: DataFrame, text_col: str, sign: int) -> Index:
         old_filters, moves = index.filters.limit(0), table.where(most).withColumn("enters", F.lit(True))
     else:
         old_filters, moves = index.filters, table.where(most != least).withColumn("enters", most)
-    shard = F.shiftrightunsigned("h1", 44).bitwiseAND(F.lit(shards - 1)).cast("int").alias("shard")
+    shard = _shard(shards)
 
     def update(old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         cuckoo = (
@@ -199,111 +209,107 @@ def insert(index: Index, docs: DataFrame, text_col: str = "text") -> Index:
 
 
 def delete(index: Index, docs: DataFrame, text_col: str = "text") -> Index:
-    """The index without ``docs``, which must have been inserted."""
+    """The index without ``docs``, which must have been inserted; see :class:`NotInserted`."""
     return _changed(index, docs, text_col, -1)
 
 
-def _shipped(index: Index) -> dict | None:
-    """The filters by shard, or None where together they are too large to ship."""
-    size = index.filters.agg(F.sum(F.octet_length("cells") + 8 * F.size("stash"))).first()[0]
-    if (size or 0) > FILTER_BYTES:
-        return None
-    return {r["shard"]: (bytes(r["cells"]), list(r["stash"])) for r in index.filters.collect()}
+def _shard(shards: int) -> Column:
+    return F.shiftrightunsigned("h1", 44).bitwiseAND(F.lit(shards - 1)).cast("int").alias("shard")
+
+
+def _lines(docs: DataFrame, min_length: int) -> DataFrame:
+    """doc_id, mark, place, h1, h2 of every line that may have to go."""
+
+    def per_batch(batch, _):
+        ids, texts, marks = batch.column(0), utf8(batch.column(1)), batch.column(2)
+        split = [split_lines(t, min_length)[1] for t in texts]
+        halves = hashed([k for keys in split for k in keys])
+        counted = np.array([len(keys) for keys in split], np.int64)
+        owner = np.repeat(np.arange(len(split)), counted)
+        place = ragged(np.zeros(len(split), np.int64), counted)
+        keyed = np.fromiter((bool(k) for keys in split for k in keys), bool, len(owner))
+        own = pa.array(owner[keyed])
+        yield [ids.take(own), marks.take(own), place[keyed], halves[keyed, 0], halves[keyed, 1]]
+
+    return map_arrow(docs, per_batch, "doc_id long, mark long, place long, h1 long, h2 long")
+
 
+def _passed(lines: DataFrame, index: Index) -> DataFrame:
+    """The lines that the filters of their shards let through.
 
-def _candidates(docs: DataFrame, index: Index) -> DataFrame:
-    """Documents with the lines that may have to go; text only where there are such lines."""
-    shipped, shards, min_length = _shipped(index), index.shards, index.min_length
-    common = None if shipped is None else docs.sparkSession.sparkContext.broadcast(shipped)
+    Each task gets, in order, a filter and the lines to probe it with, the next filter and its
+    lines, and so on; it holds one filter at a time.
+    """
+    salt = F.pmod(F.xxhash64("doc_id", "mark", "place"), F.lit(SALTS)).cast("int").alias("salt")
+    no_filter = [F.lit(None).cast("binary").alias("cells"), F.lit(None).cast("array<long>").alias("stash")]
+    probing = lines.select(_shard(index.shards), salt, F.lit(1).alias("kind"), "*", *no_filter)
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    no_line = [F.lit(None).cast("long").alias(c) for c in lines.columns]
+    probed = index.filters.select("shard", every, F.lit(0).alias("kind"), *no_line, "cells", "stash")
+    dealt = probed.unionAll(probing).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
 
     def setup():
-        filters = None
-        if common is not None:
-            filters = {k: CuckooFilter(np.frombuffer(c, np.uint16), s) for k, (c, s) in common.value.items()}
-        return {"filters": filters, "row": TaskContext.get().partitionId() << 40}
-
-    def maybe(filters, halves):
-        if filters is None:
-            return np.ones(len(halves), bool)
-        hit = np.zeros(len(halves), bool)
-        shard = (halves[:, 0].astype(np.uint64) >> np.uint64(44)) & np.uint64(shards - 1)
-        for number, cuckoo in filters.items():
-            own = np.flatnonzero(shard == number)
-            if len(own):
-                hit[own] = cuckoo.contains(halves[own, 0], halves[own, 1])
-        return hit
+        return {"at": None, "filter": None}
 
     def per_batch(batch, state):
-        texts = utf8(batch.column(1))
-        split = [split_lines(t, min_length) for t in texts]
-        halves = hashed([k for _, keys in split for k in keys])
-        hit = maybe(state["filters"], halves)
-        hit &= np.fromiter((bool(k) for _, keys in split for k in keys), bool, len(hit))
-        at, out = 0, [[] for _ in range(7)]
-        for doc_id, text, (lines, _) in zip(batch.column(0).to_pylist(), texts, split, strict=True):
-            own = np.flatnonzero(hit[at : at + len(lines)])
-            settled = not len(own)
-            row = (
-                state["row"],
-                doc_id,
-                len(lines),
-                hashlib.sha256(text).hexdigest() if settled else None,
-                None if settled else text.decode(),
-                own.tolist(),
-                halves[at + own].ravel().tolist(),
-            )
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
-            state["row"] += 1
-            at += len(lines)
-        yield out
-
-    schema = (
-        "row long, doc_id long, n_lines long, kept_sha256 string, text string, "
-        "places array<long>, halves array<long>"
-    )
-    return map_arrow(docs, per_batch, schema, setup)
+        shard, salt, kind = (batch.column(n).to_numpy() for n in range(3))
+        h1, h2 = (batch.column(n).fill_null(0).to_numpy() for n in (6, 7))
+        hit = np.zeros(len(kind), bool)
+        # A new run begins at every filter, and where the shard or salt changes without one.
+        change = (kind == 0) | (np.diff(shard, prepend=-1) != 0) | (np.diff(salt, prepend=-1) != 0)
+        bounds = [0, *np.flatnonzero(change).tolist(), len(kind)]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if a == b:
+                continue
+            if kind[a] == 0:
+                cells = np.frombuffer(batch.column(8)[a].as_py(), np.uint16)
+                state["at"], state["filter"] = (shard[a], salt[a]), CuckooFilter(cells, batch.column(9)[a].as_py())
+                a += 1
+            # Lines of a shard without a filter have no frequent key.
+            if a < b and state["at"] == (shard[a], salt[a]):
+                hit[a:b] = state["filter"].contains(h1[a:b], h2[a:b])
+        places = pa.array(np.flatnonzero(hit))
+        yield [batch.column(n).take(places) for n in range(3, 8)]
+
+    return map_arrow(dealt, per_batch, "doc_id long, mark long, place long, h1 long, h2 long", setup)
 
 
 def drop_lines(
     docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_dropped, kept_sha256, and the kept text where
-    lines were dropped or might have been (null: the text is as it was)."""
-    read = docs.select(exact(id_col).cast("long").alias("doc_id"), exact(text_col).alias("text"))
-    rows = written(_candidates(read, index), "line-candidates")
-    settled = rows.where("text IS NULL").select(
-        "doc_id", "n_lines", F.lit(0).cast("long").alias("n_dropped"), "kept_sha256", "text"
-    )
-    lines = rows.where("text IS NOT NULL").select(
-        "row", F.posexplode("places").alias("nth", "place"), "halves"
-    ).select(
-        "row",
-        "place",
-        F.element_at("halves", 2 * F.col("nth") + 1).alias("h1"),
-        F.element_at("halves", 2 * F.col("nth") + 2).alias("h2"),
+    """One row per document: doc_id, n_lines, n_dropped, kept_sha256, text (what is kept)."""
+    read = docs.select(
+        exact(id_col).cast("long").alias("doc_id"),
+        exact(text_col).alias("text"),
+        F.xxhash64(exact(text_col)).alias("mark"),
     )
     frequent = index.counts.where(F.col("refs") >= index.min_docs).select("h1", "h2")
     goes = (
-        lines.join(frequent, ["h1", "h2"], "left_semi").groupBy("row").agg(F.collect_list("place").alias("goes"))
+        _passed(_lines(read, index.min_length), index)
+        .join(frequent, ["h1", "h2"], "left_semi")
+        .groupBy("doc_id", "mark")
+        .agg(F.collect_set("place").alias("goes"))  # equal rows have the same places
     )
-    open_rows = rows.where("text IS NOT NULL").select("row", "doc_id", "n_lines", "text")
+    goes = written(goes, "lines-to-drop").select(F.col("doc_id").alias("id"), F.col("mark").alias("of"), "goes")
 
     def per_batch(batch, _):
-        doc_ids, n_lines, texts, gone = (batch.column(n).to_pylist() for n in range(4))
-        out = [doc_ids, n_lines, [], [], []]
+        doc_ids, texts = batch.column(0), utf8(batch.column(1))
+        gone = batch.column(2).to_pylist()
+        n_lines, dropped, digests, kept_texts = [], [], [], []
         for text, places in zip(texts, gone, strict=True):
-            lines = text.split("\n")
+            lines = text.split(b"\n")
             places = set(places or ())
-            kept = "\n".join([x for n, x in enumerate(lines) if n not in places])
-            out[2].append(len(places))
-            out[3].append(hashlib.sha256(kept.encode()).hexdigest())
-            out[4].append(kept)
-        yield out
-
-    joined = open_rows.join(goes, "row", "left").select("doc_id", "n_lines", "text", "goes")
+            kept = b"\n".join([x for n, x in enumerate(lines) if n not in places]) if places else text
+            n_lines.append(len(lines))
+            dropped.append(len(places))
+            digests.append(hashlib.sha256(kept).hexdigest())
+            kept_texts.append(kept.decode())
+        yield [doc_ids, n_lines, dropped, digests, kept_texts]
+
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of"))
+    joined = read.join(goes, same, "left").select("doc_id", "text", "goes")
     schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string, text string"
-    return settled.unionByName(map_arrow(joined, per_batch, schema))
+    return map_arrow(joined, per_batch, schema)
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,15 +318,16 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL = r"""
-WITH l AS (
-  SELECT doc_id, n, line,
+WITH r AS (SELECT doc_id, text, row_number() OVER () AS row FROM documents),
+l AS (
+  SELECT doc_id, row, n, line,
          translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
-f AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+  FROM (SELECT doc_id, row, unnest(lines) AS line, generate_subscripts(lines, 1) AS n
+        FROM (SELECT doc_id, row, string_split(coalesce(text, ''), chr(10)) AS lines FROM r))),
+f AS (SELECT key FROM l WHERE key <> '' GROUP BY key HAVING count(DISTINCT row) >= 10),
 m AS (SELECT l.*, f.key IS NOT NULL AS gone FROM l LEFT JOIN f ON l.key = f.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id
+FROM m GROUP BY doc_id, row
 """

@@ -239,10 +239,13 @@ def listed(spans: Column) -> Column:
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = find_spans(documents(spark, folder))
+    spans = F.sort_array(F.concat("base", "added"))
+    scores = F.transform(spans, lambda s: F.format_number(s["score"], 3))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
         *(count(kind).alias(f"n_{kind}") for kind in BASE),
         F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+        listed(spans).alias("spans"),
+        F.concat_ws(",", scores).alias("scores"),
     )

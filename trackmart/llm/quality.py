@@ -23,7 +23,6 @@ Rules
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -38,7 +37,6 @@ BUCKETS = 1 << 15
 GRADES = 3
 WANTED, LEAST_TAIL = 1, 0.5
 STEPS, RATE, PENALTY = 200, 0.2, 1e-5
-LETTERS = re.compile(r"[^\W\d_]+")
 STATISTICS = 8
 BINS = 10
 
