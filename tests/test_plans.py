@@ -95,3 +95,39 @@ def test_score_job(spark, tmp_path, monkeypatch):
     jobs.main(["score", "--root", root, "--kind", "compact", "--requests", f"{root}/requests",
                "--out", f"{root}/scored"])
     assert spark.read.parquet(f"{root}/scored").count() == tracks.count()
+
+
+def test_incremental_jobs(spark, tmp_path, capsys):
+    root = str(tmp_path)
+    clean_and_publish(varied(spark), root, "v1", NOW, min_rows=10)
+    before = {n: sorted(map(str, read_mart(spark, root, n).collect())) for n in ("mood_map", "artist_stats")}
+    jobs.main(["refresh", "--root", root])
+    assert current_version(spark, f"{root}/mood_map") != "v1"
+    jobs.main(["refresh", "--root", root])
+    assert "refreshed years: []" in capsys.readouterr().out
+    assert sorted(map(str, read_mart(spark, root, "artist_stats").collect())) == before["artist_stats"]
+    assert read_mart(spark, root, "mood_map").count() == len(before["mood_map"])
+
+    tracks = read_table(spark, f"{root}/tracks")
+    tracks.write.parquet(f"{root}/incoming")
+    for _ in range(2):
+        jobs.main(["append", "--root", root, "--tracks", f"{root}/incoming", "--batch", "b1", "--buckets", "4"])
+    assert "was appended before" in capsys.readouterr().out
+    assert jobs.keyed.read(spark, f"{root}/track_details_by_id").count() == tracks.count()
+
+    jobs.main(["index-names", "--root", root])
+    for flag in ([], ["--indexed"]):
+        jobs.main(["search", "--root", root, "--term", "act 1", "--out", f"{root}/found{len(flag)}", *flag])
+    found = [spark.read.parquet(f"{root}/found{n}").collect() for n in (0, 1)]
+    assert sorted(found[0]) == sorted(found[1]) and len(found[0]) == 10
+
+    reply = json.dumps({"origin_country": "Peru"})
+    rows = [("Act 1", reply, NOW), ("Act 2", reply, NOW), ("Act 3", "no idea", NOW)]
+    spark.createDataFrame(rows, "artist_name string, reply string, generated_at timestamp").write.parquet(f"{root}/replies")
+    for _ in range(2):
+        jobs.main(["merge", "--root", root, "--replies", f"{root}/replies", "--batch", "one"])
+    stored = jobs.keyed.read(spark, f"{root}/artist_profiles_by_name")
+    assert quality.schema_mismatches(stored, S.ARTIST_PROFILES) == [] and stored.count() == 2
+    assert spark.read.parquet(f"{root}/rejected_replies/one").count() == 1
+    jobs.main(["prompts", "--root", root, "--out", f"{root}/prompts"])
+    assert spark.read.parquet(f"{root}/prompts").count() == 21

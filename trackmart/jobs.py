@@ -1,5 +1,5 @@
-"""Command line for spark-submit: publish, train, score, check-inputs, search, report, links,
-prompts, merge.
+"""Command line for spark-submit: publish, refresh, append, train, score, check-inputs,
+index-names, search, report, links, prompts, merge.
 
     spark-submit --py-files trackmart.zip trackmart/jobs.py publish --raw ... --root ...
 """
@@ -13,19 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.operators import artists, profiles
+from trackmart.operators import artists, profiles, states
+from trackmart.operators import search as names
 from trackmart.operators.features import input_domain_check
 from trackmart.operators.model import score_tracks
 from trackmart.plans import insight, publishing, training
+from trackmart.plans import refresh as refreshing
 from trackmart.session import build_session, staged
-from trackmart.sinks import tables
+from trackmart.sinks import keyed, tables
 from trackmart.sources.fingerprint import (
     last_recorded,
     listing_fingerprint,
     record,
     table_fingerprint,
 )
-from trackmart.sources.snapshots import current_version, read_table
+from trackmart.sources.snapshots import current_version, read_table, snapshot_path
 from trackmart.sources.tracks import MALFORMED, read_tracks_csv
 
 
@@ -55,6 +57,40 @@ def publish(spark: SparkSession, args: argparse.Namespace, now: datetime) -> Non
     print(f"published {done.version}; advisory checks failed: {done.failed_raw_checks}")
 
 
+def refresh(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    """States of the years whose tracks changed, then the marts they make."""
+    changed = refreshing.refresh_states(_tracks(spark, args.root), f"{args.root}/mart_states")
+    if changed:
+        kept = refreshing.read_states(spark, f"{args.root}/mart_states")
+        for name, build in STATE_MARTS.items():
+            tables.publish(build(kept), f"{args.root}/{name}", _version(now), now)
+    print(f"refreshed years: {changed}")
+
+
+STATE_MARTS = {
+    "music_trends": states.music_trends,
+    "genre_stats": states.genre_stats,
+    "mood_map": states.mood_map,
+    "artist_stats": states.artist_stats,
+}
+
+
+def append(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    """Tracks whose id the bucketed table lacks; a batch is appended once."""
+    rows = spark.read.parquet(args.tracks)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    keyed.create(spark, f"{args.root}/{args.table}", schema, args.key, args.buckets)
+    done = keyed.append_absent(rows, f"{args.root}/{args.table}", args.batch)
+    print(f"batch {args.batch}: {'appended' if done else 'was appended before'}")
+
+
+def index_names(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
+    """A snapshot of the name postings of the current artist statistics."""
+    path = snapshot_path(f"{args.root}/name_postings", _version(now))
+    names.write_postings(read_table(spark, f"{args.root}/artist_stats"), path)
+    tables.announce(spark, f"{args.root}/name_postings", _version(now), now)
+
+
 def train(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     training.train_and_save(
         _tracks(spark, args.root),
@@ -76,7 +112,11 @@ def check_inputs(spark: SparkSession, args: argparse.Namespace, now: datetime) -
 
 
 def search(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
-    _write(artists.artist_search(read_table(spark, f"{args.root}/artist_stats"), args.term), args)
+    stats = read_table(spark, f"{args.root}/artist_stats")
+    if args.indexed:
+        _write(names.indexed_search(stats, read_table(spark, f"{args.root}/name_postings"), args.term), args)
+    else:
+        _write(artists.artist_search(stats, args.term), args)
 
 
 def report(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
@@ -96,12 +136,24 @@ def merge(spark: SparkSession, args: argparse.Namespace, now: datetime) -> None:
     stats = read_table(spark, f"{args.root}/artist_stats")
     replies = insight.read_replies(stats, spark.read.parquet(args.replies))
     with staged(replies, "parsed-replies") as parsed:
+        if args.batch:
+            path = f"{args.root}/{BUCKETED_PROFILES}"
+            if keyed.state(spark, path) is None:
+                keyed.create(spark, path, S.ARTIST_PROFILES.toDDL(), "artist_name")
+                keyed.append_absent(_profiles(spark, args.root), path, "stored")
+            keyed.upsert(profiles.accepted(parsed), path, args.batch, profiles.profile_upsert)
+            rejected = profiles.quarantine(parsed)
+            rejected.write.mode("overwrite").parquet(f"{args.root}/rejected_replies/{args.batch}")
+            return
         merged = insight.merge_replies(_profiles(spark, args.root), parsed)
         version = _version(now)
         tables.publish(merged.profiles, f"{args.root}/artist_profiles", version, now)
         merged.rejected.write.mode("overwrite").parquet(f"{args.root}/rejected_replies/{version}")
 
 
+BUCKETED_PROFILES = "artist_profiles_by_name"
+
+
 def _write(frame: DataFrame, args: argparse.Namespace) -> None:
     frame.write.mode("overwrite").parquet(args.out)
 
@@ -111,7 +163,9 @@ def _tracks(spark: SparkSession, root: str):
 
 
 def _profiles(spark: SparkSession, root: str):
-    """Stored profiles; an empty table before the first merge."""
+    """Stored profiles, bucketed ones if there are any; an empty table before the first merge."""
+    if keyed.state(spark, f"{root}/{BUCKETED_PROFILES}") is not None:
+        return keyed.read(spark, f"{root}/{BUCKETED_PROFILES}")
     path = f"{root}/artist_profiles"
     if current_version(spark, path) is None:
         return spark.createDataFrame([], S.ARTIST_PROFILES)
@@ -139,6 +193,14 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--multiline", action="store_true", help="fields may hold line breaks; one task a file")
     sub.add_argument("--pandas-nulls", action="store_true", help="read NA, None, ... as null")
     sub.add_argument("--skip-unchanged", action="store_true")
+    command("refresh", refresh)
+    sub = command("append", append)
+    sub.add_argument("--tracks", required=True, help="Parquet folder of the rows to append")
+    sub.add_argument("--batch", required=True, help="name of the batch; repeated ones do nothing")
+    sub.add_argument("--table", default="track_details_by_id")
+    sub.add_argument("--key", default="track_id")
+    sub.add_argument("--buckets", type=int, default=keyed.BUCKETS, help="of a table that is new")
+    command("index-names", index_names)
     sub = command("train", train)
     sub.add_argument("--kind", choices=[training.FULL, training.COMPACT], default=training.FULL)
     sub.add_argument("--weigh-all", action="store_true", help="class weights from all rows")
@@ -152,11 +214,13 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--out", required=True)
     sub = command("search", search)
     sub.add_argument("--term", required=True)
+    sub.add_argument("--indexed", action="store_true", help="through the postings of index-names")
     sub.add_argument("--out", required=True)
     for name, run in (("report", report), ("links", links), ("prompts", prompts)):
         command(name, run).add_argument("--out", required=True)
     sub = command("merge", merge)
     sub.add_argument("--replies", required=True)
+    sub.add_argument("--batch", help="merge into the bucketed table, rewriting touched buckets only")
     return parser
 
 

@@ -11,17 +11,20 @@ it goes to every task as one value, and :func:`walkable` refuses more than ``MOS
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
 from trackmart.functions import lookup, round_exact
-from trackmart.operators.evaluation import feature_names
+from trackmart.session import staged
 
 MOST_NODES = 500_000  # about 50 MB in every task
 NODES = (
@@ -53,6 +56,53 @@ def nodes_of(model: PipelineModel, path: str) -> DataFrame:
     return nodes.drop("categories")
 
 
+def combined(models: Sequence[RandomForestClassificationModel], path: str) -> RandomForestClassificationModel:
+    """One forest of all trees of ``models``, put together from their stored tables under ``path``."""
+    spark = SparkSession.active()
+    data, trees, before = [], [], 0
+    for n, model in enumerate(models):
+        model.write().save(f"{path}/part-{n}")
+        for found, name in ((data, "data"), (trees, "treesMetadata")):
+            part = spark.read.parquet(f"{path}/part-{n}/{name}")
+            tree = part.columns[0]  # its number within the part
+            found.append(part.withColumn(tree, F.col(tree) + F.lit(before)))
+        before += model.getNumTrees
+    for found, name in ((data, "data"), (trees, "treesMetadata")):
+        functools.reduce(DataFrame.unionByName, found).write.parquet(f"{path}/forest/{name}")
+    facts = json.loads(spark.read.text(f"{path}/part-0/metadata").first()[0])
+    facts["numTrees"] = facts["paramMap"]["numTrees"] = before
+    text = spark.createDataFrame([(json.dumps(facts),)], "value string")
+    text.coalesce(1).write.text(f"{path}/forest/metadata")
+    return RandomForestClassificationModel.load(f"{path}/forest")
+
+
+def fit_in_parts(pipeline: Pipeline, rows: DataFrame, path: str, parts: int, key: str = "track_id") -> PipelineModel:
+    """Fit a pipeline that ends in a forest, its trees dealt to ``parts`` concurrent fits.
+
+    A deep tree over few rows has about as many nodes as rows, and a fit sends statistics of
+    every node from every task, so that spreading the rows of a small sample over all cores
+    costs more than it saves. Trees are independent: each part grows its share of them, with
+    a seed of its own, in few tasks, and all parts run at the same time.
+    """
+    *stages, forest = pipeline.getStages()
+    prepared = Pipeline(stages=stages).fit(rows)
+    inputs = [c for c in (forest.getLabelCol(), forest.getFeaturesCol(), forest.getWeightCol()) if c]
+    trees = forest.getNumTrees()
+    parts = max(1, min(parts, trees))
+    tasks = max(1, rows.sparkSession.sparkContext.defaultParallelism // parts)
+    with staged(prepared.transform(rows).select(key, *inputs), "forest-inputs") as ready:
+        # The same order at every run: bags are drawn row by row.
+        dealt = ready.repartition(tasks, key).sortWithinPartitions(key, *inputs[::2])
+
+        def grow(n: int) -> RandomForestClassificationModel:
+            share = trees // parts + (n < trees % parts)
+            return forest.copy({forest.numTrees: share, forest.seed: forest.getSeed() + n}).fit(dealt)
+
+        with ThreadPoolExecutor(parts) as pool:
+            models = list(pool.map(grow, range(parts)))
+    return PipelineModel([*prepared.stages, combined(models, path)])
+
+
 def structure(spark: SparkSession, splits: Sequence[tuple], classes: int) -> DataFrame:
     """Nodes without rows from (tree, node, feature, threshold, below, above) of the inner
     nodes; children that split no further are leaves."""

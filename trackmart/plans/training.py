@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas as S
-from trackmart.operators import evaluation, model, splits
+from trackmart.operators import evaluation, forest, model, splits
 from trackmart.operators.features import training_rows
-from trackmart.session import materialize, staged
+from trackmart.session import materialize, scratch_path, staged
 from trackmart.sinks.tables import announce, write_report
 from trackmart.sources.snapshots import current_version, snapshot_path
 
@@ -47,7 +47,8 @@ def train_on(
     Weights come from the training rows, or from all rows with ``weigh_all``. The forest is
     fitted on all training rows, or on the first ``max_label_rows`` of them by a hash of
     the key: MLlib keeps a bagging count per row and tree, so very large tables need the
-    bound. Weights, evaluation and scoring cover all rows either way.
+    bound. Bounded rows are fitted by concurrent fits, each of a share of the trees. Weights,
+    evaluation and scoring cover all rows either way.
     """
     train, test = (frame.filter(F.col("split") == part) for part in (splits.TRAIN, splits.TEST))
     digits = 2 if kind == FULL else None
@@ -59,8 +60,10 @@ def train_on(
     if max_label_rows is None:
         fitted = build(**settings).fit(weighted)
     else:
+        spark = frame.sparkSession
+        path, parts = scratch_path(spark, "forest-parts"), spark.sparkContext.defaultParallelism
         with staged(splits.first_by_hash(weighted, max_label_rows), "fitting-rows") as rows:
-            fitted = build(**settings).fit(spread(rows))
+            fitted = forest.fit_in_parts(build(**settings), spread(rows), path, parts)
     return Trained(fitted, fitted.transform(test), train, weights)
 
 
@@ -94,13 +97,13 @@ class ModelMismatch(ValueError):
 
 
 def signature(fitted: PipelineModel, kind: str) -> Signature:
-    forest = fitted.stages[-1]
+    trees = fitted.stages[-1]
     return Signature(
         kind,
         [*S.BASE_FEATURES, "genre_group"],
         evaluation.feature_names(fitted),
         model.tier_labels(fitted),
-        {"num_trees": forest.getNumTrees, "max_depth": forest.getMaxDepth(), "classes": forest.numClasses},
+        {"num_trees": trees.getNumTrees, "max_depth": trees.getMaxDepth(), "classes": trees.numClasses},
     )
 
 
