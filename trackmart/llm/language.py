@@ -189,7 +189,7 @@ def fit(sample: list[tuple[str, str]], steps: int = STEPS) -> Model:
     words = Lookup(lambda w: np.array(features(w), np.int64), limit=1 << 62)
     runs = []
     for lang, text in sample:
-        rows = [w for w in text.encode().split() if LETTER.search(w.decode())]
+        rows = [w for w in text.encode().split() if any(map(str.isalpha, w.decode()))]
         label = languages.index(lang)
         runs += [(label, rows[n : n + TRAIN_RUN]) for n in range(0, len(rows), TRAIN_RUN)]
     runs = [r for r in runs if r[1]]
