@@ -8,16 +8,21 @@ when they agree in two collections or more. At a similarity of 0.85 a collection
 a chance of 0.85 ** 8 = 0.27; ``collections_for`` takes so many collections that a pair at
 the threshold is missed with a chance of ``MISSED`` at most (54 for 0.85, 92 for 0.8).
 
-1. *Values.* Texts are read once for shingles, minhashes and collection values.
-2. *First tables.* The collections are paired off, 0 with 1, 2 with 3 and so on. In each
-   table the least set of a key is its leader. A set is checked exactly against the leader it
-   meets most often; verified links make first classes, which take in large groups of near
-   copies without a pair inside them.
-3. *All tables.* A collection's value that only one class has leads nowhere. Sets with two
+1. *Values.* Texts are read once for shingles, minhashes and collection values. Sets that
+   agree with others in two collections or more are fetched, in a second reading.
+2. *Room.* Shingles that no other fetched set has are in no overlap. A set that has too many
+   of them links with none, and the others carry what is left, which bounds the overlap of
+   any pair. That settles most of a group whose members are alike, but not alike enough.
+3. *First tables.* The collections are paired off, each even one with an odd one. In each
+   table one set of a key is its leader. A set is checked exactly against the ``LEADERS`` of
+   other classes that it meets most often, and verified links make classes. ``ROUNDS`` such
+   rounds, with other pairs and other leaders, take in large groups of near copies with a few
+   pairs for each member.
+4. *All tables.* A collection's value that only one class has leads nowhere. Sets with two
    other values or more go to the tables of these; the keys that several classes have give
-   the candidates, each pair of sets of different classes once, unless their sizes differ
-   too much.
-4. *Confirmation.* Candidates are counted out on full sets. Links of both steps make the
+   the candidates, each pair of sets of different classes once, unless their sizes and room
+   rule it out.
+5. *Confirmation.* Candidates are counted out on full sets. Links of both steps make the
    classes; copies of a set are one node throughout.
 
 Rules
@@ -34,9 +39,11 @@ Rules
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trackmart.llm.common import documents, exact, map_arrow, portions, utf8, written
 from trackmart.llm.components import components
@@ -45,6 +52,7 @@ from trackmart.session import staged
 
 WORDS, PERCENT = 5, 80  # the defaults of near-duplicate operators
 DEPTH = 8  # minhashes of a collection
+ROUNDS, LEADERS = 3, 3  # how large groups are taken in; any numbers give the same classes
 MISSED = 1e-6  # the chance, at most, that a pair at the threshold shares no table
 SEED = 20_240_601
 ROWS_AT_ONCE = 512  # shingles hashed at a time: a block of them fits a core's cache
@@ -127,23 +135,59 @@ def shared_values(values: DataFrame, by: str) -> DataFrame:
     return values.join(several, ["nth", "value"], "left_semi")
 
 
+def room(sets: DataFrame, values: DataFrame, percent: int) -> DataFrame:
+    """``values`` of the sets that can link with another of ``sets``, with their ``room``: how
+    many of their shingles another one has."""
+    rows = sets.select("set_id", F.explode("shingles").alias("shingle"))
+    several = (
+        rows.groupBy("shingle")
+        .agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
+        .where("least <> most")
+        .select("shingle")
+    )
+    shared = rows.join(several, "shingle", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("room"))
+    # The union has n shingles at least.
+    return values.join(shared, "set_id").where(F.col("room") * 100 >= F.col("n") * percent)
+
+
+def as_numbers(sets: DataFrame) -> DataFrame:
+    """set_id and its shingles as an array of numbers."""
+
+    def per_batch(batch, _):
+        found = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+        lengths = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate([*found, np.zeros(0, np.int64)])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        yield [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+
+    return map_arrow(sets.select("set_id", "shingles"), per_batch, "set_id long, shingles array<long>")
+
+
 def tables(values: DataFrame, pairs_of) -> DataFrame:
-    """key, set_id, n, grp: the tables' rows of sets whose collection values are ``values``.
+    """key, set_id, n, room, grp: the tables' rows of sets whose collection values are ``values``.
 
     ``pairs_of(list)`` gives the pairs of a set's values, at most as many as collections,
     that make a key.
     """
-    lists = values.groupBy("set_id", "n", "grp").agg(
+    lists = values.groupBy("set_id", "n", "room", "grp").agg(
         F.array_sort(F.collect_list(F.struct("nth", "value"))).alias("own")
     )
-    keys = lists.where(F.size("own") > 1).select("set_id", "n", "grp", F.explode(pairs_of("own")).alias("pair"))
-    return keys.select(F.xxhash64("pair").alias("key"), "set_id", "n", "grp")
+    keys = lists.where(F.size("own") > 1).select("set_id", "n", "room", "grp", F.explode(pairs_of("own")).alias("pair"))
+    return keys.select(F.xxhash64("pair").alias("key"), "set_id", "n", "room", "grp")
+
 
+def paired_off(collections: int, shift: int):
+    """A collection of even number with an odd one, where a set has both."""
 
-def paired_off(own: str):
-    """A collection of even number with the next one, where a set has both."""
-    pairs = F.transform(own, lambda x: F.struct(x.alias("one"), F.get(F.filter(own, lambda y: y.nth == x.nth + 1), F.lit(0)).alias("other")))
-    return F.filter(pairs, lambda p: (p.one.nth % 2 == 0) & p.other.isNotNull())
+    def pairs_of(own: str) -> Column:
+        def pair(x: Column) -> Column:
+            partner = (x["nth"] + 1 + 2 * shift) % collections
+            other = F.get(F.filter(own, lambda y: y["nth"] == partner), F.lit(0))
+            return F.struct(x.alias("one"), other.alias("other"))
+
+        return F.filter(F.transform(own, pair), lambda p: (p["one"]["nth"] % 2 == 0) & p["other"].isNotNull())
+
+    return pairs_of
 
 
 def all_pairs(own: str):
@@ -154,21 +198,33 @@ def all_pairs(own: str):
     return F.flatten(pairs)
 
 
-def sizes_fit(percent: int):
-    return (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-
-
-def leader_pairs(values: DataFrame, percent: int) -> DataFrame:
-    """For every set the leader it meets most often in the first tables: a, b."""
-    rows = written(tables(shared_values(values, "set_id"), paired_off), "first-tables")
-    leaders = rows.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("first"))
+def may_link(percent: int) -> Column:
+    """Whether sizes n and m and the room of both sets leave enough for an overlap."""
+    n, m, most = F.col("n"), F.col("m"), F.least("room", "b_room")
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (most * (100 + percent) >= (n + m) * percent)
+
+
+def leader_pairs(values: DataFrame, percent: int, collections: int, turn: int) -> DataFrame:
+    """For every set the leaders of other classes that it meets most often in the tables of this
+    turn: a, b."""
+    rows = written(tables(shared_values(values, "grp"), paired_off(collections, turn)), "first-tables")
+    rank = F.xxhash64(F.lit(turn), "set_id")
+    leaders = rows.groupBy("key").agg(F.min(F.struct(rank, "set_id", "n", "room", "grp")).alias("first"))
+    first = leaders.select(
+        "key",
+        F.col("first.set_id").alias("b"),
+        F.col("first.n").alias("m"),
+        F.col("first.room").alias("b_room"),
+        F.col("first.grp").alias("b_grp"),
+    )
     met = (
-        rows.join(leaders.select("key", F.col("first.set_id").alias("b"), F.col("first.n").alias("m")), "key")
-        .where((F.col("set_id") != F.col("b")) & sizes_fit(percent))
+        rows.join(first, "key")
+        .where((F.col("grp") != F.col("b_grp")) & may_link(percent))
         .groupBy(F.col("set_id").alias("a"), "b")
         .agg(F.count(F.lit(1)).alias("met"))
     )
-    return met.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
+    most = Window.partitionBy("a").orderBy(F.desc("met"), "b")
+    return met.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= LEADERS).select("a", "b")
 
 
 def candidate_pairs(values: DataFrame, percent: int) -> DataFrame:
@@ -179,11 +235,17 @@ def candidate_pairs(values: DataFrame, percent: int) -> DataFrame:
         rows.groupBy("key").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most").select("key")
     )
     open_rows = written(rows.join(several, "key", "left_semi"), "open-tables")
-    other = open_rows.select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("grp").alias("b_grp"))
+    other = open_rows.select(
+        "key",
+        F.col("set_id").alias("b"),
+        F.col("n").alias("m"),
+        F.col("room").alias("b_room"),
+        F.col("grp").alias("b_grp"),
+    )
     return (
         open_rows.withColumnRenamed("set_id", "a")
         .join(other, "key")
-        .where((F.col("a") < F.col("b")) & (F.col("grp") != F.col("b_grp")) & sizes_fit(percent))
+        .where((F.col("a") < F.col("b")) & (F.col("grp") != F.col("b_grp")) & may_link(percent))
         .select("a", "b")
         .distinct()
     )
@@ -204,7 +266,8 @@ def classes(
         exact(text_col).alias("text"),
         F.xxhash64(exact(text_col)).alias("mark"),
     )
-    rows = written(described(read, words, depth, collections or collections_for(percent, depth)), "minhashes")
+    collections = collections or collections_for(percent, depth)
+    rows = written(described(read, words, depth, collections), "minhashes")
     values = written(
         rows.where("vals IS NOT NULL")
         .select(F.col("b").alias("set_id"), F.col("c").alias("n"), F.posexplode("vals").alias("nth", "value"))
@@ -212,16 +275,29 @@ def classes(
         "collection-values",
     )
 
+    meeting = (
+        shared_values(values, "set_id").groupBy("set_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    )
+    wanted = written(meeting.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")), "meeting-sets")
+    with staged(sets_of(read, rows, wanted, words), "sets") as copies:
+        # Tasks that read the same set each send it once.
+        sets = written(copies.groupBy("set_id").agg(F.first("shingles").alias("shingles")), "sets")
+    able = written(room(as_numbers(sets), values, percent), "able")
+
     def links(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "pairs")
-        with staged(sets_of(read, rows, pairs, words), "sets") as sets:
-            return written(verified(pairs, sets, percent), "links")
+        return written(verified(written(pairs, "pairs"), sets, percent), "links")
+
+    def classed(found: DataFrame) -> DataFrame:
+        named = components(found).select(F.col("node").alias("set_id"), F.col("label").alias("grp"))
+        return able.join(named, "set_id", "left").withColumn("grp", F.coalesce("grp", "set_id"))
 
-    first = links(leader_pairs(values.withColumn("grp", F.col("set_id")), percent))
-    named = components(first).select(F.col("node").alias("set_id"), F.col("label").alias("grp"))
-    grouped = values.join(named, "set_id", "left").withColumn("grp", F.coalesce("grp", "set_id"))
+    grouped, found = able.withColumn("grp", F.col("set_id")), None
+    for turn in range(ROUNDS):
+        new = links(leader_pairs(grouped, percent, collections, turn))
+        found = new if found is None else found.unionAll(new)
+        grouped = classed(found)
     more = links(candidate_pairs(grouped, percent))
-    labels = components(first.unionAll(more)).withColumnRenamed("node", "set_id")
+    labels = components(found.unionAll(more)).withColumnRenamed("node", "set_id")
 
     own = rows.select(F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("n_shingles"))
     least_of_set = own.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
