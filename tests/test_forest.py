@@ -153,6 +153,25 @@ def test_fitting_rows_are_spread_over_the_cores(spark, catalogue):
     assert max(sizes) < 3 * catalogue.count() / len(sizes)
 
 
+def test_trees_grown_in_parts_make_one_forest(spark, catalogue, tmp_path):
+    frame = training.split_rows(catalogue, training.COMPACT)
+    rows = splits.add_class_weights(frame, splits.class_weights(frame)).persist()
+    grown = [
+        forest.fit_in_parts(model.compact_pipeline(numTrees=7, maxDepth=3), rows.repartition(n), str(tmp_path / f"p{n}"), 3)
+        for n in (2, 5)
+    ]
+    for fitted in grown:
+        assert fitted.stages[-1].getNumTrees == 7 and fitted.stages[-1].numClasses == 3
+        assert sum(fitted.stages[-1].featureImportances.toArray()) == pytest.approx(1)
+    # The same trees whatever the layout of the rows; they differ from part to part.
+    text = [f.stages[-1].toDebugString.split("\n", 1)[1] for f in grown]
+    assert text[0] == text[1]
+    trees = text[0].split("Tree ")[1:]
+    assert len(trees) == 7 and len({t.split("\n", 1)[1] for t in trees}) > 4
+    found = [sorted(r[0] for r in f.transform(rows).select("prediction").collect()) for f in grown]
+    assert found[0] == found[1] and len(found[0]) == catalogue.count()
+
+
 # ------------------------------------------------------------------ stored models
 
 

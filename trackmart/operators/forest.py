@@ -56,24 +56,23 @@ def nodes_of(model: PipelineModel, path: str) -> DataFrame:
     return nodes.drop("categories")
 
 
-def combined(models: Sequence[RandomForestClassificationModel], path: str) -> RandomForestClassificationModel:
-    """One forest of all trees of ``models``, put together from their stored tables under ``path``."""
+def combined(parts: Sequence[str], path: str) -> RandomForestClassificationModel:
+    """One forest of all trees of the forests stored at ``parts``, put together at ``path``."""
     spark = SparkSession.active()
     data, trees, before = [], [], 0
-    for n, model in enumerate(models):
-        model.write().save(f"{path}/part-{n}")
+    for part in parts:
+        facts = json.loads(spark.read.text(f"{part}/metadata").first()[0])
         for found, name in ((data, "data"), (trees, "treesMetadata")):
-            part = spark.read.parquet(f"{path}/part-{n}/{name}")
-            tree = part.columns[0]  # its number within the part
-            found.append(part.withColumn(tree, F.col(tree) + F.lit(before)))
-        before += model.getNumTrees
+            rows = spark.read.parquet(f"{part}/{name}")
+            tree = rows.columns[0]  # its number within the part
+            found.append(rows.withColumn(tree, F.col(tree) + F.lit(before)))
+        before += facts["numTrees"]
     for found, name in ((data, "data"), (trees, "treesMetadata")):
-        functools.reduce(DataFrame.unionByName, found).write.parquet(f"{path}/forest/{name}")
-    facts = json.loads(spark.read.text(f"{path}/part-0/metadata").first()[0])
+        functools.reduce(DataFrame.unionByName, found).write.parquet(f"{path}/{name}")
     facts["numTrees"] = facts["paramMap"]["numTrees"] = before
     text = spark.createDataFrame([(json.dumps(facts),)], "value string")
-    text.coalesce(1).write.text(f"{path}/forest/metadata")
-    return RandomForestClassificationModel.load(f"{path}/forest")
+    text.coalesce(1).write.text(f"{path}/metadata")
+    return RandomForestClassificationModel.load(path)
 
 
 def fit_in_parts(pipeline: Pipeline, rows: DataFrame, path: str, parts: int, key: str = "track_id") -> PipelineModel:
@@ -94,13 +93,15 @@ def fit_in_parts(pipeline: Pipeline, rows: DataFrame, path: str, parts: int, key
         # The same order at every run: bags are drawn row by row.
         dealt = ready.repartition(tasks, key).sortWithinPartitions(key, *inputs[::2])
 
-        def grow(n: int) -> RandomForestClassificationModel:
+        def grow(n: int) -> str:
             share = trees // parts + (n < trees % parts)
-            return forest.copy({forest.numTrees: share, forest.seed: forest.getSeed() + n}).fit(dealt)
+            grown = forest.copy({forest.numTrees: share, forest.seed: forest.getSeed() + n}).fit(dealt)
+            grown.write().save(f"{path}/part-{n}")
+            return f"{path}/part-{n}"
 
         with ThreadPoolExecutor(parts) as pool:
-            models = list(pool.map(grow, range(parts)))
-    return PipelineModel([*prepared.stages, combined(models, path)])
+            stored = list(pool.map(grow, range(parts)))
+    return PipelineModel([*prepared.stages, combined(stored, f"{path}/forest")])
 
 
 def structure(spark: SparkSession, splits: Sequence[tuple], classes: int) -> DataFrame:

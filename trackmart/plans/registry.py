@@ -44,7 +44,7 @@ DIGITS = 6
 ROW_ID = ["track_id", "tb1", "tb2", "tb3"]
 MIN_ROWS = 1_000
 # Rows the forests are fitted on; their settings are the library's own.
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 
 
 def query(build: Query, name: str | None = None) -> Query:
@@ -596,8 +596,7 @@ def classification_metrics(cleaned):
 def _trained(spark: SparkSession, folder: str, kind: str) -> training.Trained:
     """The model of a folder, fitted once for the queries that need it."""
     tracks = samples.tracks_cleaned(spark, folder)
-    # More node statistics at a time mean fewer passes; the trees are the same.
-    return training.train_model(tracks, kind, max_label_rows=FIT_ROWS, maxMemoryInMB=1024)
+    return training.train_model(tracks, kind, max_label_rows=FIT_ROWS)
 
 
 def _tier_summary(result: training.Trained) -> DataFrame:
