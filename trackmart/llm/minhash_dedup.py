@@ -11,8 +11,9 @@ the threshold is missed with a chance of ``MISSED`` at most (54 for 0.85, 92 for
 1. *Values.* Texts are read once for shingles, minhashes and collection values. Sets that
    agree with others in two collections or more are fetched, in a second reading.
 2. *Room.* Shingles that no other fetched set has are in no overlap. A set that has too many
-   of them links with none, and the others carry what is left, which bounds the overlap of
-   any pair. That settles most of a group whose members are alike, but not alike enough.
+   of them links with none. What the others have left, counted by ``PARTS`` classes of shingles,
+   bounds the overlap of any pair: the sum of the lesser counts. That settles most of a group
+   whose members are alike, but not alike enough.
 3. *First tables.* The collections are paired off, each even one with an odd one. In each
    table one set of a key is its leader. A set is checked exactly against the ``LEADERS`` of
    other classes that it meets most often, and verified links make classes. ``ROUNDS`` such
@@ -38,6 +39,8 @@ Rules
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -52,6 +55,7 @@ from trackmart.session import staged
 
 WORDS, PERCENT = 5, 80  # the defaults of near-duplicate operators
 DEPTH = 8  # minhashes of a collection
+PARTS = 32  # classes of shingles that overlaps are bounded by
 ROUNDS, LEADERS = 3, 3  # how large groups are taken in; any numbers give the same classes
 MISSED = 1e-6  # the chance, at most, that a pair at the threshold shares no table
 SEED = 20_240_601
@@ -135,9 +139,10 @@ def shared_values(values: DataFrame, by: str) -> DataFrame:
     return values.join(several, ["nth", "value"], "left_semi")
 
 
-def room(sets: DataFrame, values: DataFrame, percent: int) -> DataFrame:
-    """``values`` of the sets that can link with another of ``sets``, with their ``room``: how
-    many of their shingles another one has."""
+def rooms(sets: DataFrame) -> DataFrame:
+    """set_id, room: how many shingles of a set another one of ``sets`` has; and parts: the same
+    for each of ``PARTS`` classes of shingles. Two sets have no more in common than the sum of
+    the lesser parts."""
     rows = sets.select("set_id", F.explode("shingles").alias("shingle"))
     several = (
         rows.groupBy("shingle")
@@ -145,9 +150,10 @@ def room(sets: DataFrame, values: DataFrame, percent: int) -> DataFrame:
         .where("least <> most")
         .select("shingle")
     )
-    shared = rows.join(several, "shingle", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("room"))
-    # The union has n shingles at least.
-    return values.join(shared, "set_id").where(F.col("room") * 100 >= F.col("n") * percent)
+    part = F.pmod(F.col("shingle"), F.lit(PARTS))
+    counts = [F.count_if(part == k).cast("int").alias(f"part{k}") for k in range(PARTS)]
+    shared = rows.join(several, "shingle", "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("room"), *counts)
+    return shared.select("set_id", "room", F.array(*[f"part{k}" for k in range(PARTS)]).alias("parts"))
 
 
 def as_numbers(sets: DataFrame) -> DataFrame:
@@ -227,25 +233,31 @@ def leader_pairs(values: DataFrame, percent: int, collections: int, turn: int) -
     return met.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= LEADERS).select("a", "b")
 
 
-def candidate_pairs(values: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different classes that meet in a table: a, b."""
+def candidate_pairs(values: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different classes that meet in a table: a, b. ``found`` are their rooms."""
     unsettled = written(shared_values(values, "grp"), "unsettled")
     rows = written(tables(unsettled, all_pairs), "tables")
     several = (
         rows.groupBy("key").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most").select("key")
     )
-    open_rows = written(rows.join(several, "key", "left_semi"), "open-tables")
+    open_rows = rows.join(several, "key", "left_semi").join(found.select("set_id", "parts"), "set_id")
+    open_rows = written(open_rows, "open-tables")
+    # Spelled out, as the sum is compiled then.
+    lesser = [F.least(F.get("parts", F.lit(k)), F.get("b_parts", F.lit(k))) for k in range(PARTS)]
+    overlap = functools.reduce(Column.__add__, lesser)
+    enough = overlap * (100 + percent) >= (F.col("n") + F.col("m")) * percent
     other = open_rows.select(
         "key",
         F.col("set_id").alias("b"),
         F.col("n").alias("m"),
         F.col("room").alias("b_room"),
         F.col("grp").alias("b_grp"),
+        F.col("parts").alias("b_parts"),
     )
     return (
         open_rows.withColumnRenamed("set_id", "a")
         .join(other, "key")
-        .where((F.col("a") < F.col("b")) & (F.col("grp") != F.col("b_grp")) & may_link(percent))
+        .where((F.col("a") < F.col("b")) & (F.col("grp") != F.col("b_grp")) & may_link(percent) & enough)
         .select("a", "b")
         .distinct()
     )
@@ -282,7 +294,10 @@ def classes(
     with staged(sets_of(read, rows, wanted, words), "sets") as copies:
         # Tasks that read the same set each send it once.
         sets = written(copies.groupBy("set_id").agg(F.first("shingles").alias("shingles")), "sets")
-    able = written(room(as_numbers(sets), values, percent), "able")
+    known = written(rooms(as_numbers(sets)), "rooms")
+    # The union of two sets has n shingles at least.
+    roomy = F.col("room") * 100 >= F.col("n") * percent
+    able = written(values.join(known.select("set_id", "room"), "set_id").where(roomy), "able")
 
     def links(pairs: DataFrame) -> DataFrame:
         return written(verified(written(pairs, "pairs"), sets, percent), "links")
@@ -296,7 +311,7 @@ def classes(
         new = links(leader_pairs(grouped, percent, collections, turn))
         found = new if found is None else found.unionAll(new)
         grouped = classed(found)
-    more = links(candidate_pairs(grouped, percent))
+    more = links(candidate_pairs(grouped, known, percent))
     labels = components(found.unionAll(more)).withColumnRenamed("node", "set_id")
 
     own = rows.select(F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("n_shingles"))
