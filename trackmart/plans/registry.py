@@ -603,11 +603,13 @@ def _tier_summary(result: training.Trained) -> DataFrame:
     tier = "popularity_tier"
     trained = result.train.groupBy(tier).agg(F.count(F.lit(1)).alias("train_rows"))
     known = F.col("prediction").isin([float(n) for n in range(len(S.TIERS))])
-    tested = result.predictions.groupBy(tier).agg(
+    # The trees see every test row once.
+    predictions = materialize(result.predictions.select(tier, "label", "prediction"), "predictions")
+    tested = predictions.groupBy(tier).agg(
         F.count(F.lit(1)).alias("test_rows"), F.count_if(known).alias("scored_rows")
     )
     weights = result.weights.select(tier, round_exact(F.col("class_weight"), DIGITS).alias("class_weight"))
-    metrics = evaluation.classification_metrics(result.predictions).first()
+    metrics = evaluation.classification_metrics(predictions).first()
     sound = all(0 < m <= 1 for m in metrics) and metrics["accuracy"] == metrics["weighted_recall"]
     joined = trained.join(tested, tier, "full").join(weights, tier, "full")
     return joined.withColumn("metrics_sound", F.lit(sound))
