@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from itertools import chain
 
@@ -80,6 +81,14 @@ def sliced(batch: pa.RecordBatch, budget: int = 4 << 20):
         yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: workers live on, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame,
     per_batch: Callable,
@@ -97,6 +106,13 @@ def map_arrow(
 
     def run(batches):
         state = setup() if setup else None
+        try:
+            yield from arranged(batches, state)
+        finally:
+            state = None
+            give_back()
+
+    def arranged(batches, state):
         found = (c for batch in batches for own in sliced(batch) for c in per_batch(own, state))
         for columns in chain(found, at_end(state) if at_end else ()):
             arrays = [
