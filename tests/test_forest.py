@@ -215,3 +215,12 @@ def test_a_model_that_is_not_as_signed_is_refused(spark, catalogue, tmp_path):
         row.coalesce(1).write.mode("overwrite").text(str(folder))
         with pytest.raises(training.ModelMismatch, match=next(iter(change))):
             training.load_model(root)
+
+
+def test_batch_scores_are_the_model_s_to_the_last_bit(fitted, catalogue):
+    rows = features.training_rows(catalogue)
+    columns = [vector_to_array("probability").alias("p"), "prediction"]
+    ours, theirs = forest.model_scores(fitted.model, rows), fitted.model.transform(rows)
+    assert "MapInArrow" in ours._jdf.queryExecution().executedPlan().toString()
+    assert sorted(ours.select("track_id", *columns).collect()) == sorted(theirs.select("track_id", *columns).collect())
+    assert "MapInArrow" in fitted.predictions._jdf.queryExecution().executedPlan().toString()
