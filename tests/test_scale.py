@@ -133,3 +133,9 @@ def test_salted_join_spreads_a_hot_key(large_tables, hot):
         assert max(r["count"] for r in sizes) < 3000 / 3
     finally:
         spark.conf.set(key, "true")
+
+
+def test_copies_of_a_track_are_ranked_where_the_last_join_left_them(large_tables):
+    text = plan(samples.tracks_cleaned(large_tables, FOLDER))
+    assert text.count("Exchange hashpartitioning") == 6  # two a join
+    assert text.count("Exchange hashpartitioning(l_") == 2  # lines by part and by order
