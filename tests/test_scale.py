@@ -139,3 +139,8 @@ def test_copies_of_a_track_are_ranked_where_the_last_join_left_them(large_tables
     text = plan(samples.tracks_cleaned(large_tables, FOLDER))
     assert text.count("Exchange hashpartitioning") == 6  # two a join
     assert text.count("Exchange hashpartitioning(l_") == 2  # lines by part and by order
+
+
+def test_csv_files_are_as_many_as_the_tasks_that_hold_the_rows(spark):
+    raw = samples.tracks_raw(spark, FOLDER).repartition(12)
+    assert len(registry.csv_roundtrip(raw).inputFiles()) == 12

@@ -87,7 +87,7 @@ def csv_roundtrip(raw):
     """Raw tracks through CSV files whose first header field is blank."""
     path = scratch_path(raw.sparkSession, "tracks-csv")
     numbered = raw.drop(*samples.TIE_BREAKERS).select(F.lit(0).alias(""), "*")
-    numbered.repartition(4).write.options(header=True, escape='"').csv(path)
+    numbered.write.options(header=True, escape='"').csv(path)
     return read_tracks_csv(raw.sparkSession, path)
 
 
