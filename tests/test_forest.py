@@ -224,3 +224,23 @@ def test_batch_scores_are_the_model_s_to_the_last_bit(fitted, catalogue):
     assert "MapInArrow" in ours._jdf.queryExecution().executedPlan().toString()
     assert sorted(ours.select("track_id", *columns).collect()) == sorted(theirs.select("track_id", *columns).collect())
     assert "MapInArrow" in fitted.predictions._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spelled_out_trees_do_what_walked_ones_do(spark, catalogue, nodes, fitted, monkeypatch):
+    names = evaluation.feature_names(fitted.model)
+    vector = vector_to_array("features")
+    rows = fitted.predictions.select("track_id", "popularity_tier", *[vector[i].alias(c) for i, c in enumerate(names)])
+    holes = {names[0]: F.lit(None).cast("double"), names[1]: F.lit(float("nan"))}
+    rows = rows.unionByName(rows.withColumns(holes))
+
+    def found():
+        shares = rows.select("track_id", forest.leaf_shares(nodes, names, 3).alias("shares"))
+        counts = forest.visits(nodes, rows, names, "popularity_tier")
+        return shares, counts
+
+    monkeypatch.setattr(forest, "MOST_SPELLED_OUT", 10_000)
+    ours = found()
+    assert not any("lambda" in f._jdf.queryExecution().executedPlan().toString() for f in ours)
+    monkeypatch.setattr(forest, "MOST_SPELLED_OUT", 0)
+    for a, b in zip(ours, found()):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 import json
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -35,6 +35,7 @@ from trackmart.session import scratch_path, staged
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MOST_NODES = 500_000  # about 50 MB in every task
+MOST_SPELLED_OUT = 200  # nodes: larger forests are walked, with the same results
 NODES = (
     "tree int, node int, feature int, threshold double, below int, above int, weights array<double>"
 )
@@ -244,24 +245,76 @@ def _next(node: Column, values: Column) -> Column:
     return F.when(F.get(values, node["feature"]) <= node["threshold"], node["below"]).otherwise(node["above"])
 
 
+def _whole(nodes: DataFrame) -> list[dict[int, tuple]] | None:
+    """The trees, node by number, where they are small enough to be one expression."""
+    found = nodes.orderBy(*NODE).limit(MOST_SPELLED_OUT + 1).collect()
+    if len(found) > MOST_SPELLED_OUT:
+        return None
+    trees: dict[int, dict[int, tuple]] = {}
+    for r in found:
+        trees.setdefault(r["tree"], {})[r["node"]] = r
+    return list(trees.values())
+
+
+def _spelled_out(tree: dict[int, tuple], columns: Sequence[str], ends: Callable[[list[tuple]], Column]) -> Column:
+    """A tree as nested conditions, which compile to plain code; ``ends`` of the nodes on the
+    way to the leaf. NaN and null are above every threshold."""
+
+    def at(node: int, way: list[tuple]) -> Column:
+        own = tree[node]
+        way = [*way, own]
+        if own["feature"] is None:
+            return ends(way)
+        is_below = F.col(columns[own["feature"]]).cast("double") <= F.lit(own["threshold"])
+        return F.when(is_below, at(own["below"], way)).otherwise(at(own["above"], way))
+
+    return at(0, [])
+
+
 def leaf_shares(nodes: DataFrame, columns: Sequence[str], classes: int) -> Column:
     """Class shares of a row: the sum over trees of those of its leaf, divided by their total.
     Where all its leaves are empty every share is 0."""
     trees, steps = walkable(nodes)
+    if (whole := _whole(nodes)) is not None:
+        return _spelled_out_shares(whole, columns, classes)
     values = _inputs(columns)
+    zero = F.array(*[F.lit(0.0)] * classes)
 
-    def leaf(tree: Column) -> Column:
-        def step(at: Column, _: Column) -> Column:
-            node = F.get(tree["nodes"], at)
-            return F.when(node["feature"].isNull(), at).otherwise(_next(node, values))
+    def votes(inputs: Column) -> Column:
+        def leaf(tree: Column) -> Column:
+            def step(at: Column, _: Column) -> Column:
+                node = F.get(tree["nodes"], at)
+                return F.when(node["feature"].isNull(), at).otherwise(_next(node, inputs))
 
-        at = F.aggregate(F.sequence(F.lit(1), F.lit(max(steps, 1))), F.lit(0), step)
-        return F.get(tree["nodes"], at)["shares"]
+            at = F.aggregate(F.sequence(F.lit(1), F.lit(max(steps, 1))), F.lit(0), step)
+            return F.get(tree["nodes"], at)["shares"]
 
-    zero = F.array(*[F.lit(0.0)] * classes)
-    added = F.aggregate(trees, zero, lambda sums, tree: F.zip_with(sums, leaf(tree), lambda a, b: a + b))
-    total = F.aggregate(added, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(added, lambda s: F.when(total > 0, s / total).otherwise(0.0))
+        return F.aggregate(trees, zero, lambda sums, tree: F.zip_with(sums, leaf(tree), lambda a, b: a + b))
+
+    def divided(added: Column) -> Column:
+        total = F.aggregate(added, F.lit(0.0), lambda a, b: a + b)
+        return F.transform(added, lambda s: F.when(total > 0, s / total).otherwise(0.0))
+
+    # As variables of a lambda, inputs and votes are evaluated once a row.
+    return _bound(_bound(values, votes), divided)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _spelled_out_shares(trees: list[dict[int, tuple]], columns: Sequence[str], classes: int) -> Column:
+    def shares(way: list[tuple]) -> Column:
+        weights = way[-1]["weights"]
+        total = functools.reduce(float.__add__, weights, 0.0)
+        return F.array(*[F.lit(w / total if total > 0 else 0.0) for w in weights])
+
+    leaves = [_spelled_out(tree, columns, shares) for tree in trees]
+    added = [
+        functools.reduce(Column.__add__, [F.get(leaf, F.lit(n)) for leaf in leaves], F.lit(0.0)) for n in range(classes)
+    ]
+    total = functools.reduce(Column.__add__, added, F.lit(0.0))
+    return F.array(*[F.when(total > 0, a / total).otherwise(0.0) for a in added])
 
 
 def visits(nodes: DataFrame, rows: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -270,22 +323,47 @@ def visits(nodes: DataFrame, rows: DataFrame, columns: Sequence[str], label: str
     Counts combine map-side, so at most nodes times labels rows leave a task.
     """
     trees, steps = walkable(nodes)
+    if (whole := _whole(nodes)) is not None:
+        return _spelled_out_visits(whole, rows, columns, label)
     values = _inputs(columns)
 
     def path(tree: Column) -> Column:
         def step(so_far: Column, _: Column) -> Column:
             node = F.get(tree["nodes"], F.element_at(so_far, -1))
-            further = F.concat(so_far, F.array(_next(node, values)))
+            further = F.concat(so_far, F.array(_next(node, F.col("inputs"))))
             return F.when(node["feature"].isNull(), so_far).otherwise(further)
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(max(steps, 1))), F.array(F.lit(0)), step)
 
     paths = F.transform(trees, lambda t: F.struct(t["tree"].alias("tree"), path(t).alias("path")))
-    walked = rows.select(F.col(label).alias("label"), F.explode(paths).alias("walk"))
+    walked = rows.select(F.col(label).alias("label"), values.alias("inputs"))
+    walked = walked.select("label", F.explode(paths).alias("walk"))
     spread = walked.select("walk.tree", F.explode("walk.path").alias("node"), "label")
     return spread.groupBy("tree", "node", "label").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _spelled_out_visits(
+    trees: list[dict[int, tuple]], rows: DataFrame, columns: Sequence[str], label: str
+) -> DataFrame:
+    """Rows are counted by label and leaf; the few counts then spread over the way to the leaf."""
+    leaf = [F.struct(F.lit(t[0]["tree"]).alias("tree"), _spelled_out(t, columns, lambda way: F.lit(way[-1]["node"])).alias("leaf")) for t in trees]
+    ended = rows.select(F.col(label).alias("label"), F.inline(F.array(*leaf)))
+    counted = ended.groupBy("tree", "leaf", "label").agg(F.count(F.lit(1)).alias("row_count"))
+
+    def ways(tree: dict[int, tuple], node: int = 0, before: tuple = ()) -> Iterator[tuple]:
+        own, way = tree[node], (*before, node)
+        if own["feature"] is None:
+            yield own["tree"], node, list(way)
+        else:
+            yield from ways(tree, own["below"], way)
+            yield from ways(tree, own["above"], way)
+
+    spark = rows.sparkSession
+    every = spark.createDataFrame([w for t in trees for w in ways(t)], "tree int, leaf int, way array<int>")
+    spread = counted.join(every, ["tree", "leaf"]).select("tree", F.explode("way").alias("node"), "label", "row_count")
+    return spread.groupBy("tree", "node", "label").agg(F.sum("row_count").alias("row_count"))
+
+
 def refit(
     nodes: DataFrame,
     rows: DataFrame,
