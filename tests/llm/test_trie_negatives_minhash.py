@@ -305,3 +305,42 @@ def test_collections_agree_as_often_as_the_similarity_says():
 def test_collections_a_threshold_needs():
     assert minhash_dedup.collections_for(85) == 54
     assert minhash_dedup.missed(0.85, 8, 54) <= 1e-6 < minhash_dedup.missed(0.85, 8, 52)
+
+
+def test_a_class_has_one_row_a_key_however_many_sets_it_has(spark):
+    schema = "set_id long, n long, room long, grp long, nth int, value long"
+
+    def keys(members):
+        rows = [(m, 10, 10, 1, nth, nth) for m in range(1, members + 1) for nth in range(6)]
+        rows += [(1000, 10, 10, 1000, nth, nth) for nth in range(4)]
+        return minhash_dedup.class_keys(spark.createDataFrame(rows, schema)).count()
+
+    assert keys(2) == keys(40) == 2 * math.comb(4, 2)
+
+
+def test_candidates_are_the_pairs_that_meet_and_have_room(spark):
+    rng = random.Random(3)
+    percent, parts = 80, minhash_dedup.PARTS
+    sets = {}
+    for name in range(60):
+        counts = [rng.choice([2, 3, 3, 3]) for _ in range(parts)]
+        values = [rng.choice([0, 0, nth, name]) for nth in range(6)]
+        sets[name] = (sum(counts) + rng.randrange(12), sum(counts), rng.choice([name, -1, -2]), counts, values)
+    rows = [(a, n, room, grp, nth, v) for a, (n, room, grp, _, own) in sets.items() for nth, v in enumerate(own)]
+    values = spark.createDataFrame(rows, "set_id long, n long, room long, grp long, nth int, value long")
+    found = spark.createDataFrame([(a, x[3]) for a, x in sets.items()], "set_id long, parts array<int>")
+
+    def candidate(x, y):
+        (n, room, grp, one, own), (m, b_room, g, other, theirs) = x, y
+        least = min(room, b_room, sum(map(min, one, other)))
+        return (
+            grp != g
+            and sum(map(int.__eq__, own, theirs)) > 1
+            and min(n, m) * 100 >= max(n, m) * percent
+            and least * (100 + percent) >= (n + m) * percent
+        )
+
+    expected = {(a, b) for a in sets for b in range(a) if candidate(sets[a], sets[b])}
+    got = [tuple(sorted(r, reverse=True)) for r in minhash_dedup.candidate_pairs(values, found, percent).collect()]
+    assert len(got) == len(set(got)) and 0 < len(expected) < 1000
+    assert set(got) == expected

@@ -20,9 +20,10 @@ the threshold is missed with a chance of ``MISSED`` at most (54 for 0.85, 92 for
    rounds, with other pairs and other leaders, take in large groups of near copies with a few
    pairs for each member.
 4. *All tables.* A collection's value that only one class has leads nowhere. Sets with two
-   other values or more go to the tables of these; the keys that several classes have give
-   the candidates, each pair of sets of different classes once, unless their sizes and room
-   rule it out.
+   other values or more go to the tables of these, where a class has one row for each key of
+   its sets. Classes that share a key are opened, unless the sizes, room and parts of their
+   sets rule a link out. Sets of two opened classes that agree in two collections, hence share
+   a key, are the candidates, each pair once, unless their own sizes, room and parts rule it out.
 5. *Confirmation.* Candidates are counted out on full sets. Links of both steps make the
    classes; copies of a set are one node throughout.
 
@@ -233,33 +234,84 @@ def leader_pairs(values: DataFrame, percent: int, collections: int, turn: int) -
     return met.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= LEADERS).select("a", "b")
 
 
-def candidate_pairs(values: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different classes that meet in a table: a, b. ``found`` are their rooms."""
-    unsettled = written(shared_values(values, "grp"), "unsettled")
-    rows = written(tables(unsettled, all_pairs), "tables")
+def enough_parts(n: Column, m: Column, percent: int) -> Column:
+    """Whether the classes of shingles of ``parts`` and ``b_parts`` leave enough for an overlap of
+    sets of sizes n and m."""
+    # Spelled out, as the sum is compiled then.
+    lesser = [F.least(F.get("parts", F.lit(k)), F.get("b_parts", F.lit(k))) for k in range(PARTS)]
+    return functools.reduce(Column.__add__, lesser) * (100 + percent) >= (n + m) * percent
+
+
+def class_keys(unsettled: DataFrame) -> DataFrame:
+    """key, grp: the keys of the tables that several classes have, once for each of these. A class
+    has few keys more than a set, however many sets it has."""
+    rows = written(tables(unsettled, all_pairs).select("key", "grp").distinct(), "tables")
     several = (
         rows.groupBy("key").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most").select("key")
     )
-    open_rows = rows.join(several, "key", "left_semi").join(found.select("set_id", "parts"), "set_id")
-    open_rows = written(open_rows, "open-tables")
-    # Spelled out, as the sum is compiled then.
-    lesser = [F.least(F.get("parts", F.lit(k)), F.get("b_parts", F.lit(k))) for k in range(PARTS)]
-    overlap = functools.reduce(Column.__add__, lesser)
-    enough = overlap * (100 + percent) >= (F.col("n") + F.col("m")) * percent
-    other = open_rows.select(
+    return rows.join(several, "key", "left_semi")
+
+
+def open_classes(unsettled: DataFrame, open_sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes, the smaller first, that meet in a table and whose sizes, rooms and parts
+    leave room for a link: grp, g."""
+    groups = open_sets.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.max("room").alias("room"),
+        F.array(*[F.max(F.get("parts", F.lit(k))) for k in range(PARTS)]).alias("parts"),
+    )
+    rows = written(class_keys(unsettled).join(groups, "grp"), "open-tables")
+    other = rows.select(
         "key",
+        F.col("grp").alias("g"),
+        F.col("members").alias("g_members"),
+        F.col("least").alias("g_least"),
+        F.col("most").alias("g_most"),
+        F.col("room").alias("b_room"),
+        F.col("parts").alias("b_parts"),
+    )
+    least, g_least = F.col("least"), F.col("g_least")
+    sizes = (F.col("most") * 100 >= g_least * percent) & (F.col("g_most") * 100 >= least * percent)
+    room = F.least("room", "b_room") * (100 + percent) >= (least + g_least) * percent
+    return (
+        rows.join(other, "key")
+        .where(F.struct("members", "grp") < F.struct("g_members", "g"))
+        .where(sizes & room & enough_parts(least, g_least, percent))
+        .select("grp", "g")
+        .distinct()
+    )
+
+
+def candidate_pairs(values: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different classes that meet in a table: a, b. ``found`` are their rooms.
+
+    Classes meet first, and only members of those that may link are compared, by the
+    collections in which they agree: two at least, as in a table.
+    """
+    unsettled = written(shared_values(values, "grp"), "unsettled")
+    several = unsettled.groupBy("set_id", "n", "room", "grp").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    open_sets = written(several.drop("times").join(found.select("set_id", "parts"), "set_id"), "open-sets")
+    opened = written(open_classes(unsettled, open_sets, percent), "open-classes")
+    rows = unsettled.select("set_id", "nth", "value").join(open_sets, "set_id")
+    queries = rows.withColumnRenamed("set_id", "a").join(opened, "grp").drop("grp")
+    members = rows.select(
+        "nth",
+        "value",
         F.col("set_id").alias("b"),
         F.col("n").alias("m"),
         F.col("room").alias("b_room"),
-        F.col("grp").alias("b_grp"),
+        F.col("grp").alias("g"),
         F.col("parts").alias("b_parts"),
     )
     return (
-        open_rows.withColumnRenamed("set_id", "a")
-        .join(other, "key")
-        .where((F.col("a") < F.col("b")) & (F.col("grp") != F.col("b_grp")) & may_link(percent) & enough)
+        queries.join(members, ["g", "nth", "value"])
+        .where(may_link(percent) & enough_parts(F.col("n"), F.col("m"), percent))
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("agree"))
+        .where("agree > 1")
         .select("a", "b")
-        .distinct()
     )
 
 
