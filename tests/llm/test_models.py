@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -84,6 +85,24 @@ def test_code_switched_text_has_both_languages(spark, language_model):
     assert shares["fr"] > 0.2 and shares["en"] > 0.2 and shares["de"] < 0.1
 
 
+def test_labelling_holds_a_small_portion_of_texts_at_a_time():
+    rng = np.random.default_rng(8)
+    weights = rng.normal(size=(language.BUCKETS, 4))
+    model = language.Model([*"abcd"], weights, rng.normal(size=(4, 4)))
+    words = language.BatchTable(lambda new: language.emissions(new, weights), 5)
+    text = b" ".join(b"w%s" % bytes(rng.integers(97, 123, 2, np.uint8)) for _ in range(1000))
+    texts = [text] * (2_000_000 // len(text))
+    expected = list(language._labels(texts[:1], words, model))
+    tracemalloc.start()
+    try:
+        found = list(language._labels(texts, words, model))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == expected * len(texts)
+    assert most < 60 << 20
+
+
 def test_language_edges(spark, language_model):
     got = {r.doc_id: r for r in language.predict(hard(spark), language_model).collect()}
     for doc_id in (1, 2, 3, 13, 16):

@@ -52,6 +52,7 @@ DOCS_PER_LANGUAGE, SHORT = 150, 4_000
 BUCKETS = 1 << 16
 TRAIN_LENGTH, TRAIN_RUN = 64, 16  # words in a training sequence, words between switches
 BLOCK = 64
+PORTION, WORDS_KEPT = 1 << 18, 100_000  # bytes labelled at a time, words a task keeps the scores of
 STEPS, RATE, PENALTY = 60, 0.5, 1e-6
 UNKNOWN = "und"
 EDGES = ".,;:!?\"'()[]{}|*#$%&/<>=+-_0123456789"
@@ -254,7 +255,7 @@ def _expectations(factors, moves, mask, uniform):
 def _labels(batch_texts: list[bytes], words: BatchTable, model: Model):
     """Language, score, mean probabilities and certainty of each text."""
     languages = model.languages
-    for a, b in portions(batch_texts):
+    for a, b in portions(batch_texts, PORTION):
         words.trim()
         split = [t.split() if languages else [] for t in batch_texts[a:b]]
         lengths = np.array([len(s) for s in split], np.int64)
@@ -281,7 +282,7 @@ def _with_labels(docs: DataFrame, text_col: str, model: Model, schema, arrange)
 
     def setup():
         weights = sent.value.weights
-        return BatchTable(lambda new: emissions(new, weights), weights.shape[1] + 1)
+        return BatchTable(lambda new: emissions(new, weights), weights.shape[1] + 1, WORDS_KEPT)
 
     def per_batch(batch, words):
         labels = list(_labels(utf8(batch.column(text)), words, sent.value))
