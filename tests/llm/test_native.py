@@ -122,6 +122,27 @@ def test_mixed_repeats_whole_documents_in_order(spark):
             assert n <= 2 and abs(n * plan[doc_id].size - plan[doc_id].taken) <= plan[doc_id].size
 
 
+def test_plan_is_in_training_order(spark):
+    places = [r.position for r in mixing.source_plan(hard(spark)).collect()]
+    assert None in places and places == sorted(places, key=lambda p: (p is None, p))
+
+
+def test_every_pass_has_its_place_in_training_order(spark):
+    docs = hard(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).localCheckpoint()
+    plan = {r.doc_id: r for r in mixing.source_plan(docs).collect()}
+    passes = mixing.training_order(docs).collect()
+    assert [r.position for r in passes] == sorted(r.position for r in passes)
+    by_doc = {}
+    for r in passes:
+        by_doc.setdefault(r.doc_id, {})[r["pass"]] = r
+    assert any(len(own) == 2 for own in by_doc.values())
+    assert set(by_doc) == {d for d, r in plan.items() if r.taken}
+    for doc_id, own in by_doc.items():
+        assert sum(r.words for r in own.values()) == plan[doc_id].taken
+        assert own[0].position == plan[doc_id].position
+        assert 1 not in own or own[0].position < own[1].position <= 1
+
+
 def luhn(digits):
     values = [int(c) * 2 - 9 * (int(c) > 4) if n % 2 else int(c) for n, c in enumerate(reversed(digits))]
     return sum(values) % 10 == 0

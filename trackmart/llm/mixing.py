@@ -114,6 +114,31 @@ def source_offsets(sized: DataFrame, digits: int) -> DataFrame:
     )
 
 
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, size, key of every document."""
+    return written(
+        docs.select(
+            exact(id_col).alias("doc_id"),
+            exact(source_col).alias("source"),
+            n_words(exact(text_col)).alias("size"),
+            order_key(exact(id_col), exact(text_col)).alias("key"),
+        ),
+        "sizes",
+    )
+
+
+def _words(nth: int | Column) -> Column:
+    """How many words of a placed document its pass ``nth`` takes."""
+    left = F.floor("target") - F.col("source_size") * nth - F.col("start")
+    return F.greatest(F.lit(0), F.least("size", left))
+
+
+def _position(nth: int | Column) -> Column:
+    """The training time of a placed document's pass ``nth``."""
+    share = (F.col("start") + F.col("source_size") * nth + F.col("size") / 2) / F.col("target")
+    return F.round(training_time(F.least(share, F.lit(1.0)), F.col("tilt")), 9)
+
+
 def source_plan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -123,33 +148,41 @@ def source_plan(
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, position.
 
-    ``position`` is the training time of the first pass, null where nothing is taken.
+    ``position`` is the training time of the first pass, null where nothing is taken;
+    :func:`training_order` has all passes. Rows are range-sorted by it.
     """
-    light = written(
-        docs.select(
-            exact(id_col).alias("doc_id"),
-            exact(source_col).alias("source"),
-            n_words(exact(text_col)).alias("size"),
-            order_key(exact(id_col), exact(text_col)).alias("key"),
-        ),
-        "sizes",
-    )
-    placed = _placed(light, **plan)
-    size, words = F.col("size"), F.floor("target")
-    passes = [
-        F.greatest(F.lit(0), F.least(size, words - F.col("source_size") * n - F.col("start")))
-        for n in range(plan.get("most_passes", MOST_PASSES))
-    ]
+    placed = _placed(_sizes(docs, id_col, text_col, source_col), **plan)
+    passes = [_words(n) for n in range(plan.get("most_passes", MOST_PASSES))]
     taken = sum(passes[1:], passes[0])
-    share = (F.col("start") + size / 2) / F.col("target")
-    time = training_time(F.least(share, F.lit(1.0)), F.col("tilt"))
     return placed.select(
         "doc_id",
         "size",
         "source_size",
         "target",
         taken.cast("long").alias("taken"),
-        F.when(taken > 0, F.round(time, 9)).alias("position"),
+        F.when(taken > 0, _position(0)).alias("position"),
+    ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def training_order(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **plan,
+) -> DataFrame:
+    """One row for each pass over a document that takes words of it: doc_id, pass (from 0), words,
+    position; range-sorted by position. Words of a document add up to ``taken``."""
+    placed = _placed(_sizes(docs, id_col, text_col, source_col), **plan)
+    passes = F.sequence(F.lit(0), F.lit(plan.get("most_passes", MOST_PASSES) - 1))
+    nth = F.col("pass")
+    return (
+        placed.withColumn("pass", F.explode(passes))
+        .withColumn("words", _words(nth).cast("long"))
+        .where("words > 0")
+        .withColumn("position", _position(nth))
+        .orderBy("position", "key", "pass")
+        .select("doc_id", "pass", "words", "position")
     )
 
 
