@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import sys
 import tracemalloc
 import zlib
 
@@ -103,6 +104,51 @@ def test_labelling_holds_a_small_portion_of_texts_at_a_time():
     assert most < 60 << 20
 
 
+def plain_features(word):
+    """Hashed features of a word, span by span."""
+    core = word.lower().strip(language.EDGES)
+    if not any(map(str.isalpha, core)):
+        return []
+    spans = [(core, 1), *((core[:n], 2) for n in (1, 2, 3)), *((core[-n:], 3) for n in (1, 2, 3))]
+    marked = f"^{core}$"
+    spans += [(marked[n : n + 3], 4) for n in range(len(core))]
+    return [zlib.crc32(span.encode(), kind) % language.BUCKETS for span, kind in spans]
+
+
+def test_bulk_features_equal_those_of_single_words():
+    rng = np.random.default_rng(9)
+    letters = list("abzé\u00dfİΣж中😀²½ʰ\u0308\u212a'.-019$^")
+    words = ["", "1", "²", "a", "É", "İ", "^a$", "l'été", "ΣΑΣ", "z" * 3000, "ж" * 700]
+    words += ["".join(rng.choice(letters, n)) for n in rng.integers(1, 9, 3000)]
+    flat, sizes = language.features([w.encode() for w in words])
+    want = [plain_features(w) for w in words]
+    assert sizes.tolist() == list(map(len, want))
+    assert flat.tolist() == list(itertools.chain.from_iterable(want))
+    for none in ([], [b"1", b"..."]):
+        flat, sizes = language.features(none)
+        assert flat.tolist() == [] and sizes.tolist() == [0] * len(none)
+    weights = rng.normal(size=(language.BUCKETS, 2))
+    encoded = [w.encode() for w in words]
+    whole = language.emissions(encoded, weights)
+    assert (whole == np.concatenate([language.emissions([w], weights) for w in encoded])).all()
+
+
+def test_describing_a_word_costs_as_many_calls_at_any_length():
+    weights = np.ones((language.BUCKETS, 2))
+
+    def calls(length):
+        words = [b"%c" % (97 + n % 26) * length for n in range(500)]
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event in ("call", "c_call")))
+        try:
+            language.emissions(words, weights)
+        finally:
+            sys.setprofile(None)
+        return sum(seen)
+
+    assert calls(40) <= calls(5) + 50
+
+
 def test_language_edges(spark, language_model):
     got = {r.doc_id: r for r in language.predict(hard(spark), language_model).collect()}
     for doc_id in (1, 2, 3, 13, 16):

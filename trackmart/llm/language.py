@@ -26,7 +26,6 @@ Rules
 
 from __future__ import annotations
 
-import itertools
 import random
 import zlib
 from dataclasses import dataclass
@@ -39,12 +38,12 @@ from pyspark.sql.window import Window
 
 from trackmart.llm.common import (
     BatchTable,
-    Lookup,
     documents,
     exact,
     folds,
     map_arrow,
     portions,
+    ragged,
     utf8,
 )
 
@@ -56,6 +55,9 @@ PORTION, WORDS_KEPT = 1 << 18, 100_000  # bytes labelled at a time, words a task
 STEPS, RATE, PENALTY = 60, 0.5, 1e-6
 UNKNOWN = "und"
 EDGES = ".,;:!?\"'()[]{}|*#$%&/<>=+-_0123456789"
+EDGE_BYTES = EDGES.encode()
+# States of a CRC-32 after one byte each.
+CRC_OF_BYTE = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
 
 
 @dataclass
@@ -65,38 +67,66 @@ class Model:
     moves: np.ndarray  # languages x languages, log scale
 
 
-def features(word: bytes) -> list[int]:
-    """Hashed features of a word; none if it has no letter."""
+def core(word: bytes) -> bytes:
+    """A word in lower case without its edges; empty if it has no letter."""
     if word.isascii():
-        core = word.lower().strip(EDGES.encode())
-        if not core.isalpha() and not any(map(str.isalpha, core.decode())):
-            return []
-        parts, marked = core, b"^%b$" % core
-        crc = zlib.crc32
-    else:
-        core = word.decode().lower().strip(EDGES)
-        if not core.isalpha() and not any(map(str.isalpha, core)):  # a digit like ² is no letter
-            return []
-        parts, marked = core, f"^{core}$"
-        crc = _crc_of_text
-    found = [crc(parts, 1)]
-    found += [crc(parts[:n], 2) for n in (1, 2, 3)] + [crc(parts[-n:], 3) for n in (1, 2, 3)]
-    found += [crc(marked[n : n + 3], 4) for n in range(len(marked) - 2)]
-    return [f % BUCKETS for f in found]
-
-
-def _crc_of_text(text: str, kind: int) -> int:
-    return zlib.crc32(text.encode(), kind)
+        bare = word.lower().strip(EDGE_BYTES)
+        return bare if bare.isalpha() or any(map(str.isalpha, bare.decode())) else b""
+    text = word.decode().lower().strip(EDGES)
+    # A digit like ² is no letter.
+    return text.encode() if text.isalpha() or any(map(str.isalpha, text)) else b""
+
+
+def crc32(data: np.ndarray, first: np.ndarray, last: np.ndarray, kind: int) -> np.ndarray:
+    """``zlib.crc32(data[first:last], kind)`` of many short spans of bytes."""
+    state = np.full(len(first), kind ^ 0xFFFFFFFF, np.uint32)
+    sizes = last - first
+    for step in range(int(sizes.max(initial=0))):
+        more = slice(None) if (sizes > step).all() else np.flatnonzero(sizes > step)
+        now = state[more]
+        state[more] = CRC_OF_BYTE[(now ^ data[first[more] + step]) & 255] ^ (now >> 8)
+    return state ^ 0xFFFFFFFF
+
+
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words, one word after the other, and how many each word has.
+
+    A word without a letter has none.
+    """
+    cores = [core(w) for w in words]
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores))
+    read = sizes > 0
+    cores = [c for c in cores if c]
+    data = np.frombuffer(b"".join(b"^%b$" % c for c in cores), np.uint8)
+    # Letters of several bytes are one character: spans are found in characters, hashed in bytes.
+    at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    ends = np.cumsum(sizes[read] + 2)
+    marks = np.searchsorted(at, ends - sizes[read] - 2)
+    begin, end = marks + 1, np.searchsorted(at, ends) - 1
+    length = end - begin
+    counts = 7 + length
+    place = np.cumsum(counts) - counts
+    found = np.empty(int(counts.sum()), np.int64)
+    found[place] = [zlib.crc32(c, 1) for c in cores]
+    for n in (1, 2, 3):
+        found[place + n] = crc32(data, at[begin], at[np.minimum(begin + n, end)], 2)
+        found[place + 3 + n] = crc32(data, at[np.maximum(end - n, begin)], at[end], 3)
+    grams = ragged(marks, length)
+    found[ragged(place + 7, length)] = crc32(data, at[grams], at[grams + 3], 4)
+    sizes[read] = counts
+    return found % BUCKETS, sizes
 
 
 def emissions(words: list[bytes], weights: np.ndarray) -> np.ndarray:
     """Emission scores of words, and whether a word has features in the last column."""
-    found = [features(w) for w in words]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum()))
-    owner = np.repeat(np.arange(len(words)), sizes)
-    scores = [np.bincount(owner, weights[flat, c], len(words)) for c in range(weights.shape[1])]
-    return np.stack([*scores, sizes > 0], 1)
+    out = np.zeros((len(words), weights.shape[1] + 1))
+    for a, b in portions(words, PORTION):
+        flat, sizes = features(words[a:b])
+        owner = np.repeat(np.arange(b - a), sizes)
+        for c in range(weights.shape[1]):
+            out[a:b, c] = np.bincount(owner, weights[flat, c], b - a)
+        out[a:b, -1] = sizes > 0
+    return out
 
 
 def forward_backward(emissions: np.ndarray, moves: np.ndarray, mask: np.ndarray, before, after):
@@ -187,7 +217,6 @@ def fit(sample: list[tuple[str, str]], steps: int = STEPS) -> Model:
     """Maximum conditional likelihood by gradient steps with per-weight rates."""
     languages = sorted({lang for lang, _ in sample})
     k = max(1, len(languages))
-    words = Lookup(lambda w: np.array(features(w), np.int64), limit=1 << 62)
     runs = []
     for lang, text in sample:
         rows = [w for w in text.encode().split() if any(map(str.isalpha, w.decode()))]
@@ -204,9 +233,9 @@ def fit(sample: list[tuple[str, str]], steps: int = STEPS) -> Model:
     chain = [(label, w) for label, ws in runs[:half] + mixed for w in ws]
     chain += [chain[-1]] * (-len(chain) % TRAIN_LENGTH)
     gold = np.array([label for label, _ in chain]).reshape(-1, TRAIN_LENGTH)
-    rows = words.indices([w for _, w in chain])
-    sizes = np.array([len(v) for v in words.values])
-    flat = np.concatenate(words.values)
+    words = {}
+    rows = np.array([words.setdefault(w, len(words)) for _, w in chain])
+    flat, sizes = features(list(words))
     owner = np.repeat(np.arange(len(sizes)), sizes)
     n = len(gold)
     mask = np.ones(gold.shape, bool)
