@@ -1,5 +1,6 @@
 """Packing, line dedup, fingerprints, Jaccard join and the pipeline, against plain versions."""
 
+import ctypes
 import hashlib
 import itertools
 import re
@@ -17,7 +18,7 @@ import corpus_pipeline
 from tests.llm.frames import SCHEMA, empty, hard, hard_rows, row, vocabulary
 from tests.llm.test_native import filled
 from trackmart.llm import chunking, jaccard_join, language, line_dedup, packing
-from trackmart.llm.common import documents, folds
+from trackmart.llm.common import BATCH_BYTES, BATCH_SETTING, documents, folds, give_back, map_arrow
 
 # ------------------------------------------------------------------ packing
 
@@ -465,3 +466,48 @@ def test_pipeline_of_sample_tables(spark):
     classes = plain_classes([(i, docs[i].text) for i in taken], 5, 80)
     assert len({c for _, c in classes}) == len(taken)
     check_layout([(r.sequence_id, r.offset, r.length) for r in packed], 4096)
+
+
+class Mallinfo(ctypes.Structure):
+    _fields_ = [
+        (name, ctypes.c_size_t)
+        for name in "arena ordblks smblks hblks hblkhd usmblks fsmblks uordblks fordblks keepcost".split()
+    ]
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "mallinfo2"), reason="needs the GNU C library")
+def test_packing_tasks_leave_no_memory_behind():
+    in_use = ctypes.CDLL(None).mallinfo2
+    in_use.restype = Mallinfo
+    letters = "bcdfghjklmnpqrstvwxz"
+    text = " ".join(map("".join, itertools.islice(itertools.product(letters, repeat=5), 0, 400_000, 20))).encode()
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    def task():
+        assert len(packing.WordIds(path)([text])[0]) > 20_000
+        give_back()
+        return in_use().uordblks
+
+    first = [task() for _ in range(2)][-1]
+    # The library's cache kept about 4 MB of each task.
+    assert [task() for _ in range(4)][-1] - first < 4 << 20
+
+
+def test_workers_get_small_batches(spark):
+    rows = spark.range(6_000, numPartitions=1).select("id", F.repeat(F.lit("word "), 1_000).alias("text"))
+
+    def sizes(batch, _):
+        yield [[batch.num_rows], [batch.column(1).buffers()[2].size]]
+
+    kept = spark.conf.get(BATCH_SETTING, None)
+    try:
+        spark.conf.unset(BATCH_SETTING)
+        found = map_arrow(rows, sizes, "n long, bytes long").collect()
+        assert sum(r["n"] for r in found) == 6_000
+        assert max(r["bytes"] for r in found) <= 3 * BATCH_BYTES  # 30 MB in one batch before
+        # What a session sets itself stays.
+        spark.conf.set(BATCH_SETTING, str(16 << 20))
+        map_arrow(rows, sizes, "n long, bytes long")
+        assert spark.conf.get(BATCH_SETTING) == str(16 << 20)
+    finally:
+        spark.conf.unset(BATCH_SETTING) if kept is None else spark.conf.set(BATCH_SETTING, kept)

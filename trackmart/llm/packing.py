@@ -86,6 +86,9 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        # The model's own cache is of no use beside ``rows``, and its 4 MB are not freed with it:
+        # a worker would keep as much of every task.
+        self.model._resize_cache(0)
         self.letters = byte_letters()
         self.limit = limit
         self.clear()
