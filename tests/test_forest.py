@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tests.frames import varied
 from trackmart import schemas as S
 from trackmart.operators import cleaning, evaluation, features, forest, model, splits
-from trackmart.plans import training
+from trackmart.plans import registry, training
+from trackmart.session import scratch_path
 
 SMALL = {"numTrees": 6, "maxDepth": 5}
 TINY = {"numTrees": 2, "maxDepth": 2}
@@ -172,6 +173,37 @@ def test_trees_grown_in_parts_make_one_forest(spark, catalogue, tmp_path):
     assert found[0] == found[1] and len(found[0]) == catalogue.count()
 
 
+@pytest.mark.parametrize("kind", [training.FULL, training.COMPACT])
+def test_registered_models_are_fitted_on_all_training_rows(spark, catalogue, monkeypatch, kind):
+    copies = catalogue.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(60))))
+    many = copies.withColumn("track_id", F.concat_ws("-", "track_id", "copy")).drop("copy")
+    monkeypatch.setattr(registry.samples, "tracks_cleaned", lambda *_: many)
+    for settings in (model.FULL_FOREST, model.COMPACT_FOREST):
+        monkeypatch.setitem(settings, "numTrees", 3)
+        monkeypatch.setitem(settings, "maxDepth", 2)
+    result = registry._trained.__wrapped__(spark, "any", kind)
+    rows = result.train.count()
+    assert rows > 11_000
+    weights = {r["popularity_tier"]: r["class_weight"] for r in result.weights.collect()}
+    each = [weights[t] for t in model.tier_labels(result.model)]
+    path = scratch_path(spark, "all-rows")
+    for root in forest.nodes_of(result.model, path).where("node = 0").collect():
+        bagged = sum(w / one for w, one in zip(root["weights"], each))
+        assert bagged == pytest.approx(rows * result.model.stages[-1].getSubsamplingRate(), rel=0.05)
+
+
+def test_many_rows_are_fitted_in_more_tasks_and_fits(spark, catalogue, tmp_path, monkeypatch):
+    monkeypatch.setattr(forest, "ROWS_A_TASK", 150)
+    monkeypatch.setattr(forest, "TREES_A_FIT", 2)
+    frame = training.split_rows(catalogue, training.COMPACT)
+    rows = splits.add_class_weights(frame, splits.class_weights(frame)).persist()
+    build = model.compact_pipeline(numTrees=5, maxDepth=3)
+    found = [forest.fit_in_parts(build, rows.repartition(n), str(tmp_path / f"p{n}"), 1) for n in (2, 5)]
+    texts = [f.stages[-1].toDebugString.split("\n", 1)[1] for f in found]
+    assert texts[0] == texts[1] and found[0].stages[-1].getNumTrees == 5
+    assert len(list(tmp_path.glob("p2/part-*"))) == 3
+
+
 # ------------------------------------------------------------------ stored models
 
 
