@@ -1,5 +1,6 @@
 """States of the marts: merged against rebuilt, one changed year read alone."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 
 from tests.frames import varied
 from trackmart.operators import artists, cleaning, marts, states
+from trackmart.plans import refresh, registry
 from trackmart.plans.refresh import read_states, refresh_states
+from trackmart.session import RELEASE
 from trackmart.sinks import keyed, tables
 from trackmart.sources import fingerprint
 
@@ -60,6 +63,36 @@ def test_one_changed_year_is_refreshed_alone(spark, cleaned, tmp_path):
         assert rows(build(read_states(spark, root))) == rows(build(states.track_states(read())))
 
 
+def shuffles_on_disk(spark):
+    """Ids of the shuffles that have files."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p.name.split("_")[1] for d in folders for p in Path(d.getPath()).glob("*/shuffle_*_*")}
+
+
+def left_over(spark, before, most):
+    """New shuffles on disk, once there are at most ``most`` or ten seconds have gone by."""
+    until = time.monotonic() + 10
+    while len(found := shuffles_on_disk(spark) - before) > most and time.monotonic() < until:
+        time.sleep(0.1)
+    return found
+
+
+def test_states_leave_no_shuffle_files(spark, cleaned, tmp_path):
+    tracks = cleaned.repartition(3).localCheckpoint()
+    before = shuffles_on_disk(spark)
+    refresh_states(tracks, str(tmp_path / "states"))
+    assert len(left_over(spark, before, 1)) <= 1  # of the fingerprints, a row per year and task
+    assert spark.conf.get(RELEASE) == "false"
+
+
+def test_tracks_stored_for_states_leave_no_shuffle_files(spark, cleaned, monkeypatch):
+    monkeypatch.setattr(refresh, "refresh_states", lambda *_: None)
+    monkeypatch.setattr(refresh, "read_states", lambda *_: None)
+    before = shuffles_on_disk(spark)
+    registry._refreshed_states(cleaned.repartition(5, "track_id").repartition(3, "year"))
+    assert not left_over(spark, before, 0)
+
+
 def test_a_year_that_is_gone_is_dropped(spark, cleaned, tmp_path):
     root = str(tmp_path / "states")
     refresh_states(cleaned, root)

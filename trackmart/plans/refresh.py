@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.operators import states
+from trackmart.session import releasing
 from trackmart.sinks import keyed
 from trackmart.sources.fingerprint import part_fingerprints
 
@@ -39,9 +40,12 @@ def refresh_states(tracks: DataFrame, root: str, attempts: int = 5) -> list[int]
         attempt = f"refresh-{uuid.uuid4().hex}"
         folders = {y: own for y, own in now.folders.items() if y not in gone}
         if changed:
-            rows = states.track_states(dated.where(F.col(YEAR).isin(changed)))
-            keyed_rows = rows.withColumn(keyed.BUCKET, F.col(YEAR)).hint("rebalance", keyed.BUCKET)
-            keyed_rows.write.partitionBy(keyed.BUCKET).parquet(f"{root.rstrip('/')}/data/{attempt}")
+            with releasing(spark):
+                rows = states.track_states(dated.where(F.col(YEAR).isin(changed)))
+                keyed_rows = rows.withColumn(keyed.BUCKET, F.col(YEAR))
+                # Written as the aggregate has dealt them: about as many states as tracks are not
+                # shuffled again for fewer files a year.
+                keyed_rows.write.partitionBy(keyed.BUCKET).parquet(f"{root.rstrip('/')}/data/{attempt}")
             folders |= {y: [f"{attempt}/{keyed.BUCKET}={y}"] for y in changed}
         new = replace(now, number=now.number + 1, folders=folders, batches=[*now.batches, attempt], marks=marks)
         if keyed.commit(spark, root, new):

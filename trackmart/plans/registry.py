@@ -29,7 +29,7 @@ from trackmart.operators import (
 )
 from trackmart.plans import insight, publishing, refresh, training
 from trackmart.plans.sample_splits import SPLITS
-from trackmart.session import materialize, scratch_path
+from trackmart.session import materialize, releasing, scratch_path
 from trackmart.sinks import keyed, tables
 from trackmart.sources import sample_tables as samples
 from trackmart.sources.fingerprint import changed_parts, part_fingerprints, table_fingerprint
@@ -282,7 +282,8 @@ def mood_map(cleaned):
 def _refreshed_states(cleaned: DataFrame) -> DataFrame:
     """States stored from a catalogue in which one year differed, then refreshed."""
     root = scratch_path(cleaned.sparkSession, "mart-states")
-    stored = materialize(cleaned, "state-tracks")
+    with releasing(cleaned.sparkSession):
+        stored = materialize(cleaned.select("*"), "state-tracks")
     refresh.refresh_states(stored.where("NOT (year = 2007 AND energy > 0.5)"), root)
     refresh.refresh_states(stored, root)
     return refresh.read_states(cleaned.sparkSession, root)
